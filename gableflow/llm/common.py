@@ -11,6 +11,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: What counts as white space between words: space and 0x09 to 0x0D.
 WORD_SPACE = r"[\x20\x09-\x0D]"
 
@@ -38,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow over functions of this package, which is sent to the executors first."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def whole_text(col: str | Column = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
