@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, packing, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op8_token_counts": bpe.op8_token_counts,
+    "op9_packing": packing.op9_packing,
     "op10_simhash": simhash.op10_simhash,
 }
 
