@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, simhash
+from . import bpe, exact_dedup, mixing, packing, simhash, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_mixing": mixing.op4_mixing,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op8_token_counts": bpe.op8_token_counts,
     "op9_packing": packing.op9_packing,
     "op10_simhash": simhash.op10_simhash,
@@ -13,4 +15,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op4_mixing": mixing.ORACLE_SQL,
 }
