@@ -40,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def in_batches(df: DataFrame, run, schema: str) -> DataFrame:
+def in_batches(df: DataFrame, run, schema) -> DataFrame:
     """mapInArrow over functions of this package, which is sent to the executors first."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -51,12 +51,12 @@ def whole_text(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str | int, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of one slice stay near max_bytes; a longer text makes a slice by itself."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        col = batch.column(batch.schema.get_field_index(text))
+        col = batch.column(text)
         if batch.num_rows == 1 or col.nbytes <= max_bytes:
             yield batch
             continue

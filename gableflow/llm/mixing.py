@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_SPACE, table, whole_text, written
+from .common import table, whole_text, written
 
 #: Production parameters: entropy as a share of the largest possible, most rounds of a source, tokens of a block.
 ENTROPY, REPEATS, BLOCK, SEED = 0.95, 4.0, 1 << 16, "mix"
@@ -73,35 +73,35 @@ def mix(rows: DataFrame, tokens: Column, id_col: str = "doc_id", source_col: str
     null ids share one place. Columns of any name may be in rows, as they stay inside the struct. An empty table gives an
     empty result.
     """
-    named = rows.select(F.struct("*").alias("row"), F.col(id_col).cast("string").alias("id"), F.col(source_col).alias("source"), tokens.alias("n_tokens"))
-    totals = written(named.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), "source-totals")
+    # a struct is never null, and a null inside it equals another
+    named = rows.select(F.struct("*").alias("row"), F.col(id_col).cast("string").alias("id"), F.struct(F.col(source_col).alias("source")).alias("of"), tokens.alias("n_tokens"))
+    totals = written(named.groupBy("of").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), "source-totals")
     whole = totals.agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs")).first()
     budget = int(whole["tokens"] or 0) if budget is None else budget
     used = totals.where("tokens > 0")
     a = temperature(used, budget, entropy, repeats)
     z = used.agg(F.sum(F.pow(F.col("tokens") / F.lit(float(whole["tokens"] or 1)), F.lit(a)))).first()[0] or 1.0
     weight = F.pow(F.col("tokens") / F.lit(float(whole["tokens"] or 1)), F.lit(a)) / F.lit(z)
-    quotas = totals.select("source", "tokens", F.when(F.col("tokens") > 0, F.floor(weight * F.lit(float(budget)) + 1e-6)).otherwise(0).alias("quota"))
+    quotas = totals.select("of", "tokens", F.when(F.col("tokens") > 0, F.floor(weight * F.lit(float(budget)) + 1e-6)).otherwise(0).alias("quota"))
 
     ranges = max(1, math.isqrt(whole["docs"] or 0))
     blocks = max(1, -(-budget // block))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("id", F.lit(""))))
     placed = named.withColumn("key", key).withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / F.lit(float(1 << 32))).cast("int"))
-    sums = written(placed.groupBy("source", "range").agg(F.sum("n_tokens").alias("held")), "range-totals")
-    before = F.sum("held").over(Window.partitionBy("source").orderBy("range")) - F.col("held")
-    offsets = sums.select(F.col("source").alias("of"), F.col("range").alias("in_range"), before.alias("before"))
-    offsets = written(offsets.join(quotas, F.col("of").eqNullSafe(F.col("source"))).drop("source"), "range-offsets")
+    sums = written(placed.groupBy("of", "range").agg(F.sum("n_tokens").alias("held")), "range-totals")
+    before = F.sum("held").over(Window.partitionBy("of").orderBy("range")) - F.col("held")
+    offsets = written(sums.select("of", "range", before.alias("before")).join(quotas, "of"), "range-offsets")
 
-    order = Window.partitionBy("source", "range").orderBy("key", "id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("of", "range").orderBy("key", "id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = placed.withColumn("within", F.sum("n_tokens").over(order) - F.col("n_tokens"))
-    joined = ranked.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("in_range")))
-    start = F.col("before") + F.col("within")
-    copies = F.when(F.col("tokens") > 0, F.expr("quota div tokens") + (start < F.expr("quota % tokens")).cast("long")).otherwise(1)
-    drawn = joined.withColumn("start", start).withColumn("copies", copies).where("copies > 0")
+    joined = ranked.join(offsets, ["of", "range"])
+    drawn = joined.withColumn("start", F.col("before") + F.col("within"))
+    copies = F.when(F.col("tokens") > 0, F.expr("quota div tokens") + (F.col("start") < F.expr("quota % tokens")).cast("long")).otherwise(1)
+    drawn = drawn.withColumn("copies", copies).where("copies > 0")
     drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     into = F.when(F.col("tokens") > 0, F.least(F.expr(f"cast((copy * tokens + start) as decimal(38,0)) * {blocks} div quota"), F.lit(blocks - 1).cast("long"))).otherwise(0)
     drawn = drawn.withColumn("block", into)
-    return drawn.select("row", "source", "n_tokens", "copy", "block", F.md5(F.concat_ws(":", F.lit(seed), "block", "copy", F.coalesce("id", F.lit("")))).alias("place"))
+    return drawn.select("row", "of.source", "n_tokens", "copy", "block", F.md5(F.concat_ws(":", F.lit(seed), "block", "copy", F.coalesce("id", F.lit("")))).alias("place"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

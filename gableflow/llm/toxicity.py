@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import in_batches, slices, table, whole_text, written
 
@@ -170,24 +171,27 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return vocabulary, index
 
 
-def score(docs: DataFrame, model: tuple[list[str], BlockMaxIndex], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, model: tuple[list[str], BlockMaxIndex], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), score_as: str = "score", evidence_as: str = "evidence") -> DataFrame:
     """One row per row of docs: id_col, the columns in keep, score, evidence (ids of the nearest examples).
 
     A null or empty text, or one without words, has the sample's share of toxic texts as its score and no evidence; with
-    no labelled example at all every score is 0. Repeated rows get the same score; null ids stay null. An empty table
-    gives an empty result.
+    no labelled example at all every score is 0. Repeated rows get the same score; null ids stay null. Other columns than
+    those in keep are not read; where one of these has the name of a result, give the result another. An empty table gives
+    an empty result.
     """
     vocabulary, index = model
-    fields = [docs.schema[c] for c in (id_col, *keep)]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "score double", f"evidence array<{fields[0].dataType.simpleString()}>"])
+    columns = list(dict.fromkeys((id_col, *keep)))
+    fields = [docs.schema[c] for c in columns]
+    schema = T.StructType([*fields, T.StructField(score_as, T.DoubleType()), T.StructField(evidence_as, T.ArrayType(fields[0].dataType))])
     own = len(fields)
+    text = columns.index(text_col) if text_col in columns else own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, plain = Vocabulary(vocabulary), {}
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, text):
             out = []
-            for text in batch.column(own).to_pylist():
-                counts, words = counter.counts(text)
+            for body in batch.column(text).to_pylist():
+                counts, words = counter.counts(body)
                 if counts:
                     out.append(index.judge(counts, words))
                 else:  # every text without terms has one of two vectors
@@ -195,9 +199,9 @@ def score(docs: DataFrame, model: tuple[list[str], BlockMaxIndex], id_col: str =
                         plain[bool(words)] = index.judge(counts, words)
                     out.append(plain[bool(words)])
             kind = pa.list_(batch.schema.field(0).type)
-            yield pa.record_batch([*batch.columns[:own], pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], kind)], names=[*batch.schema.names[:own], "score", "evidence"])
+            yield pa.record_batch([*batch.columns[:own], pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], kind)], names=[*columns, score_as, evidence_as])
 
-    return in_batches(docs.select(id_col, *keep, whole_text(text_col).alias("__text")), run, schema)
+    return in_batches(docs.select(*columns, *([] if text < own else [text_col])), run, schema)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -205,9 +209,9 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, **shape) -> DataFrame:
     """Scores of docs by labels outside the held-out fold."""
-    return score(docs, learn(docs, labels.where(~held_out())), keep=keep)
+    return score(docs, learn(docs, labels.where(~held_out())), **shape)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
