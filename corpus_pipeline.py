@@ -1,20 +1,79 @@
-"""The corpus pipeline: STAGES in order, run() over the documents table, ORACLE_SQL for its rows."""
+"""The corpus pipeline: STAGES in order, run() over the documents table, ORACLE_SQL for its rows.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; its result is written as
+Parquet and read again as the next one's docs. All stages but the last return the columns of docs. A document is a row;
+rows that repeat an id and a text are copies of each other, of which the exact stage keeps one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gableflow.llm import exact_dedup, mixing, packing, simhash, toxicity
+from gableflow.llm.common import table, whole_text, written
+
+#: Parameters of the stages beyond the operators' own defaults.
+REJECT = toxicity.THRESHOLD
+
+
+def _stay(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """Rows of docs that judged (doc_id, text_sha256, kept: a row for each row of docs) keeps, one for each kept row."""
+    own = F.sha2(whole_text(), 256)
+    keepers = judged.where("kept").select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha"))
+    out = docs.join(keepers, docs["doc_id"].eqNullSafe(F.col("keep_id")) & (own == F.col("keep_sha")), "left_semi")
+    if judged.groupBy("doc_id", "text_sha256").count().where("count > 1").limit(1).count():
+        rows = out.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), own.alias("sha")).dropDuplicates(["id", "sha"])
+        out = rows.select("row.*")
+    return out
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that score as toxic."""
+    keep = tuple(docs.columns)
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), keep=keep, score_as="toxicity score", evidence_as="toxicity evidence")
+    return scored.where(F.col("toxicity score") < REJECT).select(*(f"`{c}`" for c in keep))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of equal texts: the one with the largest id."""
+    return _stay(docs, written(exact_dedup.exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "judged"))
 
-STAGES: list = []
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each component of near copies: the one with the smallest id."""
+    named = docs.select(F.struct(F.col("doc_id"), F.sha2(whole_text(), 256).alias("text_sha256")).alias("id"), "text")
+    found = simhash.simhash_components(named, "id").select("id.*", (F.col("id") == F.col("component_id")).alias("kept"))
+    return _stay(docs, written(found, "judged"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Draw documents so that sources have their target weights, each block of the mixture in its own order."""
+    drawn = mixing.mix(docs, mixing.words_in(whole_text()))
+    return drawn.repartition("block").sortWithinPartitions("block", "place").select("row.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut the mixture's tokens into sequences: one row per piece of a document."""
+    return packing.pack(docs).drop("ids")
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("exact dedup", drop_copies),
+    ("simhash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+#: SQL has neither the tokenizer nor the toxicity model; tests/llm holds run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from gableflow.llm.common import written
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = written(docs, f"stage-{name}")
+            docs = written(docs, f"stage-{name.replace(' ', '-')}")
     return docs
