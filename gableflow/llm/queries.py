@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, packing, simhash, toxicity
+from . import bpe, exact_dedup, merkle, mixing, packing, reputation, simhash, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_url_filter": reputation.op2_url_filter,
     "op4_mixing": mixing.op4_mixing,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_merkle": merkle.op7_merkle,
     "op8_token_counts": bpe.op8_token_counts,
     "op9_packing": packing.op9_packing,
     "op10_simhash": simhash.op10_simhash,
@@ -15,5 +17,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op2_url_filter": reputation.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
 }
