@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, merkle, mixing, packing, pii, reputation, simhash, toxicity
+from . import bpe, exact_dedup, lm, merkle, mixing, packing, pii, reputation, simhash, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_url_filter": reputation.op2_url_filter,
     "op3_pii": pii.op3_pii,
     "op4_mixing": mixing.op4_mixing,
+    "op5_lm_scoring": lm.op5_lm_scoring,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_merkle": merkle.op7_merkle,
     "op8_token_counts": bpe.op8_token_counts,
