@@ -71,12 +71,13 @@ def step(flat: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndar
     """Mean negative log likelihood of the targets y >= 0 after inputs x, both (batch, WINDOW), and its gradient."""
     p, d = unflat(flat), WIDTH
     grad = np.zeros_like(flat)
+    hot = np.eye(CLASSES + 1, dtype=flat.dtype)[x].reshape(-1, CLASSES + 1)  # sums by class as one product
     g = unflat(grad)
     e = p["e"][x]
     q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
     gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
     causal = gap >= 0
-    logit = np.where(causal, q @ k.transpose(0, 2, 1) / d**0.5 + p["far"][np.abs(gap)], -1e9)
+    logit = np.where(causal, q @ k.transpose(0, 2, 1) / flat.dtype.type(d**0.5) + p["far"][np.abs(gap)], flat.dtype.type(-1e9))
     a = np.exp(logit - logit.max(axis=2, keepdims=True))
     a /= a.sum(axis=2, keepdims=True)
     z = a @ v
@@ -88,21 +89,22 @@ def step(flat: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndar
     n = max(1, real.sum())
     at = (*np.nonzero(real), y[real])
     loss = -np.log(share[at] + 1e-30).sum() / n
-    d_out = np.where(real[:, :, None], share, 0)
+    d_out = share * real[:, :, None]
     d_out[at] -= 1
     d_out /= n
     g["out"][...] = z.reshape(-1, d).T @ d_out.reshape(-1, CLASSES)
-    np.add.at(g["direct"], x, d_out)
+    g["direct"][...] = hot.T @ d_out.reshape(-1, CLASSES)
     d_z = d_out @ p["out"].T
     d_a = d_z @ v.transpose(0, 2, 1)
     d_v = a.transpose(0, 2, 1) @ d_z
     d_l = a * (d_a - (d_a * a).sum(axis=2, keepdims=True))
     g["far"][...] = np.bincount(np.abs(gap)[causal], d_l.sum(axis=0)[causal], WINDOW)
-    d_q, d_k = d_l @ k / d**0.5, d_l.transpose(0, 2, 1) @ q / d**0.5
+    d_l /= flat.dtype.type(d**0.5)
+    d_q, d_k = d_l @ k, d_l.transpose(0, 2, 1) @ q
     flat_e = e.reshape(-1, d)
     for name, own in (("q", d_q), ("k", d_k), ("v", d_v)):
         g[name][...] = flat_e.T @ own.reshape(-1, d)
-    np.add.at(g["e"], x, d_q @ p["q"].T + d_k @ p["k"].T + d_v @ p["v"].T)
+    g["e"][...] = hot.T @ (d_q @ p["q"].T + d_k @ p["k"].T + d_v @ p["v"].T).reshape(-1, d)
     return float(loss), grad
 
 
@@ -110,7 +112,7 @@ def trained(flat: np.ndarray, x: np.ndarray, y: np.ndarray, seed: int = 0) -> np
     """Weights after one pass of Adam over the windows, or as many passes as make LEAST_STEPS steps."""
     if not len(x):
         return flat
-    flat, rng = flat.copy(), np.random.default_rng(seed)
+    flat, rng = flat.astype(np.float32), np.random.default_rng(seed)
     steps = max(LEAST_STEPS, -(-len(x) // BATCH))
     m, s, order, at = np.zeros_like(flat), np.zeros_like(flat), rng.permutation(len(x)), 0
     for t in range(1, steps + 1):
@@ -121,8 +123,8 @@ def trained(flat: np.ndarray, x: np.ndarray, y: np.ndarray, seed: int = 0) -> np
         _, g = step(flat, x[rows], y[rows])
         m = 0.9 * m + 0.1 * g
         s = 0.99 * s + 0.01 * g * g
-        flat -= RATE * (1 - 0.9 * t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
-    return flat
+        flat -= (RATE * (1 - 0.9 * t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+    return flat.astype(np.float64)
 
 
 class Scorer:
@@ -136,47 +138,49 @@ class Scorer:
         gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
         self.pair = pair.astype(np.float32).ravel()
         self.far = np.where(gap >= 0, np.exp(np.clip(p["far"], -20, 20))[np.abs(gap)], 0).astype(np.float32)
-        self.value = np.concatenate([e @ p["v"] @ p["out"], np.ones((len(e), 1))], axis=1).astype(np.float32)
         self.narrow = np.concatenate([e @ p["v"], np.ones((len(e), 1))], axis=1).astype(np.float32)
         self.out, self.direct = p["out"].astype(np.float32), p["direct"].astype(np.float32)
 
-    def windows(self, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sequences that start at first in one array and have size >= 1 tokens -> (sequence, where its window starts, tokens repeated)."""
-        n = 1 + -(-np.maximum(size - WINDOW, 0) // STRIDE)
-        own = np.repeat(np.arange(len(size)), n)
-        nth = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-        return own, nth * STRIDE, np.where(nth > 0, OVERLAP, 0)
+    def score(self, ids: np.ndarray, size: np.ndarray, batch: int = 128) -> np.ndarray:
+        """ids: sequences one after the other, each of size >= 1 with its end token. Every token is scored once.
 
-    def score(self, ids: np.ndarray, size: np.ndarray, batch: int = 256) -> np.ndarray:
-        """ids: sequences one after the other, each of size >= 1 with its end token. Every token is scored once."""
+        A sequence's first window scores all its places. Each later one starts STRIDE tokens on and repeats OVERLAP tokens
+        as context, for which it has keys and values but asks nothing.
+        """
+        if not len(size):
+            return np.zeros(0)
         first = np.cumsum(size) - size
-        cls = self.kind[ids].astype(np.int32)
-        total = np.zeros(len(size))
-        np.add.at(total, np.repeat(np.arange(len(size)), size), self.within[ids]) if len(size) < 4 else None
-        if len(size) >= 4:
-            total += np.add.reduceat(self.within[ids], first, dtype=np.float64)
-        own, offset, repeated = self.windows(first, size)
-        place = np.arange(WINDOW)
-        padded = np.r_[np.int32(CLASSES), cls, np.zeros(WINDOW, np.int32)]  # a place's input is the token before it
-        gain = np.zeros(len(own))
-        for b in range(0, len(own), batch):
-            w = slice(b, b + batch)
-            at = (first[own[w]] + offset[w])[:, None] + place
+        total = np.add.reduceat(self.within[ids], first, dtype=np.float64)
+        cls = self.kind[ids].astype(np.int64)
+        padded = np.r_[np.int64(CLASSES), cls, np.zeros(WINDOW, np.int64)]  # a place's input is the token before it
+        later = -(-np.maximum(size - WINDOW, 0) // STRIDE)
+        own = np.repeat(np.arange(len(size)), later)
+        nth = np.arange(len(own)) - np.repeat(np.cumsum(later) - later, later) + 1
+        gain = self._gain(padded, first, size, 0, batch)
+        gain += np.bincount(own, self._gain(padded, first[own] + nth * STRIDE, size[own] - nth * STRIDE, OVERLAP, batch), len(size))
+        return total + gain / np.log(10)
+
+    def _gain(self, padded: np.ndarray, start: np.ndarray, left: np.ndarray, repeated: int, batch: int) -> np.ndarray:
+        """Log probability of the classes of each window's places from repeated on; left: tokens from its start to the end."""
+        place, far = np.arange(WINDOW), self.far[repeated:]
+        out_gain = np.zeros(len(start))
+        for b in range(0, len(start), batch):
+            at = start[b : b + batch, None] + place
             x = padded[at]
-            x[offset[w] == 0, 0] = CLASSES
-            y = padded[at + 1]
-            pair = self.pair[x[:, :, None] * (CLASSES + 1) + x[:, None, :]]
-            pair *= self.far
+            if not repeated:
+                x[:, 0] = CLASSES
+            asks = x[:, repeated:]
+            pair = self.pair[(asks * (CLASSES + 1))[:, :, None] + x[:, None, :]]
+            pair *= far
             z = pair @ self.narrow[x]
             z = z[:, :, :WIDTH] / z[:, :, WIDTH:]
             out = z.reshape(-1, WIDTH) @ self.out
-            out += self.direct[x.ravel()]
-            target = out[np.arange(len(out)), y.ravel()]
+            out += self.direct[asks.ravel()]
+            target = out[np.arange(len(out)), padded[at[:, repeated:] + 1].ravel()]
             np.exp(out, out=out)
-            got = (target - np.log(out.sum(axis=1))).reshape(len(x), WINDOW)
-            scored = (place >= repeated[w][:, None]) & (offset[w][:, None] + place < size[own[w]][:, None])
-            gain[w] = np.where(scored, got, 0).sum(axis=1, dtype=np.float64)
-        return total + np.bincount(own, gain, len(size)) / np.log(10)
+            got = (target - np.log(out.sum(axis=1))).reshape(asks.shape)
+            out_gain[b : b + batch] = np.where(place[repeated:] < left[b : b + batch, None], got, 0).sum(axis=1, dtype=np.float64)
+        return out_gain
 
 
 def training_windows(docs: Iterator[tuple[np.ndarray, int]], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -36,6 +36,16 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 10 == 0, F.lit(False))
 
 
+class Known(dict):
+    """Scores of common words; others count as nothing and are noted."""
+
+    missing: list[bytes]
+
+    def __missing__(self, word: bytes) -> float:
+        self.missing.append(word)
+        return 0.0
+
+
 def _end_id(path: str) -> int:
     return word_ids(path).tokenizer.token_to_id(END_TOKEN)
 
@@ -129,7 +139,8 @@ def _train(texts: DataFrame, kind: np.ndarray, trainers: int, rounds: int) -> np
                 yield pa.record_batch([pa.array([t]), pa.array([len(rows)]), pa.array([got.tobytes()], pa.binary())], names=["trainer", "windows", "weights"])
 
         own = windows.where(F.pmod(F.shiftright("number", 7), F.lit(rounds)) == r)
-        got = in_batches(own.repartition(trainers, "trainer"), work, "trainer bigint, windows bigint, weights binary").orderBy("trainer").collect()  # a row for each trainer
+        got = in_batches(own.repartition(trainers, "trainer"), work, "trainer bigint, windows bigint, weights binary").collect()  # a row for each trainer
+        got.sort(key=lambda g: g["trainer"])
         if got:
             flat = np.average([np.frombuffer(g["weights"]) for g in got], axis=0, weights=[g["windows"] for g in got])
     return flat
@@ -144,26 +155,25 @@ def _score(texts: DataFrame, common: dict[bytes, int], total: int, distinct: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, model = shared.value
+        table = Known(common)
         names = ["row", "id", "held_out", "n_tokens", "known", "base", "score", "word", "n"]
         for batch in slices(batches, "text"):
             ids = batch.column("ids").to_pylist()
             size = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
             score = model.score(np.frombuffer(b"".join(ids), "<u2"), size)
             rows, tokens, known, base, rare = batch.column("row").to_pylist(), [], [], [], ([], [], [])
-            get = common.get
             for row, text in zip(rows, batch.column("text").to_pylist(), strict=True):
                 words = text.encode().lower().split()
                 words.append(b"")
-                got = list(map(get, words))
+                table.missing = missing = []
+                base.append(sum(map(table.__getitem__, words)) - bottom * len(words))
                 tokens.append(len(words))
-                if None in got:
-                    missing = Counter(w for w, x in zip(words, got, strict=True) if x is None)
-                    got = [x for x in got if x is not None]
-                    rare[0].extend([row] * len(missing))
-                    rare[1].extend(missing)
-                    rare[2].extend(missing.values())
-                known.append(len(got))
-                base.append(math.fsum(got) - bottom * len(words))
+                known.append(len(words) - len(missing))
+                if missing:
+                    counts = Counter(missing)
+                    rare[0].extend([row] * len(counts))
+                    rare[1].extend(counts)
+                    rare[2].extend(counts.values())
             n = batch.num_rows
             yield pa.record_batch([batch.column("row"), batch.column("id"), batch.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names=names)
             n = len(rare[0])
