@@ -146,6 +146,18 @@ def _train(texts: DataFrame, kind: np.ndarray, trainers: int, rounds: int) -> np
     return flat
 
 
+def _least_common(counts: DataFrame, common: int) -> int:
+    """The count from which on words are broadcast, so that there are at most common of them: from a histogram of some hundred steps."""
+    steps = counts.groupBy(F.floor(F.log2("c") * 16).alias("step")).agg(F.count("*").alias("n"), F.min("c").alias("least")).orderBy(F.desc("step")).collect()
+    least, words = 1 << 62, 0
+    for r in steps:
+        words += r["n"]
+        if words > common:
+            break
+        least = r["least"]
+    return least
+
+
 def _score(texts: DataFrame, common: dict[bytes, int], total: int, distinct: int, model: Scorer) -> DataFrame:
     """Documents' rows with the model's score and the base score of common words, and a row for each rarer word of each."""
     spark = texts.sparkSession
@@ -199,15 +211,15 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts = written(read.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     whole = counts.agg(F.sum("c").alias("total"), F.count("*").alias("distinct")).first()
     total, distinct = whole["total"] or 0, whole["distinct"]
-    top = counts.orderBy(F.desc("c"), "word").limit(common).toArrow()
+    least = _least_common(counts, common)
+    top = counts.where(F.col("c") >= least).toArrow()
     known = dict(zip(top.column("word").cast(pa.binary()).to_pylist(), np.log10(top.column("c").to_numpy() + ADD).tolist(), strict=True))
-    least = top.column("c")[len(top) - 1].as_py() if len(top) else 0
 
     learned = texts.where(~F.col("held_out"))
     kind, within = token_classes(_class_counts(learned, vocabulary))
     model = Scorer(_train(learned, kind, trainers, rounds), kind, within)
     scored = written(_score(texts, known, total, distinct, model), "scored")
-    rest = counts.where(F.col("c") <= least)  # a word that was not broadcast is no commoner than the rarest that was
+    rest = counts.where(F.col("c") < least)
     rare = scored.where(F.col("word").isNotNull()).select("row", "word", "n").join(rest, "word", "left")
     gain = F.col("n") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(ADD))
     sums = written(rare.groupBy("row").agg(F.sum(gain).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known")), "rare-words")
