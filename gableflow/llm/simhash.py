@@ -83,46 +83,59 @@ def xxh64(buf: bytes, start: np.ndarray, length: np.ndarray, seed: int = SEED) -
     return h
 
 
-def fingerprints(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
-    """The 64-bit SimHash of each text: a bit is set if it is set in over half of the hashes of its word shingles."""
+def shingle_hashes(texts: list[str | None], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(how many shingles each text has, all their hashes in order). Repeats count; fewer words make one shingle, none none."""
     words: list[bytes] = []
     count = np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
         own = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z change, only ASCII space splits
         count[i] = len(own)
         words += own
-    out = np.zeros(len(texts), np.uint64)
+    made = np.where(count > 0, np.maximum(count - shingle + 1, 1), 0)
     if not words:
-        return out
+        return made, np.zeros(0, np.uint64)
     size = np.fromiter(map(len, words), np.int64, len(words))
     begin = np.cumsum(size + 1) - (size + 1)
     buf = b" ".join(words) + bytes(8)
-    has = np.flatnonzero(count)
-    n = count[has]
-    made = np.maximum(n - shingle + 1, 1)
-    ends = np.cumsum(made)
-    first = np.arange(ends[-1]) + np.repeat(np.cumsum(n) - n - (ends - made), made)
-    last = first + np.repeat(np.minimum(n, shingle) - 1, made)
     del words
+    first = np.arange(made.sum()) + np.repeat(np.cumsum(count) - count - (np.cumsum(made) - made), made)
+    last = first + np.repeat(np.minimum(count, shingle) - 1, made)
+    out = np.empty(len(first), np.uint64)
+    for at in range(0, len(out), 1 << 16):
+        f, t = first[at : at + (1 << 16)], last[at : at + (1 << 16)]
+        out[at : at + (1 << 16)] = xxh64(buf, begin[f], begin[t] + size[t] - begin[f])
+    return made, out
+
+
+def majority(made: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The 64-bit SimHash of each text: a bit is set if it is set in over half of the hashes."""
+    out = np.zeros(len(made), np.uint64)
+    has = np.flatnonzero(made)
+    n = made[has]
+    ends = np.cumsum(n)
     docs_at, step = 0, 1 << 16
     while docs_at < len(has):
-        to = max(docs_at + 1, int(np.searchsorted(ends, (ends[docs_at] - made[docs_at]) + step, "right")))
-        a, b = int(ends[docs_at] - made[docs_at]), int(ends[to - 1])
+        a = int(ends[docs_at] - n[docs_at])
+        to = max(docs_at + 1, int(np.searchsorted(ends, a + step, "right")))
         total = np.zeros((to - docs_at, 64), np.int64)
-        for c in range(a, b, step):  # one document may have more shingles than a step
-            d = min(b, c + step)
-            h = xxh64(buf, begin[first[c:d]], begin[last[c:d]] + size[last[c:d]] - begin[first[c:d]])
-            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        for c in range(a, int(ends[to - 1]), step):  # one document may have more shingles than a step
+            d = min(int(ends[to - 1]), c + step)
+            bits = np.unpackbits(hashes[c:d].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             lo = int(np.searchsorted(ends, c, "right"))
             hi = int(np.searchsorted(ends, d - 1, "right")) + 1
-            cuts = np.maximum(ends[lo:hi] - made[lo:hi] - c, 0)
+            cuts = np.maximum(ends[lo:hi] - n[lo:hi] - c, 0)
             total[lo - docs_at : hi - docs_at] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
-        over = (2 * total > made[docs_at:to, None]).astype(np.uint8)
+        over = (2 * total > n[docs_at:to, None]).astype(np.uint8)
         out[has[docs_at:to]] = np.packbits(over, axis=1, bitorder="little").view(np.uint64).ravel()
         docs_at = to
     return out
 
 
+def fingerprints(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit SimHash of each text over its word shingles; zero for a text without words."""
+    return majority(*shingle_hashes(texts, shingle))
+
+
 def planes(fps: np.ndarray) -> np.ndarray:
     """Bit planes: row j holds bit j of every fingerprint, 64 fingerprints to a word; the tail is padded with zeros."""
     bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").T
@@ -210,22 +223,44 @@ def joined(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 TILE_SCHEMA = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def linked(key: np.ndarray, a: np.ndarray, b: np.ndarray, part: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stars of links of whole tiles; the rows of a tile (key, a, b) stand together."""
+def linked(key: np.ndarray, a: np.ndarray, b: np.ndarray, part: np.ndarray, fp: np.ndarray, radius: int, name: np.ndarray | None = None, alike=None) -> tuple[np.ndarray, np.ndarray]:
+    """Stars of links (names, fingerprints without) of whole tiles; the rows of a tile (key, a, b) stand together.
+
+    alike(i, j), where given, has the last word on two rows that are within the radius; it is not asked about rows that
+    are connected already.
+    """
     new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     size = np.diff(np.r_[new, len(key)])
     root = np.arange(len(fp))
     run = np.repeat(np.arange(len(new)), size)
+
+    def joined_by(root: np.ndarray, u: np.ndarray, v: np.ndarray, base: int = 0) -> np.ndarray:
+        if alike is None:
+            return joined(root, u, v)
+        open_ = np.flatnonzero(root[u] != root[v])
+        for i, j in zip(u[open_].tolist(), v[open_].tolist(), strict=True):
+            p, q = root[i], root[j]
+            if p != q and alike(base + i, base + j):
+                root[root == max(p, q)] = min(p, q)
+        return root
+
     small = np.repeat((size <= 32) & (a[new] == b[new]), size)
     at = np.flatnonzero(small)
     for k in range(1, int(size[(size <= 32)].max(initial=1))):
-        i = at[:-k] if k else at
-        i = i[(i + k < len(run))]
-        i = i[run[i + k] == run[i]]
+        i = at[:-k]
+        i = i[run[i + k] == run[i]] if len(i) else i
         if not len(i):
             break
-        hit = within(fp[i], fp[i + k], radius)
-        root = joined(root, i[hit], i[hit] + k)
+        hit = i[within(fp[i], fp[i + k], radius)]
+        if alike is None:
+            root = joined(root, hit, hit + k)
+        else:
+            for x in hit.tolist():  # a run has few rows: its roots are looked through one by one
+                lo, hi = new[run[x]], new[run[x]] + size[run[x]]
+                p, q = root[x], root[x + k]
+                if p != q and alike(x, x + k):
+                    own = root[lo:hi]
+                    own[own == max(p, q)] = min(p, q)
     for t in np.flatnonzero(~small[new]):
         rows = np.arange(new[t], new[t] + size[t])
         if a[new[t]] == b[new[t]]:
@@ -234,23 +269,39 @@ def linked(key: np.ndarray, a: np.ndarray, b: np.ndarray, part: np.ndarray, fp:
             left, right = rows[part[rows] == a[new[t]]], rows[part[rows] == b[new[t]]]
         own = np.arange(len(rows))
         for x, y in near(fp[left], fp[right], radius):
-            own = joined(own, left[x] - new[t], right[y] - new[t])
+            own = joined_by(own, left[x] - new[t], right[y] - new[t], new[t])
         root[rows] = own + new[t]
     out = np.flatnonzero(root != np.arange(len(root)))
-    return fp[out], fp[root[out]]
+    name = fp if name is None else name
+    return name[out], name[root[out]]
+
 
+def _tiles(radius: int, similarity: float | None = None):
+    """Rows (key, a, b, part, fp, and with a similarity: num, sketch), sorted by tile -> links."""
 
-def _tiles(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def flush(cols):
             if len(cols[0]):
-                u, v = linked(*cols[:4], cols[4].view(np.uint64), radius)
+                name = alike = None
+                if similarity is not None:
+                    name, sketches = cols[5], [np.frombuffer(x, np.uint32) for x in cols[6]]
+                    asked: dict[tuple[int, int], bool] = {}
+
+                    def alike(i, j):
+                        pair = (int(name[i]), int(name[j]))
+                        if pair not in asked:
+                            asked[pair] = jaccard(sketches[i], sketches[j]) >= similarity
+                        return asked[pair]
+
+                u, v = linked(*cols[:4], cols[4].view(np.uint64), radius, name, alike)
                 yield pa.record_batch([u.view(np.int64), v.view(np.int64)], schema=TILE_SCHEMA)
 
         for batch in batches:
-            held.append([np.asarray(c) for c in batch.columns])
+            if not batch.num_rows:
+                continue
+            held.append([np.asarray(c) for c in batch.columns[:6]] + [np.array([x.as_py() for x in c], object) for c in batch.columns[6:]])
             last = [c[-1] for c in held[-1][:3]]
             if all(c[0] == x for c, x in zip(held[-1][:3], last, strict=True)):
                 continue  # the tile goes on
@@ -284,13 +335,22 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     wide = max(b - a for a, b in zip(cuts, cuts[1:], strict=False))
     keys = [F.lit(t << 2 * wide).bitwiseOR(F.shiftleft(value(i), wide)).bitwiseOR(value(j)) for t, (i, j) in enumerate(combinations(range(blocks), 2))]
     placed = fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
+    return in_batches(_cut(placed, tile), _tiles(radius), "u bigint, v bigint")
+
+
+def _cut(placed: DataFrame, tile: int, details: DataFrame | None = None) -> DataFrame:
+    """placed (key, fp, maybe num) -> sorted rows of the tiles of buckets with several rows; details (num, sketch) are added to those rows only."""
+    own = [c for c in placed.columns if c != "key"]
     sizes = written(placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
     parts = F.ceil(F.col("n") / tile).cast("int")
-    cut = placed.join(sizes, "key").select("key", "fp", parts.alias("parts"), F.pmod(F.xxhash64("fp"), parts).cast("int").alias("part"))
-    tiles = cut.select("key", "part", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    tiles = tiles.select("key", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "fp")
-    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return in_batches(tiles.repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b"), _tiles(radius), "u bigint, v bigint")
+    cut = placed.join(sizes, "key").select("key", *own, parts.alias("parts"), F.pmod(F.xxhash64(*own), parts).cast("int").alias("part"))
+    if details is not None:
+        cut = cut.join(details, "num")
+    more = [*own, *(["sketch"] if details is not None else [])]
+    tiles = cut.select("key", "part", *more, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    tiles = tiles.select("key", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", *more)
+    n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tiles.repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -309,5 +369,71 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: Near copies by similarity: shingle, similarity, radius of the comparison, bands and their rows, hashes kept of a text.
+NEAR_SHINGLE, SIMILARITY, NEAR_RADIUS, BANDS, ROWS, KEPT = 5, 0.8, 24, 12, 4, 256
+
+
+def band_keys(made: np.ndarray, hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """(texts, bands): texts share a band with probability similarity ** rows. Texts without words share all."""
+    out = np.zeros((len(made), bands), np.uint64)
+    has = np.flatnonzero(made)
+    if len(has):
+        starts = np.cumsum(made[has]) - made[has]
+        factors = np.random.default_rng(11).integers(1, 1 << 63, bands * rows, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
+        with np.errstate(over="ignore"):
+            for b in range(bands):
+                key = np.full(len(has), np.uint64(b + 1) * P5)
+                for f in factors[b * rows : (b + 1) * rows]:
+                    key = _rotl((key ^ np.minimum.reduceat(hashes * f, starts)) * P1, 31) * P2
+                out[has, b] = key
+    return out
+
+
+def sketch(hashes: np.ndarray, kept: int = KEPT) -> bytes:
+    """The least distinct hashes of a text, 32 bits each, in order; a text with fewer has all of them."""
+    own = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+    return own[:kept].tobytes()
+
+
+def jaccard(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
+    """Similarity of two texts' shingle sets by their sketches: exact where both hold all, else over the least of both."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    end = min([int(x[-1]) for x in (a, b) if len(x) >= kept], default=1 << 32)
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    both = np.searchsorted(a, end, "right") + np.searchsorted(b, end, "right") - common
+    return common / both
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, tile: int = TILE // 2) -> DataFrame:
+    """One row per row of docs: id_col, component_id (smallest id reachable over links of at least the similarity).
+
+    At this similarity SimHash fingerprints of linked texts differ in up to a third of their bits, too many for blocks of
+    equal bits. Texts meet where all rows of a band of sampled shingles agree, a bucket's fingerprints are compared bit-
+    sliced as above at a wide radius, and pairs that pass are checked by their shingle sets. Nulls, repeats and empty
+    texts are treated as in simhash_components.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            made, hashes = shingle_hashes(batch.column(2).to_pylist(), shingle)
+            ends = np.cumsum(made)
+            keys = band_keys(made, hashes).view(np.int64)
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
+            sketches = [sketch(hashes[e - n : e]) for e, n in zip(ends.tolist(), made.tolist(), strict=True)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(majority(made, hashes).view(np.int64)), bands, pa.array(sketches, pa.binary())], names=["num", "id", "fp", "bands", "sketch"])
+
+    numbered = docs.select(F.monotonically_increasing_id().alias("num"), F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
+    rows = written(in_batches(numbered, run, f"num bigint, id {kind}, fp bigint, bands array<bigint>, sketch binary"), "near-features")
+    placed = rows.select(F.explode("bands").alias("key"), "fp", "num")
+    tiles = _cut(placed, tile, rows.select("num", "sketch"))
+    stars = connected(in_batches(tiles, _tiles(radius, similarity), "u bigint, v bigint"))
+    named = rows.select("num", "id")
+    rooted = written(named.join(stars, named["num"] == stars["node"], "left").select("id", F.coalesce("root", "num").alias("root")), "rooted")
+    least = written(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "component-ids")
+    return rooted.join(least, "root").select(F.col("id").alias(id_col), "component_id")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
