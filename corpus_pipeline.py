@@ -41,9 +41,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component of near copies: the one with the smallest id."""
+    """Keep one document of each component of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
     named = docs.select(F.struct(F.col("doc_id"), F.sha2(whole_text(), 256).alias("text_sha256")).alias("id"), "text")
-    found = simhash.simhash_components(named, "id").select("id.*", (F.col("id") == F.col("component_id")).alias("kept"))
+    found = simhash.near_copies(named, "id").select("id.*", (F.col("id") == F.col("component_id")).alias("kept"))
     return _stay(docs, written(found, "judged"))
 
 
