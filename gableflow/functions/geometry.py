@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 ZERO = 1e-10
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once: an expression written several times would be evaluated as often."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _pairs(ring: Column, f) -> Column:
     """f(p, q) for every edge of a closed ring."""
     n = F.size(ring)
@@ -20,10 +25,14 @@ def _total(values: Column) -> Column:
 
 def newell(ring: Column, shift_origin: bool = True) -> Column:
     """Newell vector struct(x, y, z) of a closed ring, from differences to its first point; null below two edges."""
-    o = F.element_at(ring, 1) if shift_origin else None
-    at = (lambda p, c: p[c] - o[c]) if shift_origin else (lambda p, c: p[c])
-    part = lambda a, b: _total(_pairs(ring, lambda p, q: (p[a] - q[a]) * (at(p, b) + at(q, b))))
-    return F.when(F.size(ring) >= 3, F.struct(part("y", "z").alias("x"), part("z", "x").alias("y"), part("x", "y").alias("z")))
+
+    def about(ring: Column, o: Column | None) -> Column:
+        at = (lambda p, c: p[c] - o[c]) if shift_origin else (lambda p, c: p[c])
+        part = lambda a, b: _total(_pairs(ring, lambda p, q: (p[a] - q[a]) * (at(p, b) + at(q, b))))
+        return F.struct(part("y", "z").alias("x"), part("z", "x").alias("y"), part("x", "y").alias("z"))
+
+    own = lambda r: F.when(F.size(r) >= 3, let(F.element_at(r, 1), lambda o: about(r, o)))
+    return let(ring, own)
 
 
 def length(v: Column) -> Column:
@@ -36,7 +45,14 @@ def scaled(v: Column, by: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """v / |v|; null for a degenerate face."""
-    return F.when(length(v) > ZERO, F.struct(*((v[c] / length(v)).alias(c) for c in "xyz")))
+    by = lambda v: let(length(v), lambda m: F.when(m > ZERO, F.struct(*((v[c] / m).alias(c) for c in "xyz"))))
+    return let(v, by)
+
+
+def plane(ring: Column, shift_origin: bool = True) -> Column:
+    """struct(newell, normal) of a closed ring, null for a degenerate one: one expression, so that a filter on it stays cheap."""
+    own = lambda v: let(unit(v), lambda u: F.when(u.isNotNull(), F.struct(v.alias("newell"), u.alias("normal"))))
+    return let(newell(ring, shift_origin), own)
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -45,11 +61,14 @@ def dot(a: Column, b: Column) -> Column:
 
 def surface_area(polygon: Column, normal: Column) -> Column:
     """Area in the plane of the unit normal: exterior minus holes; null where anything is null."""
-    half = lambda ring: F.abs(dot(newell(ring), normal)) / 2
-    holes = F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(0)))
-    flat = half(F.element_at(polygon, 1)) - _total(F.transform(holes, half))
+    half = lambda ring: let(newell(ring), lambda v: F.abs(dot(v, normal)) / 2)
+    flat = half(F.element_at(polygon, 1)) - _total(F.transform(_holes(polygon), half))
     # a face that flattens to nothing: its height times its largest extent in the plane
-    return F.when(flat == 0.0, height(polygon) * max_distance_2d(F.element_at(polygon, 1))).otherwise(flat)
+    return let(flat, lambda a: F.when(a == 0.0, height(polygon) * max_distance_2d(F.element_at(polygon, 1))).otherwise(a))
+
+
+def _holes(polygon: Column) -> Column:
+    return F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(0)))
 
 
 def max_distance_2d(ring: Column) -> Column:
@@ -57,8 +76,7 @@ def max_distance_2d(ring: Column) -> Column:
 
 
 def height(polygon: Column) -> Column:
-    z = F.transform(F.flatten(polygon), lambda p: p["z"])
-    return F.array_max(z) - F.array_min(z)
+    return let(F.transform(F.flatten(polygon), lambda p: p["z"]), lambda z: F.array_max(z) - F.array_min(z))
 
 
 def tilt(normal: Column) -> Column:
@@ -77,13 +95,12 @@ def _cross(ring: Column, o: Column) -> Column:
 
 
 def ring_area_2d(ring: Column) -> Column:
-    return F.abs(_total(_cross(ring, F.element_at(ring, 1)))) / 2
+    return let(F.element_at(ring, 1), lambda o: F.abs(_total(_cross(ring, o))) / 2)
 
 
 def polygon_area_2d(polygon: Column) -> Column:
     """Shoelace area of the projection: exterior minus holes."""
-    holes = F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(0)))
-    return ring_area_2d(F.element_at(polygon, 1)) - _total(F.transform(holes, ring_area_2d))
+    return ring_area_2d(F.element_at(polygon, 1)) - _total(F.transform(_holes(polygon), ring_area_2d))
 
 
 def area_2d(multipolygon: Column) -> Column:
@@ -96,36 +113,43 @@ def _moments(ring: Column, o: Column, sign: Column | int) -> Column:
     a = _total(_pairs(ring, cross)) / 2
     x = _total(_pairs(ring, lambda p, q: (p["x"] + q["x"] - 2 * o["x"]) * cross(p, q))) / 6
     y = _total(_pairs(ring, lambda p, q: (p["y"] + q["y"] - 2 * o["y"]) * cross(p, q))) / 6
-    by = F.when(a < 0, -1.0).otherwise(1.0) * sign
-    return F.struct((a * by).alias("a"), (x * by).alias("x"), (y * by).alias("y"))
+    by = lambda m: F.when(m["a"] < 0, -1.0).otherwise(1.0) * sign
+    return let(F.struct(a.alias("a"), x.alias("x"), y.alias("y")), lambda m: F.struct(*((m[c] * by(m)).alias(c) for c in "axy")))
 
 
 def centroid_2d(multipolygon: Column) -> Column:
     """struct(x, y): area-weighted; for a projection without area, such as a wall's, weighted by edge lengths."""
-    o = F.element_at(F.element_at(F.element_at(multipolygon, 1), 1), 1)
-    parts = F.flatten(F.transform(multipolygon, lambda polygon: F.transform(polygon, lambda ring, i: _moments(ring, o, F.when(i == 0, 1.0).otherwise(-1.0)))))
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    m = F.aggregate(parts, zero, lambda acc, p: F.struct((acc["a"] + p["a"]).alias("a"), (acc["x"] + p["x"]).alias("x"), (acc["y"] + p["y"]).alias("y")))
-    long = lambda p, q: F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"]))
-    rings = F.transform(multipolygon, lambda polygon: F.element_at(polygon, 1))
-    over = lambda f: _total(F.transform(rings, lambda ring: _total(_pairs(ring, f))))
-    total = over(long)
-    by_length = F.struct(
-        F.when(total > 0, o["x"] + over(lambda p, q: (p["x"] + q["x"] - 2 * o["x"]) / 2 * long(p, q)) / total).otherwise(o["x"]).alias("x"),
-        F.when(total > 0, o["y"] + over(lambda p, q: (p["y"] + q["y"] - 2 * o["y"]) / 2 * long(p, q)) / total).otherwise(o["y"]).alias("y"),
-    )
-    return F.when(F.size(multipolygon) > 0, F.when(m["a"] > ZERO, F.struct((o["x"] + m["x"] / m["a"]).alias("x"), (o["y"] + m["y"] / m["a"]).alias("y"))).otherwise(by_length))
+
+    def about(o: Column) -> Column:
+        parts = F.flatten(F.transform(multipolygon, lambda polygon: F.transform(polygon, lambda ring, i: _moments(ring, o, F.when(i == 0, 1.0).otherwise(-1.0)))))
+        zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+        sums = F.aggregate(parts, zero, lambda acc, p: F.struct((acc["a"] + p["a"]).alias("a"), (acc["x"] + p["x"]).alias("x"), (acc["y"] + p["y"]).alias("y")))
+        long = lambda p, q: F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"]))
+        rings = F.transform(multipolygon, lambda polygon: F.element_at(polygon, 1))
+        over = lambda f: _total(F.transform(rings, lambda ring: _total(_pairs(ring, f))))
+        middle = lambda c, total: F.when(total > 0, o[c] + over(lambda p, q: (p[c] + q[c] - 2 * o[c]) / 2 * long(p, q)) / total).otherwise(o[c]).alias(c)
+        by_length = let(over(long), lambda total: F.struct(middle("x", total), middle("y", total)))
+        return let(sums, lambda m: F.when(m["a"] > ZERO, F.struct((o["x"] + m["x"] / m["a"]).alias("x"), (o["y"] + m["y"] / m["a"]).alias("y"))).otherwise(by_length))
+
+    return F.when(F.size(multipolygon) > 0, let(F.element_at(F.element_at(F.element_at(multipolygon, 1), 1), 1), about))
 
 
 def interior_point(multipolygon: Column) -> Column:
     """struct(x, y) inside: the middle of the widest inner stretch at half height; null without an inner stretch."""
-    rings = F.flatten(multipolygon)
-    ys = F.transform(F.flatten(rings), lambda p: p["y"])
-    mid = (F.array_min(ys) + F.array_max(ys)) / 2
-    hit = lambda p, q: F.when(((p["y"] <= mid) & (q["y"] > mid)) | ((q["y"] <= mid) & (p["y"] > mid)), p["x"] + (mid - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"]))
-    xs = F.sort_array(F.filter(F.flatten(F.transform(rings, lambda ring: _pairs(ring, hit))), lambda x: x.isNotNull()))
-    spans = F.transform(F.sequence(F.lit(1), F.floor(F.size(xs) / 2).cast("int")), lambda i: F.struct((F.element_at(xs, 2 * i) - F.element_at(xs, 2 * i - 1)).alias("w"), ((F.element_at(xs, 2 * i) + F.element_at(xs, 2 * i - 1)) / 2).alias("x")))
-    return F.when(F.size(xs) >= 2, F.struct(F.array_max(spans)["x"].alias("x"), mid.alias("y")))
+
+    def at(mid: Column) -> Column:
+        hit = lambda p, q: F.when(((p["y"] <= mid) & (q["y"] > mid)) | ((q["y"] <= mid) & (p["y"] > mid)), p["x"] + (mid - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"]))
+        found = F.sort_array(F.filter(F.flatten(F.transform(F.flatten(multipolygon), lambda ring: _pairs(ring, hit))), lambda x: x.isNotNull()))
+
+        def widest(xs: Column) -> Column:
+            span = lambda i: F.struct((F.element_at(xs, 2 * i) - F.element_at(xs, 2 * i - 1)).alias("w"), ((F.element_at(xs, 2 * i) + F.element_at(xs, 2 * i - 1)) / 2).alias("x"))
+            spans = F.transform(F.sequence(F.lit(1), F.floor(F.size(xs) / 2).cast("int")), span)
+            return F.when(F.size(xs) >= 2, F.struct(F.array_max(spans)["x"].alias("x"), mid.alias("y")))
+
+        return let(found, widest)
+
+    ys = F.transform(F.flatten(F.flatten(multipolygon)), lambda p: p["y"])
+    return let(let(ys, lambda y: (F.array_min(y) + F.array_max(y)) / 2), at)
 
 
 def points(multipolygon: Column) -> Column:
@@ -140,9 +164,8 @@ def complexity(n: Column) -> Column:
 
 def bbox(multipolygon: Column) -> Column:
     """struct(xmin, ymin, zmin, xmax, ymax, zmax)."""
-    p = F.flatten(F.flatten(multipolygon))
-    side = lambda f, c: f(F.transform(p, lambda q: q[c])).alias(c + f.__name__.removeprefix("array_"))
-    return F.struct(*(side(F.array_min, c) for c in "xyz"), *(side(F.array_max, c) for c in "xyz"))
+    side = lambda p, f, c: f(F.transform(p, lambda q: q[c])).alias(c + f.__name__.removeprefix("array_"))
+    return let(F.flatten(F.flatten(multipolygon)), lambda p: F.struct(*(side(p, F.array_min, c) for c in "xyz"), *(side(p, F.array_max, c) for c in "xyz")))
 
 
 def cells(box: Column, size: float, pad: float = 0.0) -> Column:

@@ -9,6 +9,7 @@ from .. import schema
 from ..functions import geometry as G
 from ..functions import kernels
 from ..functions.scalars import half_even, r2
+from ..staging import written
 from .batched import with_kernel
 from .faces import GROUND, ROOF, WALL
 
@@ -50,7 +51,7 @@ def roof_complexity(count: Column) -> Column:
 
 def aggregate_buildings(faces: DataFrame, country: str | None = None, room_height: float = ROOM_HEIGHT) -> DataFrame:
     """Building records from surface_raw, before volumes, the storeys step and matching."""
-    own = footprint_union(rollup(faces))
+    own = footprint_union(written(rollup(faces), "rollup"))  # read twice below: the roll-up itself runs once
     some = F.when(F.size("footprint") > 0, F.col("footprint"))
     storeys = F.when(F.col("min_height") > 0, half_even(F.col("min_height") / room_height)).otherwise(1)
     return own.withColumn("fp", some).select(

@@ -67,8 +67,8 @@ def newell_relational(faces: DataFrame, *keys: str) -> DataFrame:
 
 def normals(faces: DataFrame, *, shift_origin: bool = True) -> DataFrame:
     """faces with newell and the unit normal of the exterior; degenerate faces are dropped."""
-    out = faces.withColumn("newell", G.newell(F.element_at("geom", 1), shift_origin)).withColumn("normal", G.unit(F.col("newell")))
-    return out.where(F.col("normal").isNotNull())
+    out = faces.withColumn("__plane", G.plane(F.element_at("geom", 1), shift_origin)).where(F.col("__plane").isNotNull())
+    return out.withColumns({"newell": F.col("__plane.newell"), "normal": F.col("__plane.normal")}).drop("__plane")
 
 
 def interior_points(faces: DataFrame) -> DataFrame:
