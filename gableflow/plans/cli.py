@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from ..operators import matching
 from ..operators.rows import upsert
 from ..sources import readers
+from ..staging import written
 from .pipeline import Config, Workspace, extract_features, link_buildings
 
 log = logging.getLogger("gableflow")
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.import_model:
         path, how = args.import_model, {"limit": args.import_limit, "existing": own.read("feature")}
         model = readers.cityjson(spark, path, **how) if path.endswith(("json", "jsonl")) else readers.citygml(spark, path, **how) if path.endswith(("gml", "xml")) else readers.tables(spark, path)
+        model = {name: written(df, name) for name, df in model.items()}  # read in full before the first table grows
         for name in ("feature", "geometry_data", "property"):
             own.append(name, model[name])
         own.replace("objectclass", model.get("objectclass", readers.objectclass(spark)))
@@ -54,7 +56,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         model = {name: own.read(name) for name in ("feature", "geometry_data", "property", "objectclass")}
         for lod in cfg.lods:
             out = extract_features(model, own.read("tabula_variant"), cfg, lod, done=own.read("building"), existing_surfaces=own.read("surface"))
-            for name, df in (("surface_raw", out.surface_raw), ("building", out.building), ("surface", out.surface)):
+            surface = written(out.surface, "surface")
+            for name, df in (("surface_raw", out.surface_raw), ("building", out.building), ("surface", surface)):
                 own.append(name, df)
             log.info("lod %d extracted", lod)
     if args.link:

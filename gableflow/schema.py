@@ -9,15 +9,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 POINT = T.StructType([T.StructField(c, T.DoubleType()) for c in "xyz"])
+PLANE_POINT = T.StructType([T.StructField(c, T.DoubleType()) for c in "xy"])
 RING = T.ArrayType(POINT)
 POLYGON = T.ArrayType(RING)
 MULTIPOLYGON = T.ArrayType(POLYGON)
 
-_KINDS = {"l": T.LongType(), "i": T.IntegerType(), "h": T.ShortType(), "d": T.DoubleType(), "f": T.FloatType(), "s": T.StringType(), "b": T.BooleanType(), "t": T.TimestampType(), "a": T.ArrayType(T.IntegerType()), "p": POINT, "g": POLYGON, "m": MULTIPOLYGON}
+_KINDS = {"l": T.LongType(), "i": T.IntegerType(), "h": T.ShortType(), "d": T.DoubleType(), "f": T.FloatType(), "s": T.StringType(), "b": T.BooleanType(), "t": T.TimestampType(), "a": T.ArrayType(T.IntegerType()), "p": PLANE_POINT, "g": POLYGON, "m": MULTIPOLYGON}
 
 
 def table(spec: str) -> T.StructType:
-    """'name:kind name:kind': kinds are l long, i int, h short, d double, f float, s string, b boolean, t timestamp, a array of int, p point, g polygon, m multipolygon."""
+    """'name:kind name:kind': kinds are l long, i int, h short, d double, f float, s string, b boolean, t timestamp, a array of int, p point in the plane, g polygon, m multipolygon."""
     return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (part.split(":") for part in spec.split())])
 
 
