@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,28 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from ..staging import shared_dir, written
 
-#: What counts as white space between words: space and 0x09 to 0x0D.
-WORD_SPACE = r"[\x20\x09-\x0D]"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    here = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not here:
-        here = "file://" + tempfile.mkdtemp(prefix="gableflow-")
-        spark.conf.set("spark.checkpoint.dir", here)
-    return here.rstrip("/")
-
-
-def written(df: DataFrame, name: str, *, rows_per_file: int | None = None) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it again: the lineage ends at files that outlive executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    out = df.write.option("compression", "zstd")
-    if rows_per_file:
-        out = out.option("maxRecordsPerFile", rows_per_file)
-    out.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["in_batches", "shared_dir", "slices", "table", "whole_text", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
