@@ -3,7 +3,7 @@
 Labelled page outcomes (good or not) are counted by host, registered domain and suffix. Each level is a beta-binomial
 with the level above as its prior mean: the prior's strength is estimated from how much groups of that level differ more
 than chance lets them (moment estimator of the intraclass correlation). A host passes if the lower bound of its posterior
-does; a host without outcomes stands on its domain's, suffix's or the whole corpus's.
+does; a host without outcomes stands on its domain's, suffix's or the whole corpus's, whose mean starts from one good page.
 """
 
 from __future__ import annotations
@@ -76,10 +76,10 @@ def host_bounds(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
     ks, _, _ = _strength(by_suffix.select(F.col("suffix_n").alias("n"), F.col("suffix_good").alias("good")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
     known = written(hosts.groupBy("host").agg(F.lit(1).alias("one")).select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")), "hosts")
-    suffix = by_suffix.select("suffix", ((F.col("suffix_good") + F.lit(ks * ((g + 1.0) / (n + 2.0)))) / (F.col("suffix_n") + F.lit(ks))).alias("suffix_mean"))
+    suffix = by_suffix.select("suffix", ((F.col("suffix_good") + F.lit(ks * ((g + 1.0) / (n + 1.0)))) / (F.col("suffix_n") + F.lit(ks))).alias("suffix_mean"))
     domain = by_domain.join(suffix, "suffix").select("domain", ((F.col("domain_good") + F.lit(kd) * F.col("suffix_mean")) / (F.col("domain_n") + F.lit(kd))).alias("domain_mean"))
     joined = known.join(written(suffix, "suffix-means"), "suffix", "left").join(written(domain, "domain-means"), "domain", "left").join(by_host.select("host", "n", "good"), "host", "left")
-    mean = F.coalesce("domain_mean", "suffix_mean", F.lit((g + 1.0) / (n + 2.0)))
+    mean = F.coalesce("domain_mean", "suffix_mean", F.lit((g + 1.0) / (n + 1.0)))
     a = F.lit(kh) * mean + zero("good")
     b = F.lit(kh) * (1 - mean) + zero("n") - zero("good")
     return joined.select("host", (a / (a + b) - F.lit(BOUND) * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))).alias("bound"))
@@ -132,7 +132,7 @@ by_host AS (SELECT host, count(*) AS n, sum(good) AS good FROM own JOIN known ON
 by_domain AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM by_host JOIN names USING (host) GROUP BY domain, suffix),
 by_suffix AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM by_domain GROUP BY suffix),
 k AS (SELECT {_strength_sql("by_host", "n", "good")} AS kh, {_strength_sql("by_domain", "n", "good")} AS kd, {_strength_sql("by_suffix", "n", "good")} AS ks,
-             (SELECT (coalesce(sum(good), 0) + 1.0::DOUBLE) / (coalesce(sum(n), 0) + 2.0::DOUBLE) FROM by_suffix) AS m),
+             (SELECT (coalesce(sum(good), 0) + 1.0::DOUBLE) / (coalesce(sum(n), 0) + 1.0::DOUBLE) FROM by_suffix) AS m),
 suffix_means AS (SELECT suffix, (good + ks * m) / (n + ks) AS mean FROM by_suffix, k),
 domain_means AS (SELECT domain, (good + kd * mean) / (n + kd) AS mean FROM by_domain JOIN suffix_means USING (suffix), k),
 ab AS (SELECT names.host, kh * coalesce(d.mean, s.mean, m) + coalesce(h.good, 0) AS a, kh * (1 - coalesce(d.mean, s.mean, m)) + coalesce(h.n, 0) - coalesce(h.good, 0) AS b
