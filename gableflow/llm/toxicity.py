@@ -124,6 +124,14 @@ class BlockMaxIndex:
         return float(min(max(value, 0.0), 1.0)), [self.ids[i] for i in best[:EVIDENCE].tolist()]
 
 
+def _least_hashes(ids: DataFrame, n: int, sample: int) -> DataFrame:
+    """The sample rows with the least hashes. A bar somewhat above the last one's keeps the others from being sorted."""
+    if n > 2 * sample:
+        bar = -(1 << 63) + int((1 << 64) * (sample + 8 * math.sqrt(sample)) / n)
+        ids = ids.where(F.xxhash64("id") < F.lit(bar))
+    return ids.orderBy(F.xxhash64("id"), "id").limit(sample)
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = SAMPLE) -> tuple[list[str], BlockMaxIndex]:
     """Vocabulary and index from the labelled documents (label 0 or 1), of which a bounded sample by hash is used.
 
@@ -131,7 +139,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     that is labelled twice has its larger label, and of an id's repeated texts the least counts.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample)
+    known = written(known, "labels")
+    chosen = _least_hashes(known, known.count(), sample)
     own = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     examples = written(own.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")), "labelled-sample")
     total = examples.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
@@ -166,7 +175,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             )
 
     kind = examples.schema["id"].dataType.simpleString()
-    rows = in_batches(examples, vectors, f"id {kind}, label int, terms array<int>, counts array<int>, words bigint").orderBy(F.xxhash64("id"), "id").collect()
+    rows = in_batches(examples, vectors, f"id {kind}, label int, terms array<int>, counts array<int>, words bigint").withColumn("h", F.xxhash64("id")).collect()
+    rows.sort(key=lambda r: (r["h"], r["id"]))
     index = BlockMaxIndex([r["id"] for r in rows], [r["label"] for r in rows], [dict(zip(r["terms"], r["counts"], strict=True)) for r in rows], [r["words"] for r in rows], idf)
     return vocabulary, index
 
