@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, slices, table, whole_text
+from .common import held, in_batches, slices, table, whole_text
 
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 1024
 #: Words that a worker remembers, and the longest that it remembers.
@@ -166,14 +166,9 @@ class ByteBpe:
         return out
 
 
-_loaded: dict[str, ByteBpe] = {}
-
-
 def byte_bpe(path: str) -> ByteBpe:
     """The worker's own instance, kept from task to task."""
-    if path not in _loaded:
-        _loaded[path] = ByteBpe(path)
-    return _loaded[path]
+    return held(("bpe", path), lambda: ByteBpe(path))
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, path: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -193,7 +188,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             size = pa.compute.binary_length(batch.column(1)).cast(pa.int64())
             yield pa.record_batch([batch.column(0), size, pa.array(n, pa.int64()), pa.array([x > limit for x in n])], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
-    return in_batches(docs.select(F.col(id_col), whole_text(text_col).alias("text")), run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return in_batches(docs.select(F.col(id_col), whole_text(text_col).alias("text")), run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean", ("bpe", path))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,17 +12,38 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 from ..staging import shared_dir, written
 
-__all__ = ["in_batches", "shared_dir", "slices", "table", "whole_text", "written"]
+__all__ = ["held", "in_batches", "shared_dir", "slices", "table", "whole_text", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def in_batches(df: DataFrame, run, schema) -> DataFrame:
-    """mapInArrow over functions of this package, which is sent to the executors first."""
+_held: dict = {}
+
+
+def held(key, make):
+    """The worker's own instance of something costly, kept from task to task of the stages that hold it."""
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
+def keep_only(key) -> None:
+    """Give back what stages before this one held: a worker serves all of them, one after the other."""
+    for k in [k for k in _held if k != key]:
+        del _held[k]
+
+
+def in_batches(df: DataFrame, run, schema, holds=None) -> DataFrame:
+    """mapInArrow over functions of this package, which is sent to the executors first. holds: the key that run keeps."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only(holds)
+        return run(batches)
+
+    return df.mapInArrow(own, schema)
 
 
 def whole_text(col: str | Column = "text") -> Column:

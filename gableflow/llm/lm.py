@@ -25,8 +25,8 @@ from .packing import TOKENIZER, word_ids
 
 #: Smoothing of the base; words whose counts are broadcast; trainers and rounds of averaging.
 ADD, COMMON, TRAINERS, ROUNDS = 0.1, 400_000, 12, 2
-#: Words counted in memory before they are passed on.
-FLUSH = 400_000
+#: Words counted in memory before they are passed on, words whose ids a worker remembers, bytes of text at a time.
+FLUSH, REMEMBERED, SLICE = 400_000, 750_000, 4 << 20
 #: The end of a text: the word that no text holds, and the tokenizer's own end token.
 END, END_TOKEN = "", "<|endoftext|>"
 
@@ -46,16 +46,12 @@ class Known(dict):
         return 0.0
 
 
-def _end_id(path: str) -> int:
-    return word_ids(path).tokenizer.token_to_id(END_TOKEN)
-
-
-def _read(docs: DataFrame, id_col: str, text_col: str, held, path: str) -> DataFrame:
+def _read(docs: DataFrame, id_col: str, text_col: str, held, path: str, end_id: int) -> DataFrame:
     """Rows of documents (row, id, held_out, text, ids) and rows of training words with counts (word, n), in one pass."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = word_ids(path), np.array([_end_id(path)], "<u2").tobytes()
+        words, end = word_ids(path, REMEMBERED), np.array([end_id], "<u2").tobytes()
         counts: Counter[bytes] = Counter()
         id_type = None
 
@@ -67,15 +63,13 @@ def _read(docs: DataFrame, id_col: str, text_col: str, held, path: str) -> DataF
             return pa.record_batch(out, names=names)
 
         names = ["row", "id", "held_out", "text", "ids", "word", "n"]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             id_type = batch.schema.field("id").type
-            texts, held = batch.column("text"), batch.column("held_out").to_pylist()
-            split = words.split(texts.to_pylist())
+            texts, learned = batch.column("text"), [not h for h in batch.column("held_out").to_pylist()]
+            split = words.split(texts.to_pylist(), counts, learned)
             ids = [b"".join(map(words.known.__getitem__, own)) + end for own in split]
-            for own, out in zip(split, held, strict=True):
-                if not out:
-                    counts.update([w.lower() for w in own] if any(b"<|" in w for w in own) else own)
-                    counts[b""] += 1
+            if any(learned):
+                counts[b""] += sum(learned)
             n = batch.num_rows
             yield pa.record_batch([batch.column("row"), batch.column("id"), batch.column("held_out"), texts, pa.array(ids, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names=names)
             if len(counts) > FLUSH:
@@ -84,7 +78,7 @@ def _read(docs: DataFrame, id_col: str, text_col: str, held, path: str) -> DataF
             yield passed_on()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), held.alias("held_out"), whole_text(text_col).alias("text"))
-    return written(in_batches(rows, run, f"row bigint, id {kind}, held_out boolean, text string, ids binary, word string, n bigint"), "texts-and-words")
+    return written(in_batches(rows, run, f"row bigint, id {kind}, held_out boolean, text string, ids binary, word string, n bigint", ("words", path, REMEMBERED)), "texts-and-words")
 
 
 def _class_counts(texts: DataFrame, vocabulary: int) -> np.ndarray:
@@ -162,14 +156,13 @@ def _score(texts: DataFrame, common: dict[bytes, int], total: int, distinct: int
     """Documents' rows with the model's score and the base score of common words, and a row for each rarer word of each."""
     spark = texts.sparkSession
     kind = texts.schema["id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast((common, model))
+    shared = spark.sparkContext.broadcast((Known(common), model))
     bottom = math.log10(total + ADD * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, model = shared.value
-        table = Known(common)
+        table, model = shared.value
         names = ["row", "id", "held_out", "n_tokens", "known", "base", "score", "word", "n"]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids = batch.column("ids").to_pylist()
             size = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
             score = model.score(np.frombuffer(b"".join(ids), "<u2"), size)
@@ -205,8 +198,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty table gives an empty result; without training documents no token is known, and the model is as it starts.
     """
     path = path or public_tokenizers.path(TOKENIZER)
-    vocabulary = len(word_ids(path).ends)
-    read = _read(docs, id_col, text_col, held_out(id_col) if held is None else held, path)
+    words = word_ids(path, REMEMBERED)
+    vocabulary, end_id = len(words.ends), words.tokenizer.token_to_id(END_TOKEN)
+    read = _read(docs, id_col, text_col, held_out(id_col) if held is None else held, path, end_id)
     texts = read.where(F.col("row").isNotNull()).select("row", "id", "held_out", "text", "ids")
     counts = written(read.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     whole = counts.agg(F.sum("c").alias("total"), F.count("*").alias("distinct")).first()

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -22,12 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import in_batches, slices, table, whole_text, written
+from .common import held, in_batches, slices, table, whole_text, written
 
 WINDOW, END_ID = 2048, 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers, and the longest word that it remembers; others are tokenized each time.
-CACHE, CACHED_BYTES = 800_000, 96
+#: Words whose ids a worker remembers, the longest of them (others are tokenized each time), bytes of text at a time.
+CACHE, CACHED_BYTES, SLICE = 600_000, 96, 4 << 20
 #: One run of Latin letters, of which the tokenizer makes one pre-token, and the marks that may follow it as the next.
 LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-/:-@\[-`{-~]*"
 
@@ -39,7 +40,8 @@ class WordIds:
     in the result; words of any other kind are tokenized one by one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
+        self.cache = cache
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -84,29 +86,33 @@ class WordIds:
         """Each text's ids as little-endian unsigned 16-bit numbers."""
         return [b"".join(map(self.known.__getitem__, words)) for words in self.split(texts)]
 
-    def split(self, texts: list[str | None]) -> list[list[bytes]]:
-        """Each text's words; until the next call all of them are known."""
-        raw = ((t or "").encode() for t in texts)
+    def split(self, texts: list[str | None], counts: Counter | None = None, counted: list[bool] | None = None) -> list[list[bytes]]:
+        """Each text's words; until the next call all of them are known. counts: gets the lower-case words of the texts marked in counted."""
+        raw = [(t or "").encode() for t in texts]
         split = [(t if b"<|" in t else t.lower()).split() for t in raw]  # special tokens keep their case
-        met = set(chain.from_iterable(split))
+        if counts is None:
+            met = set(chain.from_iterable(split))
+        else:
+            plain = [c and b"<|" not in t for c, t in zip(counted, raw, strict=True)]
+            own = Counter(chain.from_iterable(w for w, p in zip(split, plain, strict=True) if p))
+            met = set(own).union(*(w for w, p in zip(split, plain, strict=True) if not p))
+            counts.update(own)
+            for t, c, p in zip(raw, counted, plain, strict=True):
+                if c and not p:
+                    counts.update(t.lower().split())
         for word in self.long:
             self.known.pop(word, None)
         self.long = [w for w in met if len(w) > CACHED_BYTES]
         fresh = met.difference(self.known)
-        if len(self.known) + len(fresh) > CACHE:
+        if len(self.known) + len(fresh) > self.cache:
             self.known = {w: ids for w in met if (ids := self.known.get(w)) is not None}
         self._learn(list(fresh))
         return split
 
 
-_words: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, cache: int = CACHE) -> WordIds:
     """The worker's own instance, kept from task to task."""
-    if path not in _words:
-        _words[path] = WordIds(path)
-    return _words[path]
+    return held(("words", path, cache), lambda: WordIds(path, cache))
 
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
@@ -116,14 +122,14 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, at = word_ids(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u2").tobytes()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids = [x + end for x in words.packed(batch.column(1).to_pylist())]
             n = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
             first = at + np.cumsum(n) - n
             at += int(n.sum())
             yield pa.record_batch([batch.column(0), pa.array(np.full(len(ids), part, np.int64)), pa.array(first), pa.array(n), pa.array(ids, pa.binary())], names=["id", "part", "first", "n", "ids"])
 
-    return in_batches(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")), run, f"id {kind}, part bigint, first bigint, n bigint, ids binary")
+    return in_batches(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")), run, f"id {kind}, part bigint, first bigint, n bigint, ids binary", ("words", path, CACHE))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
