@@ -28,7 +28,7 @@ from .common import held, in_batches, slices, table, whole_text, written
 WINDOW, END_ID = 2048, 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers, the longest of them (others are tokenized each time), bytes of text at a time.
-CACHE, CACHED_BYTES, SLICE = 600_000, 96, 4 << 20
+CACHE, CACHED_BYTES, SLICE = 800_000, 96, 4 << 20
 #: One run of Latin letters, of which the tokenizer makes one pre-token, and the marks that may follow it as the next.
 LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-/:-@\[-`{-~]*"
 
