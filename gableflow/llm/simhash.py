@@ -277,7 +277,7 @@ def linked(key: np.ndarray, a: np.ndarray, b: np.ndarray, part: np.ndarray, fp:
 
 
 def _tiles(radius: int, similarity: float | None = None):
-    """Rows (key, a, b, part, fp, and with a similarity: num, sketch), sorted by tile -> links."""
+    """Rows (key, a, b, part, fp, and with a similarity: num, shingles), sorted by tile -> links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -286,19 +286,19 @@ def _tiles(radius: int, similarity: float | None = None):
             if len(cols[0]):
                 name = alike = None
                 if similarity is not None:
-                    name, sketches = cols[5], [np.frombuffer(x, np.uint32) for x in cols[6]]
+                    name, sets = cols[5], [np.frombuffer(x, np.uint64) for x in cols[6]]
                     asked: dict[tuple[int, int], bool] = {}
 
                     def alike(i, j):
                         pair = (int(name[i]), int(name[j]))
                         if pair not in asked:
-                            asked[pair] = jaccard(sketches[i], sketches[j]) >= similarity
+                            asked[pair] = alike_sets(sets[i], sets[j], similarity)
                         return asked[pair]
 
                 u, v = linked(*cols[:4], cols[4].view(np.uint64), radius, name, alike)
                 yield pa.record_batch([u.view(np.int64), v.view(np.int64)], schema=TILE_SCHEMA)
 
-        for batch in batches:
+        for batch in batches if similarity is None else slices(batches, 6):
             if not batch.num_rows:
                 continue
             held.append([np.asarray(c) for c in batch.columns[:6]] + [np.array([x.as_py() for x in c], object) for c in batch.columns[6:]])
@@ -339,14 +339,18 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
 
 
 def _cut(placed: DataFrame, tile: int, details: DataFrame | None = None) -> DataFrame:
-    """placed (key, fp, maybe num) -> sorted rows of the tiles of buckets with several rows; details (num, sketch) are added to those rows only."""
-    own = [c for c in placed.columns if c != "key"]
-    sizes = written(placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
-    parts = F.ceil(F.col("n") / tile).cast("int")
+    """placed (key, fp, maybe num and size) -> sorted rows of the tiles of buckets with several rows; details (num, shingles) are added to those rows only.
+
+    Where rows have a size, a side of a tile is bounded by TILE_SHINGLES in sum as well.
+    """
+    own = [c for c in placed.columns if c not in ("key", "size")]
+    most = F.sum("size") if "size" in placed.columns else F.lit(0)
+    sizes = written(placed.groupBy("key").agg(F.count("*").alias("n"), most.alias("held")).where("n > 1"), "bucket-sizes")
+    parts = F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("held") / TILE_SHINGLES)).cast("int")
     cut = placed.join(sizes, "key").select("key", *own, parts.alias("parts"), F.pmod(F.xxhash64(*own), parts).cast("int").alias("part"))
     if details is not None:
         cut = cut.join(details, "num")
-    more = [*own, *(["sketch"] if details is not None else [])]
+    more = [*own, *(["shingles"] if details is not None else [])]
     tiles = cut.select("key", "part", *more, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     tiles = tiles.select("key", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", *more)
     n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -369,8 +373,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: Near copies by similarity: shingle, similarity, radius of the comparison, bands and their rows, hashes kept of a text.
-NEAR_SHINGLE, SIMILARITY, NEAR_RADIUS, BANDS, ROWS, KEPT = 5, 0.8, 24, 12, 4, 256
+#: Near copies by similarity: shingle, similarity, radius of the comparison, bands and their rows, shingles of a side of a tile.
+NEAR_SHINGLE, SIMILARITY, NEAR_RADIUS, BANDS, ROWS, TILE_SHINGLES = 5, 0.8, 24, 12, 4, 2 << 20
 
 
 def band_keys(made: np.ndarray, hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -389,20 +393,13 @@ def band_keys(made: np.ndarray, hashes: np.ndarray, bands: int = BANDS, rows: in
     return out
 
 
-def sketch(hashes: np.ndarray, kept: int = KEPT) -> bytes:
-    """The least distinct hashes of a text, 32 bits each, in order; a text with fewer has all of them."""
-    own = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
-    return own[:kept].tobytes()
-
-
-def jaccard(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
-    """Similarity of two texts' shingle sets by their sketches: exact where both hold all, else over the least of both."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    end = min([int(x[-1]) for x in (a, b) if len(x) >= kept], default=1 << 32)
+def alike_sets(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two texts' sets of shingle hashes, whole and in order, have at least the similarity; empty sets are equal."""
+    few, many = sorted((len(a), len(b)))
+    if not few or few < similarity * many - 1e-6:  # sizes alone tell
+        return few == many
     common = len(np.intersect1d(a, b, assume_unique=True))
-    both = np.searchsorted(a, end, "right") + np.searchsorted(b, end, "right") - common
-    return common / both
+    return common / (few + many - common) >= similarity
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, tile: int = TILE // 2) -> DataFrame:
@@ -410,7 +407,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     At this similarity SimHash fingerprints of linked texts differ in up to a third of their bits, too many for blocks of
     equal bits. Texts meet where all rows of a band of sampled shingles agree, a bucket's fingerprints are compared bit-
-    sliced as above at a wide radius, and pairs that pass are checked by their shingle sets. Nulls, repeats and empty
+    sliced as above at a wide radius, and pairs that pass are checked by their whole shingle sets. Nulls, repeats and empty
     texts are treated as in simhash_components.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -421,13 +418,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ends = np.cumsum(made)
             keys = band_keys(made, hashes).view(np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
-            sketches = [sketch(hashes[e - n : e]) for e, n in zip(ends.tolist(), made.tolist(), strict=True)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(majority(made, hashes).view(np.int64)), bands, pa.array(sketches, pa.binary())], names=["num", "id", "fp", "bands", "sketch"])
+            sets = [np.unique(hashes[e - n : e]) for e, n in zip(ends.tolist(), made.tolist(), strict=True)]
+            size = np.fromiter(map(len, sets), np.int64, len(sets))
+            fps = majority(made, hashes)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64)), bands, pa.array(size), pa.array([x.tobytes() for x in sets], pa.binary())], names=["num", "id", "fp", "bands", "size", "shingles"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("num"), F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    rows = written(in_batches(numbered, run, f"num bigint, id {kind}, fp bigint, bands array<bigint>, sketch binary"), "near-features")
-    placed = rows.select(F.explode("bands").alias("key"), "fp", "num")
-    tiles = _cut(placed, tile, rows.select("num", "sketch"))
+    rows = written(in_batches(numbered, run, f"num bigint, id {kind}, fp bigint, bands array<bigint>, size bigint, shingles binary"), "near-features")
+    placed = rows.select(F.explode("bands").alias("key"), "fp", "num", "size")
+    tiles = _cut(placed, tile, rows.select("num", "shingles"))
     stars = connected(in_batches(tiles, _tiles(radius, similarity), "u bigint, v bigint"))
     named = rows.select("num", "id")
     rooted = written(named.join(stars, named["num"] == stars["node"], "left").select("id", F.coalesce("root", "num").alias("root")), "rooted")

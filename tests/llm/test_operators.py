@@ -337,6 +337,30 @@ def test_near_copies(spark, tile):
     assert sum(out[k] == root[k] for k in root) >= 0.99 * len(root)
 
 
+def test_near_copies_of_long_texts(spark):
+    """Similarities on both sides of 0.8 and close to it, of texts with many more shingles than a sample holds."""
+    rng, rows, root = random.Random(4), [], {}
+    for i in range(60):
+        words = [f"w{rng.randrange(100_000)}" for _ in range(rng.randint(1000, 3000))]
+        copy = list(words)
+        for k in rng.sample(range(len(words) // 5), int(len(words) / 5 * rng.uniform(0.055, 0.074))):
+            copy[5 * k : 5 * k + 5] = [f"new{rng.randrange(10**9)}" for _ in range(5)]
+        a, b = ({tuple(t[j : j + 5]) for j in range(len(t) - 4)} for t in (words, copy))  # texts of different i have none in common
+        root |= {2 * i: 2 * i, 2 * i + 1: 2 * i if len(a & b) / len(a | b) >= 0.8 else 2 * i + 1}
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    assert 10 < sum(root[k] == k for k in range(1, 120, 2)) < 50
+    out = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == root
+
+
+def test_tiles_are_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE_SHINGLES", 500)
+    rows = near_table()
+    root = near_roots(rows)
+    out = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(out[k] == root[k] for k in root) >= 0.99 * len(root)
+
+
 def test_held_out_columns(spark):
     out = {r.doc_id: r.h for r in frame(spark).select("doc_id", lm.held_out().alias("h")).collect()}
     assert out[None] is False and all(h == (zlib.crc32(str(k).encode()) % 10 == 0) for k, h in out.items() if k is not None)
