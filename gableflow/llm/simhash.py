@@ -420,7 +420,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
             sets = [np.unique(hashes[e - n : e]) for e, n in zip(ends.tolist(), made.tolist(), strict=True)]
             size = np.fromiter(map(len, sets), np.int64, len(sets))
-            fps = majority(made, hashes)
+            fps = majority(size, np.concatenate(sets))  # repeats do not count in the similarity, so neither here
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64)), bands, pa.array(size), pa.array([x.tobytes() for x in sets], pa.binary())], names=["num", "id", "fp", "bands", "size", "shingles"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("num"), F.col(id_col).alias("id"), whole_text(text_col).alias("text"))

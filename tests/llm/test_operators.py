@@ -353,6 +353,19 @@ def test_near_copies_of_long_texts(spark):
     assert out == root
 
 
+def test_near_copies_with_repeated_passages(spark):
+    """The same shingles, of which one text repeats some many times."""
+    rng, rows = random.Random(5), []
+    for i in range(40):
+        words = [f"w{rng.randrange(100_000)}" for _ in range(104)]
+        passage = [f"p{rng.randrange(100_000)}" for _ in range(5)]
+        rows += [(2 * i, " ".join(words + 2 * passage)), (2 * i + 1, " ".join(words + 50 * passage))]
+    root = near_roots(rows)
+    assert all(root[k] == k - k % 2 for k in root)
+    out = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == root
+
+
 def test_tiles_are_bounded_by_shingles(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE_SHINGLES", 500)
     rows = near_table()
