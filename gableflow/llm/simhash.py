@@ -286,7 +286,7 @@ def _tiles(radius: int, similarity: float | None = None):
             if len(cols[0]):
                 name = alike = None
                 if similarity is not None:
-                    name, sets = cols[5], [np.frombuffer(x, np.uint64) for x in cols[6]]
+                    name, sets = cols[5], [unpacked(x) for x in cols[6]]
                     asked: dict[tuple[int, int], bool] = {}
 
                     def alike(i, j):
@@ -393,6 +393,18 @@ def band_keys(made: np.ndarray, hashes: np.ndarray, bands: int = BANDS, rows: in
     return out
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """Distinct hashes, 48 bits of each, in order: at a million shingles two in a text agree by chance with probability 0.002."""
+    own = np.unique(hashes >> np.uint64(16)).astype("<u8")
+    return own.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(of: bytes) -> np.ndarray:
+    own = np.zeros((len(of) // 6, 8), np.uint8)
+    own[:, :6] = np.frombuffer(of, np.uint8).reshape(-1, 6)
+    return own.view("<u8").ravel()
+
+
 def alike_sets(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Whether two texts' sets of shingle hashes, whole and in order, have at least the similarity; empty sets are equal."""
     few, many = sorted((len(a), len(b)))
@@ -421,7 +433,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             sets = [np.unique(hashes[e - n : e]) for e, n in zip(ends.tolist(), made.tolist(), strict=True)]
             size = np.fromiter(map(len, sets), np.int64, len(sets))
             fps = majority(size, np.concatenate(sets))  # repeats do not count in the similarity, so neither here
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64)), bands, pa.array(size), pa.array([x.tobytes() for x in sets], pa.binary())], names=["num", "id", "fp", "bands", "size", "shingles"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64)), bands, pa.array(size), pa.array([packed(x) for x in sets], pa.binary())], names=["num", "id", "fp", "bands", "size", "shingles"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("num"), F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     rows = written(in_batches(numbered, run, f"num bigint, id {kind}, fp bigint, bands array<bigint>, size bigint, shingles binary"), "near-features")
