@@ -1,18 +1,21 @@
 """Operator 6: toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of labelled documents. The terms of the index are the words and word beginnings that the
-sample's labels show to go with toxicity (log-likelihood ratio); all other words of a text are one more term, so that a
-term that turns up once in a long text weighs little. Vectors are TF-IDF of unit length. The inverted index keeps each
-term's postings in blocks of neighbouring examples with the block's largest weight: blocks are visited by their upper
-bound until none can hold a nearer example, which makes the search exact. Neighbours vote by nearness, smoothed towards
-the sample's share of toxic texts.
+Examples are a bounded sample of labelled documents. Every word of the sample and every beginning of a longer word is a term
+of the index. A term's weight in a text is its damped frequency, times its inverse document frequency, times the evidence
+that the sample's labels go with it (log-likelihood ratio, plus a floor that keeps every term in): plain TF-IDF is led by
+rare words that say nothing about toxicity. Vectors have unit length. The inverted index keeps each term's postings in
+blocks of neighbouring examples with the block's largest weight: blocks are visited by their upper bound until none can
+hold a nearer example, which makes the search exact. Neighbours vote by nearness, smoothed towards the sample's share of
+toxic texts.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,103 +25,167 @@ from pyspark.sql import types as T
 
 from .common import in_batches, slices, table, whole_text, written
 
-#: Bound of the labelled sample, bound of the vocabulary, least documents and least log-likelihood ratio of a term.
-SAMPLE, VOCABULARY, LEAST_DOCS, LEAST_RATIO = 6000, 400, 3, 9.0
-#: Neighbours, weight of a word outside the vocabulary, distance at which a vote is halved, weight of the prior, threshold.
-NEIGHBOURS, OTHER, SOFT, PRIOR, THRESHOLD = 15, 0.1, 0.02, 8.0, 0.3
-BLOCK, EVIDENCE = 64, 5
+#: Bounds of the labelled sample: rows, and characters of their texts together.
+SAMPLE, SAMPLE_CHARS = 3000, 1 << 24
+#: What every term's evidence counts at least.
+FLOOR = 0.05
+#: Neighbours, distance at which a vote is halved, weight of the prior, threshold.
+NEIGHBOURS, SOFT, PRIOR, THRESHOLD = 15, 0.02, 8.0, 0.3
+#: Examples of a block, blocks that are looked at first, neighbours that are named.
+BLOCK, FIRST, EVIDENCE = 128, 2, 5
+#: What the terms that are left for last add to a cosine at most.
+LIGHT = 0.02
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6)
-#: Words that a worker remembers.
-CACHE = 500_000
+PREFIX = 5
+#: Words that a worker remembers, the longest of them.
+CACHE, CACHED_CHARS = 100_000, 32
 
 
 def terms_of(word: str) -> list[str]:
-    """A lower-case word's terms: itself and its beginnings."""
-    return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n)]
+    """A lower-case word's terms: itself and its beginning."""
+    return [word, f"{word[:PREFIX]}*"] if len(word) > PREFIX else [word]
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of many ranges, one after the other."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
 class Vocabulary:
-    """Counts a text's terms; remembers which words have any."""
+    """Counts a text's terms; remembers the terms of words that it met."""
 
-    def __init__(self, terms: list[str]):
-        self.at = {t: i for i, t in enumerate(terms)}
+    def __init__(self, at: dict[str, int]):
+        self.at = at
         self.met: dict[str, tuple[int, ...]] = {}
 
-    def counts(self, text: str | None) -> tuple[dict[int, int], int]:
-        """How often each term stands in the text, and the number of words."""
-        words = WORD.findall((text or "").lower())
-        if len(self.met) > CACHE:
-            self.met.clear()
-        found: dict[int, int] = {}
-        met = self.met
-        try:
-            hits = [h for h in map(met.__getitem__, words) if h]
-        except KeyError:
-            for w in set(words).difference(met):
-                met[w] = tuple(self.at[t] for t in terms_of(w) if t in self.at)
-            hits = [h for h in map(met.__getitem__, words) if h]
-        for hit in hits:
-            for t in hit:
-                found[t] = found.get(t, 0) + 1
-        return found, len(words)
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The text's terms, ascending, and how often each stands in it."""
+        words = Counter(WORD.findall((text or "").lower()))
+        own = list(map(self.met.get, words))
+        if None in own:
+            if len(self.met) > CACHE:
+                self.met.clear()
+            at = self.at
+            for i, word in enumerate(words):
+                if own[i] is None:
+                    own[i] = tuple(at[t] for t in terms_of(word) if t in at)
+                    if len(word) <= CACHED_CHARS:
+                        self.met[word] = own[i]
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
+        terms, place = np.unique(flat, return_inverse=True)
+        return terms, np.bincount(place, np.repeat(np.fromiter(words.values(), np.float64, len(own)), size), len(terms))
+
+
+def evidence(docs: np.ndarray, toxic: np.ndarray, n: int, n_toxic: int) -> np.ndarray:
+    """Log-likelihood ratio of each term and the label: docs, toxic: how many (toxic) examples hold the term."""
+    out = np.zeros(len(docs))
+    for have, all_have in ((docs, 1), (n - docs, 0)):
+        for label in (n_toxic, n - n_toxic):
+            seen = (toxic if label is n_toxic else docs - toxic) if all_have else (n_toxic - toxic if label is n_toxic else n - n_toxic - docs + toxic)
+            expected = have * label / max(n, 1)
+            out += np.where(seen > 0, 2 * seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-12)), 0.0)
+    return np.maximum(out, 0.0)
 
 
 class BlockMaxIndex:
-    """Exact nearest examples by cosine. Term number len(idf) stands for all words outside the vocabulary."""
-
-    def __init__(self, ids: list, labels: list[int], counts: list[dict[int, int]], words: list[int], idf: np.ndarray):
-        self.idf, self.other = idf, len(idf)
-        vectors = [self.vector(c, n) for c, n in zip(counts, words, strict=True)]
-        lead = [(int(t[np.argmax(w)]), -float(w.max())) if len(t) else (-1, 0.0) for t, w in vectors]
-        order = sorted(range(len(ids)), key=lambda i: (lead[i], i))  # alike examples stand together, so bounds are tight
-        self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], float)
-        n = len(order)
+    """Exact nearest examples by cosine over all terms of the examples."""
+
+    def __init__(self, ids: list, labels: list[int], texts: list[str]):
+        at: dict[str, int] = {}
+        terms, counts, size = [], [], []
+        for text in texts:
+            own: dict[int, int] = {}
+            for word, times in Counter(WORD.findall(text.lower())).items():
+                for t in terms_of(word):
+                    i = at.setdefault(t, len(at))
+                    own[i] = own.get(i, 0) + times
+            terms.append(np.fromiter(own, np.int32, len(own)))
+            counts.append(np.fromiter(own.values(), np.float64, len(own)))
+            size.append(len(own))
+        n, self.vocabulary = len(ids), at
+        label, size = np.array(labels, float), np.array(size, np.int64)
+        doc = np.repeat(np.arange(n), size)
+        term = np.concatenate(terms) if n else np.zeros(0, np.int32)
+        held = np.bincount(term, minlength=len(at))
+        toxic = np.bincount(term, label[doc], len(at))
+        self.weight_of = np.log1p(n / np.maximum(held, 1)) * (FLOOR + evidence(held, toxic, n, int(label.sum())))
+        weight = (1 + np.log(np.concatenate(counts))) * self.weight_of[term] if n else np.zeros(0)
+        weight /= np.sqrt(np.bincount(doc, weight * weight, n))[doc]
+        # alike examples stand together, so that bounds are tight: by their heaviest term, then by their text
+        first = np.cumsum(size) - size
+        lead = [int(term[f + np.argmax(weight[f : f + s])]) if s else -1 for f, s in zip(first.tolist(), size.tolist(), strict=True)]
+        order = sorted(range(n), key=lambda i: (lead[i], texts[i], labels[i]))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.ids, self.labels = [ids[i] for i in order], label[order]
         self.blocks = max(1, -(-n // BLOCK))
-        term = np.concatenate([vectors[i][0] for i in order]) if n else np.zeros(0, np.int64)
-        weight = np.concatenate([vectors[i][1] for i in order]) if n else np.zeros(0)
-        doc = np.repeat(np.arange(n), [len(vectors[i][0]) for i in order]) if n else np.zeros(0, np.int64)
-        by = np.lexsort((doc, term))
-        self.doc, self.weight = doc[by], weight[by]
-        cell = term[by] * self.blocks + doc[by] // BLOCK
-        self.at = np.searchsorted(cell, np.arange((self.other + 1) * self.blocks + 1))
-        self.most = np.zeros((self.other + 1) * self.blocks)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(self.other + 1, self.blocks)
-        self.prior = float(self.labels.mean()) if n else 0.0
-
-    def vector(self, counts: dict[int, int], words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of unit length; both empty for a text without words."""
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0)
-        terms = np.array([*sorted(counts), self.other], np.int64)
-        weights = np.array([*(counts[t] * self.idf[t] for t in sorted(counts)), OTHER * words])
-        return terms, weights / np.sqrt(weights @ weights)
-
-    def nearest(self, counts: dict[int, int], words: int, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine, ties by their order in the index, and the cosines."""
-        terms, weights = self.vector(counts, words)
-        if not len(terms) or not self.ids:
+        by = np.lexsort((place[doc], term))
+        self.doc, self.weight = place[doc][by], weight[by]
+        cell = term[by].astype(np.int64) * self.blocks + self.doc // BLOCK
+        new = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+        self.cell_at, self.cell_block = np.r_[new, len(cell)], cell[new] % self.blocks
+        self.cell_most = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
+        self.term_at = np.searchsorted(cell[new] // self.blocks, np.arange(len(at) + 1))
+        self.term_most = np.maximum.reduceat(self.cell_most, self.term_at[:-1]) if len(new) else np.zeros(0)
+        self.postings = held
+        by = np.argsort(place[doc], kind="stable")
+        self.text_term, self.text_weight, self.text_at = term[by], weight[by], np.r_[0, np.cumsum(size[order])]
+        self.prior = float(label.mean()) if n else 0.0
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Weights of unit length of a text's terms."""
+        weight = (1 + np.log(counts)) * self.weight_of[terms]
+        return weight / math.sqrt(weight @ weight) if len(weight) else weight
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of largest cosine, ties by their order in the index, and the cosines.
+
+        Terms that add at most LIGHT together, whatever the example, are left for last: postings of the others give every
+        example's cosine but for LIGHT, and the few examples that may be among the first k get the rest.
+        """
+        if not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = weights @ self.most[terms] + 1e-12
-        order = np.argsort(-bound, kind="stable")
-        best, score = np.zeros(0, np.int64), np.zeros(0)
-        for at in range(0, len(order), 4):
-            if len(best) >= k and bound[order[at]] < score[k - 1]:
+        asked = self.vector(terms, counts)
+        adds, held = asked * self.term_most[terms], self.postings[terms]
+        order = np.argsort(adds / held, kind="stable")
+        light = int(np.searchsorted(np.cumsum(adds[order]), LIGHT))
+        rest, slack = order[:light], float(adds[order[:light]].sum()) + 1e-9
+        heavy = np.sort(order[light:])
+        start = self.term_at[terms[heavy]]
+        n = self.term_at[terms[heavy] + 1] - start
+        cells, weight = _ranges(start, n), np.repeat(asked[heavy], n)
+        block = self.cell_block[cells]
+        bound = np.bincount(block, weight * self.cell_most[cells], self.blocks) + slack
+        by, at, bar = np.argsort(-bound, kind="stable"), 0, -1.0
+        some, near = np.zeros(len(self.ids), bool), np.zeros(len(self.ids))
+        while at < self.blocks:  # the most promising blocks set a bar, which all blocks that may pass it are held against
+            stop = at + max(FIRST, -(-k // BLOCK)) if not at else int(np.searchsorted(-bound[by], -bar, "right"))
+            if stop <= at:
                 break
-            for b in order[at : at + 4]:
-                held = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-                for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                    lo, hi = self.at[t * self.blocks + b], self.at[t * self.blocks + b + 1]
-                    held[self.doc[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-                best, score = np.r_[best, np.arange(len(held)) + b * BLOCK], np.r_[score, held]
-            top = np.lexsort((best, -score))[:k]
-            best, score = best[top], score[top]
-        return best, score
-
-    def judge(self, counts: dict[int, int], words: int) -> tuple[float, list]:
+            chosen = np.zeros(self.blocks, bool)
+            chosen[by[at:stop]] = True
+            mine = chosen[block]
+            first = self.cell_at[cells[mine]]
+            size = self.cell_at[cells[mine] + 1] - first
+            where = _ranges(first, size)
+            near += np.bincount(self.doc[where], self.weight[where] * np.repeat(weight[mine], size), len(near))
+            some |= np.repeat(chosen, BLOCK)[: len(some)]
+            own = near[some]
+            bar, at = float(np.partition(own, len(own) - k)[len(own) - k]) if len(own) > k else -1.0, stop
+        best = np.flatnonzero(some & (near >= bar - slack))
+        if light:
+            dense = np.zeros(len(self.weight_of))
+            dense[terms[rest]] = asked[rest]
+            size = self.text_at[best + 1] - self.text_at[best]
+            where = _ranges(self.text_at[best], size)
+            near[best] += np.bincount(np.repeat(np.arange(len(best)), size), dense[self.text_term[where]] * self.text_weight[where], len(best))
+        best = best[np.lexsort((best, -near[best]))[:k]]
+        return best, near[best]
+
+    def judge(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list]:
         """The vote and the ids of the nearest examples."""
-        best, score = self.nearest(counts, words)
+        best, score = self.nearest(terms, counts)
         vote = 1 / (np.maximum(1 - score, 0) + SOFT)
         value = (vote @ self.labels[best] + PRIOR * self.prior) / (vote.sum() + PRIOR)
         return float(min(max(value, 0.0), 1.0)), [self.ids[i] for i in best[:EVIDENCE].tolist()]
@@ -132,86 +199,56 @@ def _least_hashes(ids: DataFrame, n: int, sample: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("id"), "id").limit(sample)
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = SAMPLE) -> tuple[list[str], BlockMaxIndex]:
-    """Vocabulary and index from the labelled documents (label 0 or 1), of which a bounded sample by hash is used.
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> BlockMaxIndex:
+    """Index of the labelled documents (label 0 or 1), of which a bounded sample by hash of the id is used.
 
-    What comes to the driver is bounded by the sample and the vocabulary. Ids and labels that are null are left out; an id
-    that is labelled twice has its larger label, and of an id's repeated texts the least counts.
+    The sample is the first rows by hash, at most sample of them and at most chars characters together, so what comes to
+    the driver is bounded. Ids and labels that are null are left out; an id that is labelled twice has its larger label,
+    and of an id's repeated texts the least counts.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
     known = written(known, "labels")
     chosen = _least_hashes(known, known.count(), sample)
     own = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    examples = written(own.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")), "labelled-sample")
-    total = examples.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
-    n, toxic = total["n"], total["toxic"] or 0
-
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            label, out = batch.column(1).to_pylist(), ([], [])
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                own = {t for w in set(WORD.findall(text.lower())) for t in terms_of(w)}
-                out[0].extend(own)
-                out[1].extend([label[i]] * len(own))
-            yield pa.record_batch([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64())], names=["term", "label"])
-
-    a, b = F.col("toxic"), F.col("docs") - F.col("toxic")
-    part = lambda o, e: F.when(o > 0, 2 * o * F.log(o / e)).otherwise(0.0)
-    share, rest = F.col("docs") / F.lit(float(max(n, 1))), F.lit(n) - F.col("docs")
-    ratio = part(a, share * toxic) + part(b, share * (n - toxic)) + part(F.lit(toxic) - a, rest / max(n, 1) * toxic) + part(F.lit(n - toxic) - b, rest / max(n, 1) * (n - toxic))
-    met = in_batches(examples, terms, "term string, label bigint").groupBy("term").agg(F.sum("label").alias("toxic"), F.count("*").alias("docs"))
-    met = met.where((F.col("docs") >= LEAST_DOCS) & (a * (n - toxic) > b * toxic)).withColumn("ratio", F.round(ratio, 6)).where(F.col("ratio") >= LEAST_RATIO)
-    picked = met.orderBy(F.desc("ratio"), "term").limit(VOCABULARY).select("term", "docs").collect() if toxic else []
-    vocabulary = [r["term"] for r in picked]
-    idf = np.array([math.log((n + 1) / (r["docs"] + 1)) for r in picked])
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Vocabulary(vocabulary)
-        for batch in slices(batches, "text"):
-            got = [counter.counts(t) for t in batch.column(2).to_pylist()]
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array([list(c) for c, _ in got], pa.list_(pa.int32())), pa.array([list(c.values()) for c, _ in got], pa.list_(pa.int32())), pa.array([w for _, w in got], pa.int64())],
-                names=["id", "label", "terms", "counts", "words"],
-            )
-
-    kind = examples.schema["id"].dataType.simpleString()
-    rows = in_batches(examples, vectors, f"id {kind}, label int, terms array<int>, counts array<int>, words bigint").withColumn("h", F.xxhash64("id")).collect()
-    rows.sort(key=lambda r: (r["h"], r["id"]))
-    index = BlockMaxIndex([r["id"] for r in rows], [r["label"] for r in rows], [dict(zip(r["terms"], r["counts"], strict=True)) for r in rows], [r["words"] for r in rows], idf)
-    return vocabulary, index
-
-
-def score(docs: DataFrame, model: tuple[list[str], BlockMaxIndex], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), score_as: str = "score", evidence_as: str = "evidence") -> DataFrame:
+    examples = written(own.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("id")), "labelled-sample")
+    sizes = sorted((r["h"], r["id"], r["n"]) for r in examples.select("h", "id", F.length("text").alias("n")).collect())  # sample rows at most
+    total = np.cumsum([n for _, _, n in sizes])
+    fit = int(np.searchsorted(total, chars, "right"))
+    if not fit:
+        return BlockMaxIndex([], [], [])
+    last = sizes[fit - 1][0]
+    rows = sorted(examples.where(F.col("h") <= F.lit(last)).collect(), key=lambda r: (r["h"], r["id"]))[:fit]
+    return BlockMaxIndex([r["id"] for r in rows], [r["label"] for r in rows], [r["text"] for r in rows])
+
+
+def score(docs: DataFrame, index: BlockMaxIndex, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), score_as: str = "score", evidence_as: str = "evidence") -> DataFrame:
     """One row per row of docs: id_col, the columns in keep, score, evidence (ids of the nearest examples).
 
-    A null or empty text, or one without words, has the sample's share of toxic texts as its score and no evidence; with
-    no labelled example at all every score is 0. Repeated rows get the same score; null ids stay null. Other columns than
-    those in keep are not read; where one of these has the name of a result, give the result another. An empty table gives
-    an empty result.
+    A null or empty text, or one that has no term of the index, has the sample's share of toxic texts as its score and no
+    evidence; with no labelled example at all every score is 0. Very long texts are read whole, one at a time. Ties at the
+    last neighbour go to the example whose heaviest term and then whose text comes first; ids play no part. Repeated rows
+    get the same score; null ids stay null. Other columns than those in keep are not read; where one of these has the
+    name of a result, give the result another. An empty table gives an empty result.
     """
-    vocabulary, index = model
     columns = list(dict.fromkeys((id_col, *keep)))
-    fields = [docs.schema[c] for c in columns]
-    schema = T.StructType([*fields, T.StructField(score_as, T.DoubleType()), T.StructField(evidence_as, T.ArrayType(fields[0].dataType))])
-    own = len(fields)
+    kinds = [docs.schema[c].dataType for c in columns]
+    names = [f"c{i}" for i in range(len(columns))]  # Arrow batches with names that any column may have
+    schema = T.StructType([*map(T.StructField, names, kinds), T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(kinds[0]))])
+    own = len(columns)
     text = columns.index(text_col) if text_col in columns else own
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # its size is bounded by the sample's
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, plain = Vocabulary(vocabulary), {}
-        for batch in slices(batches, text):
-            out = []
-            for body in batch.column(text).to_pylist():
-                counts, words = counter.counts(body)
-                if counts:
-                    out.append(index.judge(counts, words))
-                else:  # every text without terms has one of two vectors
-                    if bool(words) not in plain:
-                        plain[bool(words)] = index.judge(counts, words)
-                    out.append(plain[bool(words)])
+        index = shared.value
+        counter = Vocabulary(index.vocabulary)
+        for batch in slices(batches, text, 2 << 20):
+            out = [index.judge(*counter.counts(body)) for body in batch.column(text).to_pylist()]
             kind = pa.list_(batch.schema.field(0).type)
-            yield pa.record_batch([*batch.columns[:own], pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], kind)], names=[*columns, score_as, evidence_as])
+            yield pa.record_batch([*batch.columns[:own], pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], kind)], names=[*names, "score", "evidence"])
 
-    return in_batches(docs.select(*columns, *([] if text < own else [text_col])), run, schema)
+    given = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)]
+    judged = in_batches(docs.select(*given, *([] if text < own else [F.col(text_col).alias("text")])), run, schema)
+    return judged.select(*(F.col(n).alias(c) for c, n in zip([*columns, score_as, evidence_as], judged.columns, strict=True)))
 
 
 def held_out(id_col: str = "doc_id"):
