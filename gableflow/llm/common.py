@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from ..staging import shared_dir, written
+from ..staging import discard, shared_dir, written
 
-__all__ = ["held", "in_batches", "shared_dir", "slices", "table", "whole_text", "written"]
+__all__ = ["discard", "held", "in_batches", "shared_dir", "slices", "table", "whole_text", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,19 @@ def in_batches(df: DataFrame, run, schema, holds=None) -> DataFrame:
     return df.mapInArrow(own, schema)
 
 
+def struct_of_row(df: DataFrame) -> Column:
+    """All columns as one struct, whatever their names: what is added beside it cannot clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """The name, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def whole_text(col: str | Column = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -5,8 +5,8 @@ exponent is bisected, many points at a time and each time in one aggregate over
 that reaches the target entropy, raised where needed until no source is repeated more often than the limit. Weights
 become whole token quotas of the budget. A source's documents stand in a permutation by hash, of which it gives whole
 rounds and then a first part up to its quota; every block of the mixture takes the same share of each source's quota, and
-stands in a permutation of its own. Prefix sums have two levels, hash ranges and rows within one, so that no task holds a
-source.
+stands in a permutation of its own. Prefix sums have three levels, hash ranges, shares of the rows of one key within a
+range, and rows of a share, so that no task holds a source or all rows that repeat an id.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table, whole_text, written
+from .common import discard, struct_of_row, table, whole_text, written
 
 #: Production parameters: entropy as a share of the largest possible, most rounds of a source, tokens of a block.
 ENTROPY, REPEATS, BLOCK, SEED = 0.95, 4.0, 1 << 16, "mix"
@@ -68,13 +68,14 @@ def mix(rows: DataFrame, tokens: Column, id_col: str = "doc_id", source_col: str
 
     The mixture is read in the order of (block, place). budget is the number of tokens to draw; without one it is what the
     rows hold. A null source is a source of its own. A document without tokens takes its turn like any other and costs
-    nothing; in a source without any tokens every document is drawn once, into block 0. Quotas are met up to the
-    document that crosses them. Rows that repeat an id are separate documents in the same place of the permutation;
-    null ids share one place. Columns of any name may be in rows, as they stay inside the struct. An empty table gives an
-    empty result.
+    nothing; in a source without any tokens every document is drawn once, into a block by its hash. Quotas are met up to
+    the document that crosses them. Rows that repeat an id are separate documents in the same place of the permutation, in
+    no particular order; null ids share one place. Very long texts cost what they hold, like any other. Columns of any
+    name may be in rows, as they stay inside the struct. An empty table gives an empty result.
     """
     # a struct is never null, and a null inside it equals another
-    named = rows.select(F.struct("*").alias("row"), F.col(id_col).cast("string").alias("id"), F.struct(F.col(source_col).alias("source")).alias("of"), tokens.alias("n_tokens"))
+    named = rows.select(struct_of_row(rows).alias("row"), F.col(id_col).cast("string").alias("id"), F.struct(F.col(source_col).alias("source")).alias("of"), tokens.alias("n_tokens"))
+    named = written(named.withColumn("num", F.monotonically_increasing_id()), "counted-rows")
     totals = written(named.groupBy("of").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), "source-totals")
     whole = totals.agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs")).first()
     budget = int(whole["tokens"] or 0) if budget is None else budget
@@ -87,20 +88,25 @@ def mix(rows: DataFrame, tokens: Column, id_col: str = "doc_id", source_col: str
     ranges = max(1, math.isqrt(whole["docs"] or 0))
     blocks = max(1, -(-budget // block))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("id", F.lit(""))))
-    placed = named.withColumn("key", key).withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges / F.lit(float(1 << 32))).cast("int"))
-    sums = written(placed.groupBy("of", "range").agg(F.sum("n_tokens").alias("held")), "range-totals")
+    high = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
+    placed = named.withColumn("key", key).withColumn("range", F.floor(high * ranges / F.lit(float(1 << 32))).cast("int"))
+    placed = placed.withColumn("slot", F.pmod(F.xxhash64("num"), F.lit(ranges)).cast("int"))
+    shares = written(placed.groupBy("of", "range", "key", "slot").agg(F.sum("n_tokens").alias("held")), "share-totals")
+    sums = shares.groupBy("of", "range").agg(F.sum("held").alias("held"))
     before = F.sum("held").over(Window.partitionBy("of").orderBy("range")) - F.col("held")
     offsets = written(sums.select("of", "range", before.alias("before")).join(quotas, "of"), "range-offsets")
+    inside = F.sum("held").over(Window.partitionBy("of", "range").orderBy("key", "slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("held")
+    starts = written(shares.withColumn("inside", inside).join(offsets, ["of", "range"]).select("of", "range", "key", "slot", (F.col("before") + F.col("inside")).alias("before"), "tokens", "quota"), "share-offsets")
 
-    order = Window.partitionBy("of", "range").orderBy("key", "id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = placed.withColumn("within", F.sum("n_tokens").over(order) - F.col("n_tokens"))
-    joined = ranked.join(offsets, ["of", "range"])
-    drawn = joined.withColumn("start", F.col("before") + F.col("within"))
+    joined = placed.join(starts, ["of", "range", "key", "slot"])
+    order = Window.partitionBy("of", "range", "key", "slot").orderBy("num").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    drawn = joined.withColumn("start", F.col("before") + F.sum("n_tokens").over(order) - F.col("n_tokens"))
     copies = F.when(F.col("tokens") > 0, F.expr("quota div tokens") + (F.col("start") < F.expr("quota % tokens")).cast("long")).otherwise(1)
     drawn = drawn.withColumn("copies", copies).where("copies > 0")
     drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    into = F.when(F.col("tokens") > 0, F.least(F.expr(f"cast((copy * tokens + start) as decimal(38,0)) * {blocks} div quota"), F.lit(blocks - 1).cast("long"))).otherwise(0)
+    into = F.when(F.col("tokens") > 0, F.least(F.expr(f"cast((copy * tokens + start) as decimal(38,0)) * {blocks} div quota"), F.lit(blocks - 1).cast("long"))).otherwise(F.expr(f"cast({{}} as decimal(38,0)) * {blocks} div {1 << 32}".format("conv(substring(key, 1, 8), 16, 10)")))
     drawn = drawn.withColumn("block", into)
+    discard(totals, shares, offsets)
     return drawn.select("row", "of.source", "n_tokens", "copy", "block", F.md5(F.concat_ws(":", F.lit(seed), "block", "copy", F.coalesce("id", F.lit("")))).alias("place"))
 
 
@@ -141,6 +147,6 @@ s AS (SELECT d.*, q.tokens, q.quota,
       FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
 c AS (SELECT *, CASE WHEN tokens > 0 THEN quota // tokens + CASE WHEN start < quota % tokens THEN 1 ELSE 0 END ELSE 1 END AS copies FROM s),
 e AS (SELECT *, unnest(range(0, copies)) AS copy, greatest(1, (budget + 65535) // 65536) AS blocks FROM c, whole WHERE copies > 0),
-b AS (SELECT *, CASE WHEN tokens > 0 THEN CAST(least(((copy * tokens + start)::HUGEINT * blocks) // quota, blocks - 1) AS BIGINT) ELSE 0 END AS block FROM e)
+b AS (SELECT *, CASE WHEN tokens > 0 THEN CAST(least(((copy * tokens + start)::HUGEINT * blocks) // quota, blocks - 1) AS BIGINT) ELSE CAST((('0x' || key[1:8])::BIGINT::HUGEINT * blocks) // 4294967296 AS BIGINT) END AS block FROM e)
 SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, copy, block, md5('mix:' || block || ':' || copy || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM b
 """
