@@ -15,9 +15,11 @@ from pyspark.sql.window import Window
 
 from .common import table, whole_text, written
 
-#: A chunk has MIN_CHUNK to MAX_CHUNK characters and ends after white space that follows one of some character pairs.
+#: A chunk has MIN_CHUNK to MAX_CHUNK characters. It ends after white space that follows one of some character pairs, after
+#: one of every 61 characters of other scripts, or after a letter and two digits, as in long runs without white space.
 MIN_CHUNK, MAX_CHUNK = 512, 8192
-BOUNDARY = r"(?<=[nrst][aeioy.,;|]\s)"
+OTHER = "".join(chr(c) for c in range(0x370, 0xD800, 61))
+BOUNDARY = rf"(?<=[nrst][aeioy.,;|]\s)|(?<=(?=[^\x00-\u036f])[{OTHER}])|(?<=[A-Za-z][0-4][5-9])"
 
 
 def chunks_of(text: Column, least: int = MIN_CHUNK, most: int = MAX_CHUNK, boundary: str = BOUNDARY) -> Column:
@@ -31,7 +33,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are equal when identical after no change; a null text counts as empty, and all empty texts are equal. The row
     with the largest id of each group is kept (a null id is below all others). Rows that repeat an id and a text are rows
-    of their group like any other, and exactly one of them is kept. Other columns are neither read nor returned. An empty
+    of their group like any other, and exactly one of them is kept. A very long text is a longer list of chunks. Other columns are neither read nor returned. An empty
     table gives an empty result. hash_bits is for tests: few bits make hashes collide, with the same result.
     """
     hashed = (lambda c: F.xxhash64(c)) if hash_bits >= 64 else (lambda c: F.pmod(F.xxhash64(c), F.lit(1 << hash_bits)))
