@@ -115,12 +115,12 @@ def word_ids(path: str, cache: int = CACHE) -> WordIds:
     return held(("words", path, cache), lambda: WordIds(path, cache))
 
 
-def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
+def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int, cache: int = CACHE) -> DataFrame:
     """(id, part, first, n, ids): a document's ids with the end id, as 16-bit numbers, and where they start in its partition's stream."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, at = word_ids(path), TaskContext.get().partitionId(), 0
+        words, part, at = word_ids(path, cache), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u2").tobytes()
         for batch in slices(batches, "text", SLICE):
             ids = [x + end for x in words.packed(batch.column(1).to_pylist())]
@@ -129,18 +129,19 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: in
             at += int(n.sum())
             yield pa.record_batch([batch.column(0), pa.array(np.full(len(ids), part, np.int64)), pa.array(first), pa.array(n), pa.array(ids, pa.binary())], names=["id", "part", "first", "n", "ids"])
 
-    return in_batches(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")), run, f"id {kind}, part bigint, first bigint, n bigint, ids binary", ("words", path, CACHE))
+    return in_batches(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")), run, f"id {kind}, part bigint, first bigint, n bigint, ids binary", ("words", path, cache))
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, path: str | None = None, end_id: int = END_ID, cache: int = CACHE) -> DataFrame:
     """One row per piece: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (binary, 32-bit little-endian).
 
     Documents stand in the stream partition after partition, in the order in which their partition is read. Every sequence
     but the last has exactly window tokens. A null or empty text is its end id alone. Rows that repeat an id are packed
-    like any other row; null ids stay null. Other columns are neither read nor returned. An empty table has no pieces.
+    like any other row; null ids stay null. A very long text is tokenized whole and has as many pieces as windows that it
+    meets. Other columns are neither read nor returned. An empty table has no pieces. cache: words that a worker remembers.
     """
     path = path or public_tokenizers.path(TOKENIZER)
-    stream = written(tokenized(docs, id_col, text_col, path, end_id), "token-stream")
+    stream = written(tokenized(docs, id_col, text_col, path, end_id, cache), "token-stream")
     totals = stream.groupBy("part").agg(F.sum("n").alias("total"))
     # one row for each task of the first pass
     offsets = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))

@@ -9,6 +9,7 @@ all pairs. Components are then joined up over all tiles.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, slices, table, whole_text, written
+from .common import discard, in_batches, slices, table, whole_text, written
 from .components import connected
 
 RADIUS, SHINGLE, TILE = 3, 3, 4096
@@ -341,11 +342,15 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
 def _cut(placed: DataFrame, tile: int, details: DataFrame | None = None) -> DataFrame:
     """placed (key, fp, maybe num and size) -> sorted rows of the tiles of buckets with several rows; details (num, shingles) are added to those rows only.
 
-    Where rows have a size, a side of a tile is bounded by TILE_SHINGLES in sum as well.
+    Of buckets that hold the same rows, as pairs that agree in several places make them, one is compared. Where rows have
+    a size, a side of a tile is bounded by TILE_SHINGLES in sum as well.
     """
     own = [c for c in placed.columns if c not in ("key", "size")]
+    name = own[-1]
     most = F.sum("size") if "size" in placed.columns else F.lit(0)
-    sizes = written(placed.groupBy("key").agg(F.count("*").alias("n"), most.alias("held")).where("n > 1"), "bucket-sizes")
+    same = [F.bit_xor(F.xxhash64(name)).alias("x"), F.sum(F.shiftright(F.xxhash64(name, F.lit(1)), 32)).alias("y"), F.min(name).alias("z")]
+    sizes = placed.groupBy("key").agg(F.count("*").alias("n"), most.alias("held"), *same).where("n > 1")
+    sizes = written(sizes.groupBy("n", "held", "x", "y", "z").agg(F.min("key").alias("key")).select("key", "n", "held"), "bucket-sizes")
     parts = F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("held") / TILE_SHINGLES)).cast("int")
     cut = placed.join(sizes, "key").select("key", *own, parts.alias("parts"), F.pmod(F.xxhash64(*own), parts).cast("int").alias("part"))
     if details is not None:
@@ -360,9 +365,10 @@ def _cut(placed: DataFrame, tile: int, details: DataFrame | None = None) -> Data
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """One row per row of docs: id_col, fingerprint (16 hex digits), component_id (smallest id reachable over links).
 
-    A null text counts as empty; a text without words has fingerprint zero and is linked like any other. Rows that repeat
-    are rows like any other. Null ids are ignored when the smallest id is sought, so a component of null ids alone has a
-    null component_id. Other columns are neither read nor returned. An empty table gives an empty result.
+    A null text counts as empty; a text without words has fingerprint zero and is linked like any other. Very long texts
+    are read whole, their shingles in steps. Rows that repeat are rows like any other, and ties cannot change a component.
+    Null ids are ignored when the smallest id is sought, so a component of null ids alone has a null component_id. Other
+    columns are neither read nor returned. An empty table gives an empty result.
     """
     rows = written(with_fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     known = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
@@ -433,16 +439,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             sets = [np.unique(hashes[e - n : e]) for e, n in zip(ends.tolist(), made.tolist(), strict=True)]
             size = np.fromiter(map(len, sets), np.int64, len(sets))
             fps = majority(size, np.concatenate(sets))  # repeats do not count in the similarity, so neither here
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64)), bands, pa.array(size), pa.array([packed(x) for x in sets], pa.binary())], names=["num", "id", "fp", "bands", "size", "shingles"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64)), bands, pa.array(size), pa.array(kept := [packed(x) for x in sets], pa.binary()), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in kept], pa.binary())], names=["num", "id", "fp", "bands", "size", "shingles", "digest"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("num"), F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    rows = written(in_batches(numbered, run, f"num bigint, id {kind}, fp bigint, bands array<bigint>, size bigint, shingles binary"), "near-features")
-    placed = rows.select(F.explode("bands").alias("key"), "fp", "num", "size")
+    rows = written(in_batches(numbered, run, f"num bigint, id {kind}, fp bigint, bands array<bigint>, size bigint, shingles binary, digest binary"), "near-features")
+    firsts = written(rows.groupBy("digest").agg(F.min("num").alias("first")), "distinct-sets")  # equal sets are compared once
+    placed = rows.join(firsts.select(F.col("first").alias("num")), "num", "left_semi").select(F.explode("bands").alias("key"), "fp", "num", "size")
     tiles = _cut(placed, tile, rows.select("num", "shingles"))
     stars = connected(in_batches(tiles, _tiles(radius, similarity), "u bigint, v bigint"))
-    named = rows.select("num", "id")
-    rooted = written(named.join(stars, named["num"] == stars["node"], "left").select("id", F.coalesce("root", "num").alias("root")), "rooted")
+    named = written(firsts.join(stars, firsts["first"] == stars["node"], "left").select("digest", F.coalesce("root", "first").alias("root")), "named-sets")
+    rooted = written(rows.select("id", "digest").join(named, "digest").select("id", "root"), "rooted")
     least = written(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "component-ids")
+    discard(rows, firsts, named)
     return rooted.join(least, "root").select(F.col("id").alias(id_col), "component_id")
 
 

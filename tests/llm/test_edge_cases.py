@@ -72,3 +72,20 @@ def test_exact_keeps_one_row_of_each_group(spark):
     assert all(sum(v) == 1 for v in kept.values())
     same = [r for r in out if r.group_size == 4]
     assert {r.keep_id for r in same} == {9} and len(same) == 4  # 5, 9 twice and null
+
+
+def test_mixing_splits_repeated_ids(spark):
+    """All rows of one id, or of none, get places of their own in the prefix sums."""
+    rows = [(7 if i % 2 else None, "a" if i % 3 else "b", 5) for i in range(3000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, n long"), mixing.F.col("n"), entropy=None, repeats=None, block=500).groupBy("block").count().collect()
+    assert sum(r["count"] for r in out) == 3000 and max(r["count"] for r in out) < 200 and len(out) == 30
+
+
+def test_long_text_beyond_one_slice(spark):
+    """A text above every slice's bytes beside short ones."""
+    text = "".join(f"word{i % 9973} and {i} more. " + ("\n" if i % 50 == 0 else "") for i in range(420_000))
+    assert len(text) > 8 << 20
+    df = frame(spark, [(1, text, "en", "a", len(text)), (2, "short text", "en", "a", 10), (3, text, "en", "b", len(text))])
+    for name in ("exact", "pii", "toxicity", "bpe", "packing", "simhash", "near", "merkle"):
+        out = OPERATORS[name](spark, df).collect()
+        assert {r.doc_id for r in out} == {1, 2, 3}, name
