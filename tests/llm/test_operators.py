@@ -269,25 +269,56 @@ def test_toxicity_sample_is_bounded(spark, docs):
     assert toxicity.learn(table, labels, chars=0).ids == []
 
 
-def test_merkle_query(spark, docs):
-    out = {r.doc_id: r for r in merkle.op7_merkle(spark, SF).collect()}
+def brute_tree(text):
+    """Root, and the sections' lists of pieces with repeats, by plain means."""
+    paragraphs = re.findall(r"[^\n]*\n+|[^\n]+", text)
+    piece = re.compile(r"(?s).{14,96}?(?:(?<=[aeio.,;|][ \t\n\x0b\f\r])|(?<=\n)|\Z)|.{96}|.+")
+    shas, sections, own = [hashlib.sha256(p.encode()).hexdigest() for p in paragraphs], [], []
+    for i, sha in enumerate(shas):
+        own.append(sha)
+        if sha[-1] in "08" or i == len(shas) - 1:
+            sections.append(hashlib.sha256("".join(own).encode()).hexdigest())
+            own = []
+    return hashlib.sha256("".join(sections).encode()).hexdigest(), collections.Counter(xxhash.xxh64_intdigest(m.encode(), 42) for p in paragraphs for m in piece.findall(p))
+
+
+def brute_likeness(a, b):
+    (root_a, a), (root_b, b) = brute_tree(a), brute_tree(b)
+    total = sum(a.values()) + sum(b.values())
+    return 1.0 if root_a == root_b else 2 * sum((a & b).values()) / total if total else 0.0
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_merkle_query_by_brute_force(spark, docs, odd):
+    if odd:
+        rng = random.Random(8)
+        docs = [(i, "".join(rng.choice(["", "\n", "\n\n", "a. ", "same line again, \n", "中文 ", "x" * 200, "tail o "]) for _ in range(rng.randint(0, 30)))) for i in range(150)]
+    out = {r.doc_id: r for r in merkle.edit_fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     seen = {}
     for i, (k, text) in enumerate(docs):
-        n, then = len(text), docs[(i + 1) % len(docs)][1]
+        n, then, r = len(text), docs[(i + 1) % len(docs)][1], out[k]
         edited = text[: n - n // 4] + then[: n // 4]
-        assert (out[k].n_chars, out[k].edited_sha256) == (n, hashlib.sha256(edited.encode()).hexdigest())
-        assert seen.setdefault(text, out[k].fingerprint) == out[k].fingerprint
-        assert 0 <= out[k].near_next <= 1 and (n < 64 or out[k].near_edited > 0.3)
+        assert (r.n_chars, r.edited_sha256) == (n, hashlib.sha256(edited.encode()).hexdigest())
+        assert seen.setdefault(text, r.fingerprint) == r.fingerprint and r.fingerprint.split(";")[0] == brute_tree(text)[0] and r.edited_fingerprint.split(";")[0] == brute_tree(edited)[0]
+        assert (r.near_edited, r.near_next) == (pytest.approx(brute_likeness(text, edited)), pytest.approx(brute_likeness(text, then)))
+        if text == edited:
+            assert r.edit_start is None
+        else:  # what lies outside the range is the same in both
+            rest = n - r.edit_stop
+            assert 0 <= r.edit_start <= r.edit_stop <= n and text[: r.edit_start] == edited[: r.edit_start] and text[r.edit_stop :] == edited[len(edited) - rest :] and r.edit_start + rest <= min(n, len(edited))
+            assert odd or n < 2000 or r.edit_start > n - n // 4 - 120  # close to the edit
     assert len(set(seen.values())) == len(seen)
 
 
 def test_merkle_locates_edits(spark):
     text = "".join(f"line number {i} of the text\n" for i in range(40))
     other = text.replace("number 17 of", "number 99 of")
-    df = spark.createDataFrame([(text, other)], "a string, b string")
+    df = spark.createDataFrame([(text, other), (text, text), (text, text + "more\n"), (text, "")], "a string, b string")
     df = merkle.with_tree(merkle.with_tree(df, merkle.F.col("a"), "ta"), merkle.F.col("b"), "tb")
-    r = df.select(merkle.differing(merkle.F.col("ta"), merkle.F.col("tb")).alias("d"), merkle.differing(merkle.F.col("ta"), merkle.F.col("ta")).alias("none"), (merkle.F.col("ta.root") == merkle.F.col("tb.root")).alias("same")).first()
-    assert r.d.paragraphs == [18] and len(r.d.sections) == 1 and r.none.paragraphs == [] and not r.same
+    got = [r.d for r in df.select(merkle.differing(merkle.F.col("ta"), merkle.F.col("tb")).alias("d")).collect()]
+    found = text[got[0].start : got[0].stop]
+    assert got[0].paragraph == 18 and "17" in found and found in "line number 17 of the text\n" and got[1] is None
+    assert (got[2].start, got[2].stop) == (len(text), len(text)) and (got[3].start, got[3].stop) == (0, len(text))
 
 
 def test_bpe_counts_as_the_library(docs, fuzz):
