@@ -1,8 +1,9 @@
-"""A causal self-attention model over token classes, trained and applied in numpy.
+"""A causal self-attention model over subword ids, trained and applied in numpy.
 
-One head over windows of WINDOW tokens, with a learned bias for every distance and a residual path. It gives the class of
-the next token; the token within its class has its smoothed share of the corpus. As inputs are classes, the products of
-queries and keys are one small table, and a window's attention weights are looked up in it, all windows of a batch at once.
+Every subword has an embedding. One head attends over windows of WINDOW tokens, with a learned bias for every distance;
+what it gathers and the last token's own embedding give the next subword by an adaptive softmax: the commonest subwords are
+outputs of their own, the others stand behind classes. Within its class a subword has its share after the kind of
+subword that stands before it, from counts over the whole corpus, so all probabilities add up to one.
 """
 
 from __future__ import annotations
@@ -11,189 +12,285 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Classes of tokens (the last is the start), width, window, tokens of context that a later window repeats.
-CLASSES, WIDTH, WINDOW, OVERLAP = 64, 16, 32, 8
+#: Subwords that are outputs of their own, classes of the others, kinds of the subword before (and one for the start).
+HEAD, CLASSES, KINDS = 64, 64, 16
+OUTPUTS = HEAD + CLASSES
+#: Width, window, tokens of context that a later window repeats when it scores.
+WIDTH, WINDOW, OVERLAP = 16, 32, 16
 STRIDE = WINDOW - OVERLAP
-BATCH, RATE, LEAST_STEPS = 128, 0.02, 40
-#: What a class's unseen tokens are smoothed with.
-SMOOTH = 0.1
-#: Buckets of the token before, by which tokens are put into classes.
+#: Windows of a step, windows among which a trainer shuffles, steps at least, step sizes of matrices and of embeddings.
+BATCH, POOL, LEAST_STEPS, RATE, RATE_IN = 256, 8192, 60, 0.01, 0.05
+#: What unseen subwords of a class count, and how many times a class's own shares count beside those after a kind.
+SMOOTH, BACK = 0.1, 8.0
+#: Buckets of the id before, by which subwords are first told apart.
 BUCKETS = 16
 
 
-def shapes() -> dict[str, tuple[int, ...]]:
-    n, d = CLASSES + 1, WIDTH
-    return {"e": (n, d), "q": (d, d), "k": (d, d), "v": (d, d), "far": (WINDOW,), "out": (d, CLASSES), "direct": (n, CLASSES)}
+def shapes(vocabulary: int) -> dict[str, tuple[int, ...]]:
+    d = WIDTH
+    return {"q": (d, d), "k": (d, d), "v": (d, d), "far": (WINDOW,), "out": (2 * d, OUTPUTS), "bias": (OUTPUTS,), "e": (vocabulary + 1, d)}
 
 
-def unflat(flat: np.ndarray) -> dict[str, np.ndarray]:
+def unflat(flat: np.ndarray, vocabulary: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, shape in shapes().items():
+    for name, shape in shapes(vocabulary).items():
         n = int(np.prod(shape))
         out[name] = flat[at : at + n].reshape(shape)
         at += n
     return out
 
 
-def start_weights(seed: int = 7) -> np.ndarray:
+def start_weights(vocabulary: int, bias: np.ndarray | None = None, seed: int = 7) -> np.ndarray:
+    """Random weights; bias: the outputs' log shares."""
     rng = np.random.default_rng(seed)
-    parts = {name: np.zeros(s) if name in ("far", "direct") else rng.normal(0, 0.3 if name == "e" else s[0] ** -0.5, s) for name, s in shapes().items()}
-    return np.concatenate([p.ravel() for p in parts.values()])
+    parts = {name: np.zeros(s) if name in ("far", "bias") else rng.normal(0, 0.3 if name == "e" else 0.5 * s[0] ** -0.5, s) for name, s in shapes(vocabulary).items()}
+    if bias is not None:
+        parts["bias"] = bias
+    return np.concatenate([np.ravel(p) for p in parts.values()]).astype(np.float32)
 
 
-def token_classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """counts (tokens, BUCKETS) of a token after a token of each bucket -> (class, log10 share within its class).
+def clusters(counts: np.ndarray, n: int) -> np.ndarray:
+    """counts (subwords, buckets) after each bucket -> one of n classes for each: k-means on the square roots of the shares.
 
-    Tokens that are seen alike after the same buckets share a class: k-means on the square roots of the shares, started
-    from the commonest tokens. Rare tokens go to the nearest class as well; those never seen are spread evenly.
+    It starts from the commonest subwords and weighs by the square roots of their counts; subwords never seen are spread.
     """
     total = counts.sum(axis=1)
     seen = np.flatnonzero(total > 0)
-    kind = np.arange(len(counts)) % CLASSES
+    kind = np.arange(len(counts)) % n
     if len(seen):
         order = seen[np.lexsort((seen, -total[seen]))]
         base = counts.sum(axis=0) + 1.0
         x = np.sqrt((counts[order] + base / base.sum() * 4) / (total[order] + 4)[:, None])
         weight = np.sqrt(total[order])
-        centre = x[:CLASSES].copy() if len(x) >= CLASSES else np.vstack([x, np.ones((CLASSES - len(x), x.shape[1]))])
+        centre = x[:n].copy() if len(x) >= n else np.vstack([x, np.ones((n - len(x), x.shape[1]))])
         for _ in range(8):
             near = np.argmax(x @ centre.T - 0.5 * (centre * centre).sum(axis=1), axis=1)
-            mass = np.bincount(near, weight, CLASSES)
-            sums = np.stack([np.bincount(near, weight * x[:, j], CLASSES) for j in range(x.shape[1])], axis=1)
+            mass = np.bincount(near, weight, n)
+            sums = np.stack([np.bincount(near, weight * x[:, j], n) for j in range(x.shape[1])], axis=1)
             centre = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1e-9)[:, None], centre)
         kind[order] = near
-    smoothed = total + SMOOTH
-    within = np.log10(smoothed / np.bincount(kind, smoothed, CLASSES)[kind])
-    return kind.astype(np.uint8), within.astype(np.float32)
+    return kind
 
 
-def step(flat: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean negative log likelihood of the targets y >= 0 after inputs x, both (batch, WINDOW), and its gradient."""
-    p, d = unflat(flat), WIDTH
-    grad = np.zeros_like(flat)
-    hot = np.eye(CLASSES + 1, dtype=flat.dtype)[x].reshape(-1, CLASSES + 1)  # sums by class as one product
-    g = unflat(grad)
+class Outputs:
+    """Which output each subword stands behind, and its share there after each kind of subword before it."""
+
+    def __init__(self, counts: np.ndarray):
+        """counts (subwords, BUCKETS): how often each stands after each bucket of ids."""
+        total = counts.sum(axis=1)
+        common = np.lexsort((np.arange(len(total)), -total))[:HEAD]
+        self.kind = np.r_[clusters(counts, KINDS), KINDS].astype(np.int64)  # the last stands for the start
+        rest = np.setdiff1d(np.arange(len(total)), common)
+        self.of = np.empty(len(total), np.int64)
+        self.of[common] = np.arange(len(common))
+        self.of[rest] = HEAD + clusters(counts[rest], CLASSES)
+        self.own = np.zeros(len(total), bool)
+        self.own[common] = True
+        share = np.bincount(self.of, total + SMOOTH, OUTPUTS)
+        self.bias = np.log(np.maximum(share, SMOOTH) / np.maximum(share, SMOOTH).sum())
+
+    def add_shares(self, after: np.ndarray) -> None:
+        """after (subwords, KINDS + 1): how often each stands after each kind."""
+        total = after.sum(axis=1) + SMOOTH
+        plain = total / np.bincount(self.of, total, OUTPUTS)[self.of]
+        sums = np.stack([np.bincount(self.of, after[:, k], OUTPUTS) for k in range(after.shape[1])], axis=1)
+        share = (after + BACK * plain[:, None]) / (sums[self.of] + BACK)
+        share[self.own] = 1.0
+        self.within = np.log10(share).astype(np.float32)
+
+
+def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Mean negative log likelihood of outputs y >= 0 after inputs x, both (batch, WINDOW), the gradients of the matrices, and the
+    rows of embeddings that x uses with theirs."""
+    d, one = WIDTH, p["q"].dtype.type(1)
+    n_rows = x.size
     e = p["e"][x]
-    q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
+    flat_e = e.reshape(-1, d)
+    qkv = flat_e @ np.concatenate([p["q"] * (one / d**0.5), p["k"], p["v"]], axis=1)
+    q, k, v = (qkv[:, i * d : (i + 1) * d].reshape(*x.shape, d) for i in range(3))
     gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
-    causal = gap >= 0
-    logit = np.where(causal, q @ k.transpose(0, 2, 1) / flat.dtype.type(d**0.5) + p["far"][np.abs(gap)], flat.dtype.type(-1e9))
-    a = np.exp(logit - logit.max(axis=2, keepdims=True))
+    far = np.where(gap >= 0, p["far"][np.abs(gap)], p["q"].dtype.type(-1e9))
+    a = q @ k.transpose(0, 2, 1)
+    a += far
+    a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
     a /= a.sum(axis=2, keepdims=True)
     z = a @ v
-    out = z @ p["out"] + p["direct"][x]
-    out -= out.max(axis=2, keepdims=True)
-    share = np.exp(out)
-    share /= share.sum(axis=2, keepdims=True)
-    real = y >= 0
-    n = max(1, real.sum())
-    at = (*np.nonzero(real), y[real])
-    loss = -np.log(share[at] + 1e-30).sum() / n
-    d_out = share * real[:, :, None]
-    d_out[at] -= 1
-    d_out /= n
-    g["out"][...] = z.reshape(-1, d).T @ d_out.reshape(-1, CLASSES)
-    g["direct"][...] = hot.T @ d_out.reshape(-1, CLASSES)
-    d_z = d_out @ p["out"].T
+    both = np.concatenate([z.reshape(-1, d), flat_e], axis=1)
+    out = both @ p["out"]
+    out += p["bias"]
+    out -= out.max(axis=1, keepdims=True)
+    np.exp(out, out=out)
+    total = out.sum(axis=1)
+    target = y.ravel()
+    real = np.flatnonzero(target >= 0)
+    n = max(1, len(real))
+    loss = -np.log(out[real, target[real]] / total[real] + 1e-30).sum() / n
+    scale = np.zeros(n_rows, out.dtype)
+    scale[real] = one / n
+    out *= (scale / total)[:, None]
+    out[real, target[real]] -= one / n
+    g = {"out": both.T @ out, "bias": out.sum(axis=0)}
+    d_both = out @ p["out"].T
+    d_z = d_both[:, :d].reshape(*x.shape, d)
     d_a = d_z @ v.transpose(0, 2, 1)
     d_v = a.transpose(0, 2, 1) @ d_z
-    d_l = a * (d_a - (d_a * a).sum(axis=2, keepdims=True))
-    g["far"][...] = np.bincount(np.abs(gap)[causal], d_l.sum(axis=0)[causal], WINDOW)
-    d_l /= flat.dtype.type(d**0.5)
-    d_q, d_k = d_l @ k, d_l.transpose(0, 2, 1) @ q
-    flat_e = e.reshape(-1, d)
-    for name, own in (("q", d_q), ("k", d_k), ("v", d_v)):
-        g[name][...] = flat_e.T @ own.reshape(-1, d)
-    g["e"][...] = hot.T @ (d_q @ p["q"].T + d_k @ p["k"].T + d_v @ p["v"].T).reshape(-1, d)
-    return float(loss), grad
-
-
-def trained(flat: np.ndarray, x: np.ndarray, y: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Weights after one pass of Adam over the windows, or as many passes as make LEAST_STEPS steps."""
-    if not len(x):
-        return flat
-    flat, rng = flat.astype(np.float32), np.random.default_rng(seed)
-    steps = max(LEAST_STEPS, -(-len(x) // BATCH))
-    m, s, order, at = np.zeros_like(flat), np.zeros_like(flat), rng.permutation(len(x)), 0
-    for t in range(1, steps + 1):
-        if at >= len(x):
-            order, at = rng.permutation(len(x)), 0
-        rows = order[at : at + BATCH]
-        at += BATCH
-        _, g = step(flat, x[rows], y[rows])
-        m = 0.9 * m + 0.1 * g
-        s = 0.99 * s + 0.01 * g * g
-        flat -= (RATE * (1 - 0.9 * t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-    return flat.astype(np.float64)
+    d_a -= (d_a * a).sum(axis=2, keepdims=True)
+    d_a *= a
+    sums = d_a.sum(axis=0)
+    g["far"] = np.bincount(np.abs(gap)[gap >= 0], sums[gap >= 0], WINDOW).astype(out.dtype)
+    d_qkv = np.concatenate([(d_a @ k).reshape(-1, d), (d_a.transpose(0, 2, 1) @ q).reshape(-1, d), d_v.reshape(-1, d)], axis=1)
+    grads = flat_e.T @ d_qkv
+    g["q"], g["k"], g["v"] = grads[:, :d] * (one / d**0.5), grads[:, d : 2 * d], grads[:, 2 * d :]
+    d_e = d_qkv @ np.concatenate([p["q"] * (one / d**0.5), p["k"], p["v"]], axis=1).T
+    d_e += d_both[:, d:]
+    order = np.argsort(x.ravel(), kind="stable")
+    ids = x.ravel()[order]
+    new = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return float(loss), g, ids[new], np.add.reduceat(d_e[order], new, axis=0)
+
+
+class Trainer:
+    """Weights moved by Adam (matrices) and by Adagrad (rows of embeddings) over windows that come in any portions.
+
+    The result depends on the order of the texts, not on how they are cut into portions.
+    """
+
+    def __init__(self, flat: np.ndarray, vocabulary: int, expected: int, seed: int = 0):
+        self.flat = flat.astype(np.float32)
+        self.p = unflat(self.flat, vocabulary)
+        self.m, self.s = ({k: np.zeros_like(v) for k, v in self.p.items() if k != "e"} for _ in range(2))
+        self.seen = np.full(len(self.p["e"]), 1e-6, np.float32)
+        self.rng = np.random.default_rng(seed)
+        self.expected, self.t, self.windows = max(LEAST_STEPS, expected), 0, 0
+        self.pool: list[np.ndarray] = []
+        self.pooled = 0
+
+    def feed(self, windows: np.ndarray) -> None:
+        """windows (n, 2, WINDOW): inputs and outputs."""
+        self.windows += len(windows)
+        while len(windows):
+            some, windows = windows[: POOL - self.pooled], windows[POOL - self.pooled :]
+            self.pool.append(some)
+            self.pooled += len(some)
+            if self.pooled == POOL:
+                self._pass()
+                self.pool, self.pooled = [], 0
+
+    def _pass(self) -> None:
+        own = np.concatenate(self.pool)[self.rng.permutation(self.pooled)]
+        for at in range(0, len(own), BATCH):
+            self._step(own[at : at + BATCH, 0], own[at : at + BATCH, 1])
+
+    def finish(self) -> np.ndarray:
+        while self.pooled and (self.t < LEAST_STEPS or not self.t):
+            self._pass()
+            if self.t >= LEAST_STEPS:
+                self.pooled = 0
+        if self.pooled:
+            self._pass()
+        return self.flat
+
+    def _step(self, x: np.ndarray, y: np.ndarray) -> None:
+        _, g, rows, more = step(self.p, x, y)
+        self.t += 1
+        rate = max(0.1, 1 - 0.9 * self.t / (self.expected + 1))
+        for k, v in g.items():
+            self.m[k] += 0.1 * (v - self.m[k])
+            self.s[k] += 0.01 * (v * v - self.s[k])
+            self.p[k] -= RATE * rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.s[k] / (1 - 0.99**self.t)) + 1e-8)
+        self.seen[rows] += (more * more).mean(axis=1)
+        self.p["e"][rows] -= RATE_IN * rate * more / np.sqrt(self.seen[rows])[:, None]
+
+
+def _padded(ids: np.ndarray, first: np.ndarray, size: np.ndarray, vocabulary: int) -> np.ndarray:
+    """The inputs of all places: the subword before, or the start."""
+    before = np.r_[np.int64(vocabulary), ids.astype(np.int64)[:-1]]
+    before[first] = vocabulary
+    return before
+
+
+def training_windows(ids: np.ndarray, size: np.ndarray, outputs: Outputs) -> np.ndarray:
+    """Windows (n, 2, WINDOW) over the whole of all sequences of size >= 1, one after the other; -1 behind the end."""
+    first = np.cumsum(size) - size
+    x = np.r_[_padded(ids, first, size, len(outputs.of)), np.zeros(WINDOW, np.int64)].astype(np.int32)
+    y = np.r_[outputs.of[ids], np.full(WINDOW, -1)].astype(np.int32)
+    n = -(-size // WINDOW)
+    own = np.repeat(np.arange(len(size)), n)
+    start = (np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
+    at = (first[own] + start)[:, None] + np.arange(WINDOW)
+    real = np.arange(WINDOW) < (size[own] - start)[:, None]
+    return np.stack([np.where(real, x[at], 0), np.where(real, y[at], -1)], axis=1)
 
 
 class Scorer:
-    """Log10 probabilities of whole token sequences."""
+    """Log10 probabilities of whole sequences of subwords."""
 
-    def __init__(self, flat: np.ndarray, kind: np.ndarray, within: np.ndarray):
-        p = unflat(flat)
-        e = p["e"]
-        self.kind, self.within = kind, within
-        pair = np.exp(np.clip((e @ p["q"]) @ (e @ p["k"]).T / WIDTH**0.5, -40, 40))
+    def __init__(self, flat: np.ndarray, outputs: Outputs):
+        p = unflat(flat.astype(np.float32), len(outputs.of))
+        self.outputs, self.out, self.bias = outputs, p["out"], p["bias"]
+        self.e = p["e"]
+        self.q, self.k, self.v = p["e"] @ p["q"] / np.float32(WIDTH**0.5), p["e"] @ p["k"], p["e"] @ p["v"]
         gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
-        self.pair = pair.astype(np.float32).ravel()
-        self.far = np.where(gap >= 0, np.exp(np.clip(p["far"], -20, 20))[np.abs(gap)], 0).astype(np.float32)
-        self.narrow = np.concatenate([e @ p["v"], np.ones((len(e), 1))], axis=1).astype(np.float32)
-        self.out, self.direct = p["out"].astype(np.float32), p["direct"].astype(np.float32)
+        self.far = np.where(gap >= 0, p["far"][np.abs(gap)], np.float32(-1e9)).astype(np.float32)
 
-    def score(self, ids: np.ndarray, size: np.ndarray, batch: int = 128) -> np.ndarray:
-        """ids: sequences one after the other, each of size >= 1 with its end token. Every token is scored once.
+    def score(self, ids: np.ndarray, size: np.ndarray, batch: int = 256) -> np.ndarray:
+        """ids: sequences one after the other, each of size >= 1 with its end. Every subword is scored once.
 
         A sequence's first window scores all its places. Each later one starts STRIDE tokens on and repeats OVERLAP tokens
         as context, for which it has keys and values but asks nothing.
         """
         if not len(size):
             return np.zeros(0)
-        first = np.cumsum(size) - size
-        total = np.add.reduceat(self.within[ids], first, dtype=np.float64)
-        cls = self.kind[ids].astype(np.int64)
-        padded = np.r_[np.int64(CLASSES), cls, np.zeros(WINDOW, np.int64)]  # a place's input is the token before it
+        ids, first = ids.astype(np.int64), np.cumsum(size) - size
+        x = _padded(ids, first, size, len(self.outputs.of))
+        total = np.add.reduceat(self.outputs.within[ids, self.outputs.kind[x]], first, dtype=np.float64)
+        x, y = np.r_[x, np.zeros(WINDOW, np.int64)], np.r_[self.outputs.of[ids], np.zeros(WINDOW, np.int64)]
         later = -(-np.maximum(size - WINDOW, 0) // STRIDE)
         own = np.repeat(np.arange(len(size)), later)
         nth = np.arange(len(own)) - np.repeat(np.cumsum(later) - later, later) + 1
-        gain = self._gain(padded, first, size, 0, batch)
-        gain += np.bincount(own, self._gain(padded, first[own] + nth * STRIDE, size[own] - nth * STRIDE, OVERLAP, batch), len(size))
+        gain = self._gain(x, y, first, size, 0, batch)
+        gain += np.bincount(own, self._gain(x, y, first[own] + nth * STRIDE, size[own] - nth * STRIDE, OVERLAP, batch), len(size))
         return total + gain / np.log(10)
 
-    def _gain(self, padded: np.ndarray, start: np.ndarray, left: np.ndarray, repeated: int, batch: int) -> np.ndarray:
-        """Log probability of the classes of each window's places from repeated on; left: tokens from its start to the end."""
+    def _gain(self, inputs: np.ndarray, outputs: np.ndarray, start: np.ndarray, left: np.ndarray, repeated: int, batch: int) -> np.ndarray:
+        """Log probability of the outputs of each window's places from repeated on; left: tokens from its start to the end."""
         place, far = np.arange(WINDOW), self.far[repeated:]
-        out_gain = np.zeros(len(start))
+        got = np.zeros(len(start))
         for b in range(0, len(start), batch):
             at = start[b : b + batch, None] + place
-            x = padded[at]
-            if not repeated:
-                x[:, 0] = CLASSES
+            x = inputs[at]
             asks = x[:, repeated:]
-            pair = self.pair[(asks * (CLASSES + 1))[:, :, None] + x[:, None, :]]
-            pair *= far
-            z = pair @ self.narrow[x]
-            z = z[:, :, :WIDTH] / z[:, :, WIDTH:]
-            out = z.reshape(-1, WIDTH) @ self.out
-            out += self.direct[asks.ravel()]
-            target = out[np.arange(len(out)), padded[at[:, repeated:] + 1].ravel()]
+            a = self.q[asks] @ self.k[x].transpose(0, 2, 1)
+            a += far
+            a -= a.max(axis=2, keepdims=True)
+            np.exp(a, out=a)
+            z = a @ self.v[x]
+            z /= a.sum(axis=2, keepdims=True)
+            out = z.reshape(-1, WIDTH) @ self.out[:WIDTH]
+            out += self.e[asks.ravel()] @ self.out[WIDTH:]
+            out += self.bias
+            out -= out.max(axis=1, keepdims=True)
+            said = out[np.arange(len(out)), outputs[at[:, repeated:]].ravel()]
             np.exp(out, out=out)
-            got = (target - np.log(out.sum(axis=1))).reshape(asks.shape)
-            out_gain[b : b + batch] = np.where(place[repeated:] < left[b : b + batch, None], got, 0).sum(axis=1, dtype=np.float64)
-        return out_gain
-
-
-def training_windows(docs: Iterator[tuple[np.ndarray, int]], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One window of every document, at the place that its number gives: inputs and targets, -1 behind the end."""
-    xs, ys = [], []
-    for ids, number in docs:
-        cls = kind[ids].astype(np.int32)
-        at = number % max(1, len(cls) - WINDOW + 1)
-        y = cls[at : at + WINDOW]
-        x = np.r_[cls[at - 1] if at else CLASSES, y[:-1]]
-        pad = WINDOW - len(y)
-        xs.append(np.r_[x, np.zeros(pad, np.int32)])
-        ys.append(np.r_[y, np.full(pad, -1, np.int32)])
-    if not xs:
-        return np.zeros((0, WINDOW), np.int32), np.zeros((0, WINDOW), np.int32)
-    return np.array(xs), np.array(ys)
+            said = (said - np.log(out.sum(axis=1))).reshape(asks.shape)
+            got[b : b + batch] = np.where(place[repeated:] < left[b : b + batch, None], said, 0).sum(axis=1, dtype=np.float64)
+        return got
+
+
+def texts_of(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids one after the other, how many each text has) of texts' 16-bit ids."""
+    return np.frombuffer(b"".join(packed), "<u2").astype(np.int64), np.fromiter((len(x) // 2 for x in packed), np.int64, len(packed))
+
+
+def portions(packed: Iterator[bytes], tokens: int) -> Iterator[list[bytes]]:
+    """Texts in lists of about so many tokens."""
+    held, n = [], 0
+    for x in packed:
+        held.append(x)
+        n += len(x) // 2
+        if n >= tokens:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held

@@ -2,9 +2,11 @@
 
 Two scores of every text. The base score is a smoothed word unigram: counts are exact over all training documents; the
 commonest words' counts are broadcast up to a fixed number, the rest are joined. The model is a causal self-attention
-model over subword ids (see attention.py): token classes and shares come from counts over all training documents, and the
-weights from one window of every training document, trained in numpy by a fixed number of trainers whose weights are
-averaged, twice. Texts are tokenized once, into a written table that both training and scoring read.
+model over subword ids (see attention.py): outputs and shares come from counts over all training documents, and the
+weights from every subword of every training document as a target. Each document is dealt by its hash to one of a few
+rounds and to one of the round's trainers, whose number grows with the subwords; after a round the trainers' weights are
+averaged, and the next one starts from there. Texts are tokenized once, into a written table that both training and
+scoring read. What is learned depends on the documents alone, not on how the table is cut into partitions.
 """
 
 from __future__ import annotations
@@ -19,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .attention import BUCKETS, Scorer, start_weights, token_classes, trained, training_windows
-from .common import in_batches, slices, table, whole_text, written
+from .attention import BATCH, BUCKETS, KINDS, WINDOW, Outputs, Scorer, Trainer, portions, start_weights, texts_of, training_windows
+from .common import discard, in_batches, slices, table, whole_text, written
 from .packing import TOKENIZER, word_ids
 
-#: Smoothing of the base; words whose counts are broadcast; trainers and rounds of averaging.
-ADD, COMMON, TRAINERS, ROUNDS = 0.1, 400_000, 12, 2
+#: Smoothing of the base; words whose counts are broadcast.
+ADD, COMMON = 0.1, 400_000
+#: Subwords that one trainer goes through, where each round ends as a share of the documents, rows that are averaged at a time.
+PER_TRAINER, ROUNDS, FAN = 1 << 23, (0.125, 0.5, 1.0), 8
 #: Words counted in memory before they are passed on, words whose ids a worker remembers, bytes of text at a time.
 FLUSH, REMEMBERED, SLICE = 400_000, 750_000, 4 << 20
 #: The end of a text: the word that no text holds, and the tokenizer's own end token.
@@ -81,62 +85,95 @@ def _read(docs: DataFrame, id_col: str, text_col: str, held, path: str, end_id:
     return written(in_batches(rows, run, f"row bigint, id {kind}, held_out boolean, text string, ids binary, word string, n bigint", ("words", path, REMEMBERED)), "texts-and-words")
 
 
-def _class_counts(texts: DataFrame, vocabulary: int) -> np.ndarray:
-    """How often each token stands after a token of each bucket, over all training documents."""
+def _counts_after(texts: DataFrame, vocabulary: int, kind: np.ndarray) -> np.ndarray:
+    """How often each subword stands after each kind of subword, over all training documents. kind: of every id, and of the start."""
+    kinds = int(kind.max()) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(vocabulary * BUCKETS, np.int64)
+        total = np.zeros(vocabulary * kinds, np.int64)
         for batch in slices(batches, "ids"):
-            for part in range(0, batch.num_rows, 512):
-                all_ids = np.frombuffer(b"".join(batch.column(0).slice(part, 512).to_pylist()), "<u2").astype(np.int64)
-                total += np.bincount(all_ids * BUCKETS + np.r_[0, all_ids[:-1]] % BUCKETS, minlength=len(total))
-        total = total.reshape(vocabulary, BUCKETS)
+            for packed in portions(iter(batch.column(0).to_pylist()), 1 << 20):
+                ids, size = texts_of(packed)
+                before = np.r_[np.int64(0), kind[ids[:-1]]]
+                before[np.cumsum(size) - size] = kind[-1]
+                total += np.bincount(ids * kinds + before, minlength=len(total))
+        total = total.reshape(vocabulary, kinds)
         seen = np.flatnonzero(total.any(axis=1))
-        yield pa.record_batch([pa.array(seen), *(pa.array(total[seen, b]) for b in range(BUCKETS))], names=["token", *(f"b{b}" for b in range(BUCKETS))])
+        yield pa.record_batch([pa.array(seen), *(pa.array(total[seen, b]) for b in range(kinds))], names=["token", *(f"b{b}" for b in range(kinds))])
 
-    schema = "token bigint, " + ", ".join(f"b{b} bigint" for b in range(BUCKETS))
-    sums = in_batches(texts.select("ids"), run, schema).groupBy("token").agg(*(F.sum(f"b{b}").alias(f"b{b}") for b in range(BUCKETS)))
+    schema = "token bigint, " + ", ".join(f"b{b} bigint" for b in range(kinds))
+    sums = in_batches(texts.select("ids"), run, schema).groupBy("token").agg(*(F.sum(f"b{b}").alias(f"b{b}") for b in range(kinds)))
     got = sums.toArrow()  # one row for each token of the vocabulary at most
-    out = np.zeros((vocabulary, BUCKETS), np.int64)
+    out = np.zeros((vocabulary, kinds), np.int64)
     at = got.column("token").to_numpy()
-    for b in range(BUCKETS):
+    for b in range(kinds):
         out[at, b] = got.column(f"b{b}").to_numpy()
     return out
 
 
-def _train(texts: DataFrame, kind: np.ndarray, trainers: int, rounds: int) -> np.ndarray:
-    """Weights from one window of every training document; each round's documents are dealt to the trainers by hash."""
-    flat = start_weights()
-    number = F.xxhash64("row").bitwiseAND((1 << 40) - 1)
-    dealt = texts.select("ids", number.alias("number"), F.pmod(F.xxhash64("row", F.lit("trainer")), F.lit(trainers)).cast("int").alias("trainer"))
+def _averaged(got: DataFrame) -> np.ndarray | None:
+    """got (place, windows, weights) -> the average of the weights by windows, in the order of places.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids"):
-            docs = ((np.frombuffer(x, "<u2"), n) for x, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            xs, ys = training_windows(docs, kind)
-            yield pa.record_batch([batch.column(2), batch.column(1), pa.array([r.tobytes() for r in xs.astype(np.int8)], pa.binary()), pa.array([r.tobytes() for r in ys.astype(np.int8)], pa.binary())], names=["trainer", "number", "x", "y"])
-
-    windows = written(in_batches(dealt, cut, "trainer int, number bigint, x binary, y binary"), "training-windows")
-    for r in range(rounds):
-
-        def work(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat, r: int = r) -> Iterator[pa.RecordBatch]:
-            held = [(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()) for b in batches]
-            by: dict[int, list[tuple[int, bytes, bytes]]] = {}
-            for parts in held:
-                for t, n, x, y in zip(*parts, strict=True):
-                    by.setdefault(t, []).append((n, x, y))
-            for t, rows in by.items():
-                rows.sort()
-                x = np.frombuffer(b"".join(x for _, x, _ in rows), np.int8).reshape(len(rows), -1).astype(np.int32)
-                y = np.frombuffer(b"".join(y for _, _, y in rows), np.int8).reshape(len(rows), -1).astype(np.int32)
-                got = trained(flat, x, y, 1000 * r + t)
-                yield pa.record_batch([pa.array([t]), pa.array([len(rows)]), pa.array([got.tobytes()], pa.binary())], names=["trainer", "windows", "weights"])
-
-        own = windows.where(F.pmod(F.shiftright("number", 7), F.lit(rounds)) == r)
-        got = in_batches(own.repartition(trainers, "trainer"), work, "trainer bigint, windows bigint, weights binary").collect()  # a row for each trainer
-        got.sort(key=lambda g: g["trainer"])
-        if got:
-            flat = np.average([np.frombuffer(g["weights"]) for g in got], axis=0, weights=[g["windows"] for g in got])
+    Rows are added up FAN at a time until FAN are left for the driver: it sees a fixed number of bytes whatever their number.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["place"])
+        for place in sorted({r["place"] // FAN for r in rows}):
+            own = [r for r in rows if r["place"] // FAN == place]
+            total = sum(np.frombuffer(r["weights"]) for r in own)
+            yield pa.record_batch([pa.array([place]), pa.array([sum(r["windows"] for r in own)]), pa.array([total.tobytes()], pa.binary())], names=["place", "windows", "weights"])
+
+    n = got.agg(F.max("place")).first()[0]
+    while n is not None and n >= FAN:
+        n //= FAN
+        fewer = written(in_batches(got.repartition(n + 1, F.floor(F.col("place") / FAN)), work, "place bigint, windows bigint, weights binary"), "averages")
+        discard(got)
+        got = fewer
+    rows = sorted(got.collect(), key=lambda r: r["place"])
+    discard(got)
+    return sum(np.frombuffer(r["weights"]) for r in rows) / sum(r["windows"] for r in rows) if rows else None
+
+
+def _train(texts: DataFrame, outputs: Outputs, subwords: int, per_trainer: int) -> np.ndarray:
+    """Weights from all training documents, dealt by a hash of their id and text."""
+    vocabulary = len(outputs.of)
+    flat = start_weights(vocabulary, outputs.bias)
+    share = F.pmod(F.xxhash64("id", "ids", F.lit("round")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    begin = 0.0
+    for r, stop in enumerate(ROUNDS):
+        part = subwords * (stop - begin)
+        trainers = max(1, round(part / per_trainer))
+        shared = texts.sparkSession.sparkContext.broadcast((flat, outputs))
+        expected = int(part / trainers / WINDOW / BATCH)
+
+        def work(batches: Iterator[pa.RecordBatch], shared=shared, r: int = r, expected: int = expected) -> Iterator[pa.RecordBatch]:
+            flat, outputs = shared.value
+            trainer, now = None, None
+
+            def done() -> pa.RecordBatch:
+                got = trainer.finish().astype(np.float64) * trainer.windows
+                return pa.record_batch([pa.array([now]), pa.array([trainer.windows]), pa.array([got.tobytes()], pa.binary())], names=["place", "windows", "weights"])
+
+            for batch in slices(batches, "ids"):
+                place, packed = batch.column("trainer").to_numpy(), batch.column("ids")
+                for t in np.unique(place).tolist():
+                    if t != now:
+                        if trainer is not None:
+                            yield done()
+                        trainer, now = Trainer(flat, len(outputs.of), expected, 1000 * r + t), t
+                    own = np.flatnonzero(place == t)  # rows are in the order of their trainers
+                    for some in portions((x.as_py() for x in packed.slice(own[0], len(own))), 1 << 18):
+                        trainer.feed(training_windows(*texts_of(some), outputs))
+            if trainer is not None:
+                yield done()
+
+        own = texts.where((share >= begin) & (share < stop)).select("ids", F.pmod(F.xxhash64("id", "ids"), F.lit(trainers)).alias("trainer"), F.xxhash64("id", "ids", F.lit("order")).alias("number"))
+        dealt = own.repartition(trainers, "trainer").sortWithinPartitions("trainer", "number").select("trainer", "ids")
+        got = _averaged(written(in_batches(dealt, work, "place bigint, windows bigint, weights binary"), "trained"))
+        if got is not None:
+            flat = got.astype(np.float32)
+        begin = stop
     return flat
 
 
@@ -190,12 +227,13 @@ def _score(texts: DataFrame, common: dict[bytes, int], total: int, distinct: int
     return in_batches(texts.select("row", "id", "held_out", "text", "ids"), run, schema)
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, held=None, path: str | None = None, common: int = COMMON, trainers: int = TRAINERS, rounds: int = ROUNDS) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, held=None, path: str | None = None, common: int = COMMON, per_trainer: int = PER_TRAINER) -> DataFrame:
     """One row per row of docs: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     held tells which rows nothing is learned from. A null or empty text is its end alone. Rows that repeat an id are read,
     learned from and scored each; null ids stay null and are learned from. Other columns are neither read nor returned. An
-    empty table gives an empty result; without training documents no token is known, and the model is as it starts.
+    empty table gives an empty result; without training documents no token is known, and the model is as it starts. Very
+    long texts are trained on and scored whole, window by window. Documents alike in id and text go to the same trainer.
     """
     path = path or public_tokenizers.path(TOKENIZER)
     words = word_ids(path, REMEMBERED)
@@ -210,8 +248,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = dict(zip(top.column("word").cast(pa.binary()).to_pylist(), np.log10(top.column("c").to_numpy() + ADD).tolist(), strict=True))
 
     learned = texts.where(~F.col("held_out"))
-    kind, within = token_classes(_class_counts(learned, vocabulary))
-    model = Scorer(_train(learned, kind, trainers, rounds), kind, within)
+    before = _counts_after(learned, vocabulary, np.r_[np.arange(vocabulary) % BUCKETS, 0])
+    outputs = Outputs(before)
+    outputs.add_shares(_counts_after(learned, vocabulary, outputs.kind))
+    model = Scorer(_train(learned.select("id", "ids"), outputs, int(before.sum()), per_trainer), outputs)
     scored = written(_score(texts, known, total, distinct, model), "scored")
     rest = counts.where(F.col("c") < least)
     rare = scored.where(F.col("word").isNotNull()).select("row", "word", "n").join(rest, "word", "left")

@@ -123,7 +123,7 @@ def test_viterbi_is_the_best_path():
 
 
 def test_lm_base_and_model(spark, docs):
-    out = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(docs, "doc_id long, text string"), common=200, trainers=2).collect()}
+    out = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(docs, "doc_id long, text string"), common=200, per_trainer=30_000).collect()}
     counts = collections.Counter()
     held = {k: zlib.crc32(str(k).encode()) % 10 == 0 for k, _ in docs}
     words = {k: [*t.encode().lower().split(), b""] for k, t in docs}
@@ -135,42 +135,89 @@ def test_lm_base_and_model(spark, docs):
         r = out[k]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[k], len(own), sum(counts[w] > 0 for w in own), total)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in own))
-    away = [k for k in words if held[k]]
-    size = {k: len(Tokenizer.from_file(P.path("word_bpe_49k.json")).encode(t, add_special_tokens=False).ids) + 1 for k, t in docs if held[k]}
-    assert sum(out[k].score for k in away) / sum(size.values()) > -math.log10(49408)
+    library, seen = Tokenizer.from_file(P.path("word_bpe_49k.json")), collections.Counter()
+    ids = {k: [*library.encode(t, add_special_tokens=False).ids, library.token_to_id("<|endoftext|>")] for k, t in docs}
+    for k, own in ids.items():
+        if not held[k]:
+            seen.update(own)
+    n = sum(seen.values())
+    unigram = sum(math.log10((seen[i] + 0.1) / (n + 0.1 * 49408)) for k, own in ids.items() if held[k] for i in own)
+    assert sum(out[k].score for k in ids if held[k]) > 0.95 * unigram
+
+
+def test_lm_does_not_depend_on_the_layout(spark, docs):
+    """One partition, or five in another order: the same scores."""
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    one, five = ({r.doc_id: r.score for r in lm.score_texts(df, per_trainer=60_000).collect()} for df in (table.coalesce(1), table.orderBy(lm.F.desc("doc_id")).repartition(5)))
+    assert all(one[k] == pytest.approx(five[k], rel=1e-4) for k in one)
+
 
+def small_outputs(rng, vocabulary=200):
+    outputs = attention.Outputs(rng.integers(0, 9, (vocabulary, attention.BUCKETS)))
+    outputs.add_shares(rng.integers(0, 5, (vocabulary, attention.KINDS + 1)))
+    return outputs
 
-def test_attention_scores_each_token_once():
+
+def plain_probabilities(p, outputs, x):
+    """Probabilities of every subword after the inputs x (start first), by loops over the model as it is described."""
+    e = [p["e"][i] for i in x]
+    q = e[-1] @ p["q"]
+    weight = np.array([math.exp(q @ (v @ p["k"]) / attention.WIDTH**0.5 + p["far"][len(e) - 1 - j]) for j, v in enumerate(e)])
+    z = sum(w * (v @ p["v"]) for w, v in zip(weight / weight.sum(), e, strict=True))
+    out = np.exp(np.r_[z, e[-1]] @ p["out"] + p["bias"])
+    return (out / out.sum())[outputs.of] * 10.0 ** outputs.within[:, outputs.kind[x[-1]]]
+
+
+def test_attention_scores_by_brute_force():
+    """Every subword once, with the context of its window; probabilities over the vocabulary add up to one."""
     rng = np.random.default_rng(0)
-    flat = attention.start_weights() + rng.normal(0, 0.2, len(attention.start_weights()))
-    kind, within = rng.integers(0, attention.CLASSES, 500).astype(np.uint8), rng.normal(size=500).astype(np.float32)
-    size = np.array([1, 5, 32, 33, 56, 57, 100])
-    ids = rng.integers(0, 500, size.sum())
-    got = attention.Scorer(flat, kind, within).score(ids, size)
+    outputs = small_outputs(rng)
+    flat = attention.start_weights(200) + rng.normal(0, 0.2, len(attention.start_weights(200))).astype(np.float32)
+    p = {k: v.astype(np.float64) for k, v in attention.unflat(flat, 200).items()}
+    size = np.array([1, 5, 32, 33, 48, 49, 100])
+    ids = rng.integers(0, 200, size.sum())
+    got = attention.Scorer(flat, outputs).score(ids, size)
     for d, n in enumerate(size):
         own = ids[size[:d].sum() : size[:d].sum() + n]
         want = 0.0
         for i in range(n):
             start = 0 if i < attention.WINDOW else ((i - attention.WINDOW) // attention.STRIDE + 1) * attention.STRIDE
-            x = [attention.CLASSES if start == 0 else kind[own[start - 1]], *kind[own[start:i]]]
-            xs, ys = np.zeros((1, attention.WINDOW), int), -np.ones((1, attention.WINDOW), int)
-            xs[0, : len(x)], ys[0, len(x) - 1] = x, kind[own[i]]
-            want += within[own[i]] - attention.step(flat, xs, ys)[0] / math.log(10)
+            share = plain_probabilities(p, outputs, [200 if start == 0 else own[start - 1], *own[start:i]])
+            # the part of probability that outputs without a subword hold is lost, and nothing else
+            assert share.sum() <= 1 + 1e-5
+            want += math.log10(share[own[i]])
         assert got[d] == pytest.approx(want, abs=1e-3)
 
 
-def test_attention_gradient():
+def test_attention_gradient(monkeypatch):
     rng = np.random.default_rng(1)
-    flat = attention.start_weights() + rng.normal(0, 0.1, len(attention.start_weights()))
-    x, y = rng.integers(0, attention.CLASSES + 1, (3, 32)), rng.integers(-1, attention.CLASSES, (3, 32))
-    _, grad = attention.step(flat, x, y)
-    for i in rng.integers(0, len(flat), 20):
-        near = []
-        for h in (1e-5, -1e-5):
-            moved = flat.copy()
-            moved[i] += h
-            near.append(attention.step(moved, x, y)[0])
-        assert grad[i] == pytest.approx((near[0] - near[1]) / 2e-5, abs=1e-5)
+    flat = attention.start_weights(50).astype(np.float64) + rng.normal(0, 0.1, len(attention.start_weights(50)))
+    x, y = rng.integers(0, 51, (3, 32)), rng.integers(-1, attention.OUTPUTS, (3, 32))
+    p = attention.unflat(flat, 50)
+    _, g, rows, more = attention.step(p, x, y)
+    g = g | {"e": np.zeros_like(p["e"])}
+    g["e"][rows] = more
+    for name, value in p.items():
+        for at in rng.integers(0, value.size, 8):
+            near = []
+            for h in (1e-5, -2e-5):
+                value.reshape(-1)[at] += h
+                near.append(attention.step(p, x, y)[0])
+            value.reshape(-1)[at] += 1e-5
+            assert g[name].reshape(-1)[at] == pytest.approx((near[0] - near[1]) / 2e-5, abs=1e-5), name
+
+
+def test_training_windows_hold_every_subword():
+    rng = np.random.default_rng(2)
+    outputs = small_outputs(rng)
+    size = np.array([1, 31, 32, 33, 200])
+    ids = rng.integers(0, 200, size.sum())
+    windows = attention.training_windows(ids, size, outputs)
+    real = windows[:, 1] >= 0
+    assert real.sum() == size.sum() and (windows[:, 1][real] == outputs.of[ids]).all()
+    before = np.r_[200, ids[:-1]]
+    before[np.cumsum(size) - size] = 200
+    assert (windows[:, 0][real] == before).all()
 
 
 def brute_toxicity(rows, labels):
