@@ -3,10 +3,10 @@
 Examples are a bounded sample of labelled documents. Every word of the sample and every beginning of a longer word is a term
 of the index. A term's weight in a text is its damped frequency, times its inverse document frequency, times the evidence
 that the sample's labels go with it (log-likelihood ratio, plus a floor that keeps every term in): plain TF-IDF is led by
-rare words that say nothing about toxicity. Vectors have unit length. The inverted index keeps each term's postings in
-blocks of neighbouring examples with the block's largest weight: blocks are visited by their upper bound until none can
-hold a nearer example, which makes the search exact. Neighbours vote by nearness, smoothed towards the sample's share of
-toxic texts.
+rare words that say nothing about toxicity. Vectors have unit length. The inverted index keeps each term's postings by
+falling weight in blocks with their largest weight: blocks are read by what they may add, until those left cannot bring
+another example among the nearest, which makes the search exact. Neighbours vote by nearness, smoothed towards the sample's
+share of toxic texts.
 """
 
 from __future__ import annotations
@@ -31,16 +31,24 @@ SAMPLE, SAMPLE_CHARS = 3000, 1 << 24
 FLOOR = 0.05
 #: Neighbours, distance at which a vote is halved, weight of the prior, threshold.
 NEIGHBOURS, SOFT, PRIOR, THRESHOLD = 15, 0.02, 8.0, 0.3
-#: Examples of a block, blocks that are looked at first, neighbours that are named.
-BLOCK, FIRST, EVIDENCE = 128, 2, 5
-#: What the terms that are left for last add to a cosine at most.
-LIGHT = 0.02
+#: Postings of a block, what blocks that are not read may add to a cosine at most, neighbours that are named.
+BLOCK, SLACK, EVIDENCE = 128, 0.01, 5
 WORD = re.compile(r"[^\W\d_]+")
 PREFIX = 5
 #: Words that a worker remembers, the longest of them.
 CACHE, CACHED_CHARS = 100_000, 32
 
 
+#: ASCII without its letters, as spaces.
+_ONLY_LETTERS = str.maketrans({chr(c): " " for c in range(128) if not chr(c).isalpha()})
+
+
+def words_of(text: str) -> list[str]:
+    """The text's runs of letters, in lower case."""
+    low = text.lower()
+    return low.translate(_ONLY_LETTERS).split() if low.isascii() else WORD.findall(low)
+
+
 def terms_of(word: str) -> list[str]:
     """A lower-case word's terms: itself and its beginning."""
     return [word, f"{word[:PREFIX]}*"] if len(word) > PREFIX else [word]
@@ -60,7 +68,7 @@ class Vocabulary:
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The text's terms, ascending, and how often each stands in it."""
-        words = Counter(WORD.findall((text or "").lower()))
+        words = Counter(words_of(text or ""))
         own = list(map(self.met.get, words))
         if None in own:
             if len(self.met) > CACHE:
@@ -96,7 +104,7 @@ class BlockMaxIndex:
         terms, counts, size = [], [], []
         for text in texts:
             own: dict[int, int] = {}
-            for word, times in Counter(WORD.findall(text.lower())).items():
+            for word, times in Counter(words_of(text)).items():
                 for t in terms_of(word):
                     i = at.setdefault(t, len(at))
                     own[i] = own.get(i, 0) + times
@@ -112,25 +120,27 @@ class BlockMaxIndex:
         self.weight_of = np.log1p(n / np.maximum(held, 1)) * (FLOOR + evidence(held, toxic, n, int(label.sum())))
         weight = (1 + np.log(np.concatenate(counts))) * self.weight_of[term] if n else np.zeros(0)
         weight /= np.sqrt(np.bincount(doc, weight * weight, n))[doc]
-        # alike examples stand together, so that bounds are tight: by their heaviest term, then by their text
-        first = np.cumsum(size) - size
-        lead = [int(term[f + np.argmax(weight[f : f + s])]) if s else -1 for f, s in zip(first.tolist(), size.tolist(), strict=True)]
-        order = sorted(range(n), key=lambda i: (lead[i], texts[i], labels[i]))
+        order = sorted(range(n), key=lambda i: (texts[i], labels[i]))  # ties go by this order, in which ids play no part
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.labels = [ids[i] for i in order], label[order]
-        self.blocks = max(1, -(-n // BLOCK))
-        by = np.lexsort((place[doc], term))
-        self.doc, self.weight = place[doc][by], weight[by]
-        cell = term[by].astype(np.int64) * self.blocks + self.doc // BLOCK
-        new = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-        self.cell_at, self.cell_block = np.r_[new, len(cell)], cell[new] % self.blocks
-        self.cell_most = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
-        self.term_at = np.searchsorted(cell[new] // self.blocks, np.arange(len(at) + 1))
-        self.term_most = np.maximum.reduceat(self.cell_most, self.term_at[:-1]) if len(new) else np.zeros(0)
-        self.postings = held
+        # a term's postings by falling weight, cut into blocks; a block's first posting is its largest
+        by = np.lexsort((place[doc], -weight, term))
+        self.doc, self.weight = place[doc][by].astype(np.int32), weight[by].astype(np.float32)
+        first = np.cumsum(held) - held
+        blocks = -(-held // BLOCK)
+        self.block_at = np.r_[0, np.cumsum(blocks)]
+        start = _ranges(np.zeros(len(held), np.int64), blocks) * BLOCK
+        self.block_start = np.repeat(first, blocks) + start
+        self.block_size = np.minimum(np.repeat(held, blocks) - start, BLOCK)
+        self.block_most = self.weight[self.block_start].astype(np.float64)
+        self.cost = np.minimum(held, BLOCK).astype(np.float64)
         by = np.argsort(place[doc], kind="stable")
-        self.text_term, self.text_weight, self.text_at = term[by], weight[by], np.r_[0, np.cumsum(size[order])]
+        full = [i for i in range(n) if size[order[i]]]  # a text without words is never near
+        self.text_term, self.text_weight, self.text_at = term[by].astype(np.int64), weight[by].astype(np.float32), np.r_[0, np.cumsum(size[order])]
+        self.holds = np.zeros(n, bool)
+        self.holds[full] = True
+        self.dense = np.zeros(len(at), np.float32)
         self.prior = float(label.mean()) if n else 0.0
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -141,47 +151,37 @@ class BlockMaxIndex:
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine, ties by their order in the index, and the cosines.
 
-        Terms that add at most LIGHT together, whatever the example, are left for last: postings of the others give every
-        example's cosine but for LIGHT, and the few examples that may be among the first k get the rest.
+        Blocks are read by what they may add for each of their postings, until the blocks that are left can add at most SLACK
+        to any example, whatever it holds: of a term's blocks that are left only the largest weight counts, as an example
+        has one posting. All examples that may then be among the first k are scored whole.
         """
         if not len(terms):
             return np.zeros(0, np.int64), np.zeros(0)
         asked = self.vector(terms, counts)
-        adds, held = asked * self.term_most[terms], self.postings[terms]
-        order = np.argsort(adds / held, kind="stable")
-        light = int(np.searchsorted(np.cumsum(adds[order]), LIGHT))
-        rest, slack = order[:light], float(adds[order[:light]].sum()) + 1e-9
-        heavy = np.sort(order[light:])
-        start = self.term_at[terms[heavy]]
-        n = self.term_at[terms[heavy] + 1] - start
-        cells, weight = _ranges(start, n), np.repeat(asked[heavy], n)
-        block = self.cell_block[cells]
-        bound = np.bincount(block, weight * self.cell_most[cells], self.blocks) + slack
-        by, at, bar = np.argsort(-bound, kind="stable"), 0, -1.0
-        some, near = np.zeros(len(self.ids), bool), np.zeros(len(self.ids))
-        while at < self.blocks:  # the most promising blocks set a bar, which all blocks that may pass it are held against
-            stop = at + max(FIRST, -(-k // BLOCK)) if not at else int(np.searchsorted(-bound[by], -bar, "right"))
-            if stop <= at:
-                break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[by[at:stop]] = True
-            mine = chosen[block]
-            first = self.cell_at[cells[mine]]
-            size = self.cell_at[cells[mine] + 1] - first
-            where = _ranges(first, size)
-            near += np.bincount(self.doc[where], self.weight[where] * np.repeat(weight[mine], size), len(near))
-            some |= np.repeat(chosen, BLOCK)[: len(some)]
-            own = near[some]
-            bar, at = float(np.partition(own, len(own) - k)[len(own) - k]) if len(own) > k else -1.0, stop
-        best = np.flatnonzero(some & (near >= bar - slack))
-        if light:
-            dense = np.zeros(len(self.weight_of))
-            dense[terms[rest]] = asked[rest]
-            size = self.text_at[best + 1] - self.text_at[best]
-            where = _ranges(self.text_at[best], size)
-            near[best] += np.bincount(np.repeat(np.arange(len(best)), size), dense[self.text_term[where]] * self.text_weight[where], len(best))
-        best = best[np.lexsort((best, -near[best]))[:k]]
-        return best, near[best]
+        n = self.block_at[terms + 1] - self.block_at[terms]
+        blocks = _ranges(self.block_at[terms], n)
+        weight = np.repeat(asked, n)
+        most = weight * self.block_most[blocks]
+        after = np.r_[most[1:], 0.0]
+        after[np.cumsum(n) - 1] = 0.0
+        order = np.argsort(-most / np.repeat(self.cost[terms], n), kind="stable")  # a term's own blocks stay in their order
+        left = most[np.cumsum(n) - n].sum() - np.cumsum((most - after)[order])
+        read = order[: int(np.searchsorted(-left, -SLACK)) + 1]
+        slack = max(float(left[len(read) - 1]), 0.0) + 1e-5
+        size = self.block_size[blocks[read]]
+        where = _ranges(self.block_start[blocks[read]], size)
+        added = self.weight.take(where, mode="clip") * np.repeat(weight[read].astype(np.float32), size)
+        near = np.bincount(self.doc.take(where, mode="clip"), added, len(self.ids))
+        bar = np.partition(near, len(near) - k)[len(near) - k] - slack if len(near) > k else -1.0
+        best = np.flatnonzero((near >= bar) & self.holds)
+        self.dense[terms] = asked
+        size = self.text_at[best + 1] - self.text_at[best]
+        where = _ranges(self.text_at[best], size)
+        part = self.dense.take(self.text_term.take(where, mode="clip"), mode="clip") * self.text_weight.take(where, mode="clip")
+        self.dense[terms] = 0
+        score = np.add.reduceat(part, np.cumsum(size) - size, dtype=np.float64) if len(best) else np.zeros(0)
+        top = np.lexsort((best, -score))[:k]
+        return best[top], score[top]
 
     def judge(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list]:
         """The vote and the ids of the nearest examples."""
