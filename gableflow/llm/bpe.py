@@ -175,8 +175,9 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per row of docs: id_col, n_bytes, n_tokens, over_limit.
 
     Tokens are those of the tokenizers library for the file: no begin or end token, and a special token's string inside a
-    text is that token. A null or empty text has none. Repeated rows are counted each; null ids stay null. Other columns
-    are neither read nor returned. An empty table gives an empty result.
+    text is that token. A null or empty text has none. Very long texts are counted whole, a pre-token of any length too.
+    Repeated rows are counted each; null ids stay null. Other columns are neither read nor returned. An empty table gives
+    an empty result.
     """
     path = path or public_tokenizers.path(TOKENIZER)
     kind = docs.schema[id_col].dataType.simpleString()

@@ -27,7 +27,7 @@ LABELS = ["O", *(f"{b}-{k}" for k in KINDS for b in "BI")]
 #: Gradient steps, step size and strength of the Gaussian prior of the training.
 STEPS, RATE, RIDGE = 250, 0.1, 0.05
 #: Words that have a shape of their own.
-CUES = ("at", "dot", "call", "tel", "phone", "fax", "mobile", "ring", "mail", "email", "card", "visa", "ip", "host")
+CUES = ("at", "dot", "call", "tel", "phone", "fax", "mobile", "ring", "dial", "mail", "email", "card", "visa", "ip", "host", "server", "version", "release", "build", "chapter", "section")
 SYMBOLS = ".,-+()[]@:/_=\"'|#$%"
 SPACE, LOWER, UPPER, DIGIT, OTHER = range(5)
 
@@ -129,10 +129,10 @@ def tokens(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     n = size[letters]
     case = np.where(caps == 0, 0, np.where(caps == n, 1, np.where((caps == 1) & (kind[start[letters]] == UPPER), 2, 3)))
     shape[letters] = case * len(LETTER_STEPS) + np.searchsorted(LETTER_STEPS, n, "right") - 1
-    short = letters[(n <= 6) & (n >= 2)]
+    short = letters[(n <= 7) & (n >= 2)]
     if len(short):
         code = np.zeros(len(short), np.int64)
-        for i in range(6):
+        for i in range(7):
             has = size[short] > i
             p = points[np.minimum(start[short] + i, len(points) - 1)]
             code += np.where(has, np.where(p < 128, lower[np.minimum(p, 127)], 255), 0).astype(np.int64) << 8 * i
@@ -359,7 +359,8 @@ def _said(spans: list[tuple[int, int, int]]) -> str:
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, field: Field | None = None) -> DataFrame:
     """One row per row of docs: id_col, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added.
 
-    Spans are kind:start:end in code points, end exclusive. A null text counts as empty and has no spans. Repeated rows
+    Spans are kind:start:end in code points, end exclusive. A null text counts as empty and has no spans. Very long texts
+    are read whole, one at a time; lines are what the field sees together. Ties between labels go to the first. Repeated rows
     get the same result; null ids stay null. Other columns are neither read nor returned. An empty table gives an empty
     result.
     """

@@ -70,4 +70,41 @@ temperatures: 12.5 13.0 11.8 9.4 degrees
 1234567890 and 9876543210 are sums
 4485 7720 and 3391 were the codes
 line 1: 20-30; line 2: 40-50
+ask [email anna at home dot org] for it
+or [email peter dot stone at place dot com] instead
+[email maria at post dot example dot net] has the keys
+her mail: [email kim (at) club (dot) org], his: [email lou at team dot net]
+mail me at [email ben [at] studio [dot] eu] please
+email [email nora_k at firm dot co dot uk] before five
+you can write [email otto at verlag dot de] or call
+ring [phone 0800 123 4567] any time
+or ring [phone 0345 600 1122] for help
+phone [phone 01632 960 123] and ask
+call us on [phone 0113 496 0999] today
+tel [phone (0161) 496 0345], room 9
+mobile: [phone 07700 900 461]
+fax: [phone 212.555.0173]
+her number is [phone 415-555-0162] at work
+dial [phone 1 (800) 555 0111] for sales
+reach us: [phone 202 555 0148]
+the host [ip 172 . 16 . 0 . 9] answers
+ip address [ip 192 . 168 . 1 . 77] is taken
+server [ip 10,20,30,40] and server [ip 10-20-30-41]
+ping [ip 8 . 8 . 4 . 4] from there
+version 1 . 2 . 3 . 4 is out
+version 10,0,2,1 and build 4,4,0,9
+release 2 . 0 . 1 . 7 fixes it
+chapter 1 . 2 . 3 . 4 of the book
+section 4 . 2 . 1 . 3 says so
+card [card 6011.0009.9013.9424] expires
+mastercard [card 5105/1051/0510/5100] was refused
+pay with [card 4222 2222 2222 2000] or cash
+at home and at the place the dot was seen
+she sat at a table, dot or no dot, at ten
+look at dot com firms and at net gains
+meet at noon at place number 4
+in 2004 and 2005 600 1122 parts were made
+order 0800 of lot 123 and lot 4567
+rooms 212, 555 and 173 are free
+from 1990 to 1995, 200 to 300 a year
 """

@@ -17,8 +17,11 @@ from .common import table, written
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: Lower bound = mean - BOUND * standard deviation; a host passes from THRESHOLD on. Limits of a prior's strength.
 BOUND, THRESHOLD, STRENGTH = 1.645, 0.5, (1.0, 1000.0)
-#: Suffixes of two labels under which names are registered; any other suffix is the last label. Fixed values.
-SUFFIXES = ["ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "com.tw", "gov.uk", "ne.jp", "org.au", "org.uk", "or.jp"]
+#: Labels under which a country's registry takes names: with a country code of two letters behind them they are a suffix.
+#: Fixed values. Any other suffix is the last label.
+REGISTRY = "ac|co|com|edu|go|gob|gov|ltd|me|mil|ne|net|nom|or|org|plc|sch"
+SECOND = rf"^({REGISTRY})\.[a-z]{{2}}$"
+NUMERIC = r"^[0-9.]+$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,14 +36,23 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def name_of(host: Column) -> Column:
+    """The host without what a url may put around its name: user@ and :port."""
+    return F.regexp_replace(host, r"^.*@|:[0-9]*$", "")
+
+
 def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    """The suffix under which names are registered; a numeric address is one of its own."""
+    name = name_of(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(name.rlike(NUMERIC), name).when(two.rlike(SECOND), two).otherwise(F.substring_index(name, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
-    """The registered domain: the suffix and the label before it."""
-    return F.when(F.substring_index(host, ".", -2).isin(SUFFIXES), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+    """The registered domain: the suffix and the label before it; a numeric address is its own."""
+    name = name_of(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(name.rlike(NUMERIC), name).when(two.rlike(SECOND), F.substring_index(name, ".", -3)).otherwise(two)
 
 
 def _matched(host: Column, path: Column, rules: list[tuple[str, str, str]], value) -> Column:
@@ -90,7 +102,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url
 
     A page's outcome is its label (1 good, 0 not) by equal id; pages, ids and labels that are null or without partner
     teach nothing, and an id that is labelled twice has its smaller label. A null url, or one without ://, has an empty
-    host and path; the empty host has a reputation like any other. Repeated rows are judged, and teach, each. Other columns
+    host and path; the empty host has a reputation like any other. Numeric addresses stand for themselves alone. Very long
+    urls are urls like any other. Repeated rows are judged, and teach, each. Other columns
     are neither read nor returned. An empty table gives an empty result; without any outcome every host passes.
     """
     own = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
@@ -119,14 +132,14 @@ def _strength_sql(level: str, n: str, g: str) -> str:
     FROM (SELECT count(*) AS k, coalesce(sum({n}), 0)::DOUBLE AS n, coalesce(sum({g}), 0)::DOUBLE AS g, sum({n}::DOUBLE * {n}) AS nn, sum({g}::DOUBLE * {g} / {n}) AS gg FROM {level}))"""
 
 
-_TWO = "array_to_string(list_slice(string_split(host, '.'), -2, -1), '.')"
-_IN = "(" + ", ".join(f"'{s}'" for s in SUFFIXES) + ")"
+_NAME = "regexp_replace(host, '^.*@|:[0-9]*$', '', 'g')"
+_TWO = f"array_to_string(list_slice(string_split({_NAME}, '.'), -2, -1), '.')"
 ORACLE_SQL = f"""
 WITH own AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^(?:.|\\n)*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
                     coalesce(regexp_extract(url, '^(?:.|\\n)*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 names AS (SELECT DISTINCT host,
-            CASE WHEN {_TWO} IN {_IN} THEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.') ELSE {_TWO} END AS domain,
-            CASE WHEN {_TWO} IN {_IN} THEN {_TWO} ELSE string_split(host, '.')[-1] END AS suffix FROM own),
+            CASE WHEN regexp_matches({_NAME}, '{NUMERIC}') THEN {_NAME} WHEN regexp_matches({_TWO}, '{SECOND}') THEN array_to_string(list_slice(string_split({_NAME}, '.'), -3, -1), '.') ELSE {_TWO} END AS domain,
+            CASE WHEN regexp_matches({_NAME}, '{NUMERIC}') THEN {_NAME} WHEN regexp_matches({_TWO}, '{SECOND}') THEN {_TWO} ELSE string_split({_NAME}, '.')[-1] END AS suffix FROM own),
 known AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 by_host AS (SELECT host, count(*) AS n, sum(good) AS good FROM own JOIN known ON page_id = doc_id GROUP BY host),
 by_domain AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM by_host JOIN names USING (host) GROUP BY domain, suffix),

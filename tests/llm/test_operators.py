@@ -70,6 +70,13 @@ def test_url_strength():
     assert reputation.STRENGTH[0] < reputation.STRENGTH[1]
 
 
+def test_domains(spark):
+    cases = {"a.b.example.co.uk": ("example.co.uk", "co.uk"), "www.example.com": ("example.com", "com"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "me@x.example.org:8080": ("example.org", "org"), "com": ("com", "com"), "": ("", ""), "a.com.xyz": ("com.xyz", "xyz")}
+    df = spark.createDataFrame([(h,) for h in cases], "host string")
+    got = {r.host: (r.d, r.s) for r in df.select("host", reputation.domain_of(reputation.F.col("host")).alias("d"), reputation.suffix_of(reputation.F.col("host")).alias("s")).collect()}
+    assert got == cases
+
+
 def test_bad_host_is_blocked(spark):
     pages = spark.createDataFrame([(i, f"http://{'bad' if i % 4 == 0 else f'h{i % 4}'}.example.net/{i}") for i in range(400)], "page_id long, url string")
     known = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(300)], "doc_id long, quality int")
@@ -108,18 +115,61 @@ def test_field_finds_more_and_leaves_clean_text():
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(0)
     field = pii.Field(rng.normal(size=(5, pii.SHAPES, 9)), rng.normal(size=(9, 9)))
-    line = np.repeat([0, 1, 2], [5, 1, 4])
+    line = np.repeat([0, 1, 2, 3], [5, 1, 4, 3])
     shape = rng.integers(0, pii.SHAPES - 1, len(line))
     label, score = field.decode(shape, line), field.scores(shape, line)
-    for k in range(3):
+    for k in range(4):
         at = np.flatnonzero(line == k)
-        best = None
-        for path in np.ndindex(*[9] * len(at)) if len(at) < 5 else []:
-            v = field.enter[path[0]] + sum(score[a, p] for a, p in zip(at, path, strict=True)) + sum(field.step[p, q] for p, q in zip(path, path[1:], strict=False))
-            if best is None or v > best[0]:
-                best = (v, path)
-        if best:
-            assert tuple(label[at]) == best[1]
+        paths = np.array(list(np.ndindex(*[9] * len(at))))
+        value = field.enter[paths[:, 0]] + sum(score[a][paths[:, i]] for i, a in enumerate(at)) + sum(field.step[paths[:, i], paths[:, i + 1]] for i in range(len(at) - 1))
+        assert tuple(label[at]) == tuple(paths[value.argmax()])
+
+
+def held_out_lines(rng):
+    """Lines that the table does not hold, from other words and numbers: (line, spans (kind, text))."""
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 3)))
+    digits = lambda n: "".join(rng.choice("23456789") for _ in range(n))
+
+    def card(sep):
+        own = "4" + digits(14)
+        own += next(c for c in "0123456789" if pii.luhn(own + c))
+        return sep.join(own[i : i + 4] for i in range(0, 16, 4))
+
+    made = {
+        "email": lambda: rng.choice([f"{word()} at {word()} dot {rng.choice(['com', 'org', 'net'])}", f"{word()} (at) {word()} (dot) org", f"{word()}.{word()} at {word()} dot de"]),
+        "phone": lambda: rng.choice([f"0{digits(3)} {digits(3)} {digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}"]),
+        "ip": lambda: " . ".join(str(rng.randint(1, 250)) for _ in range(4)), "card": lambda: card("."),
+    }
+    frames = {"email": ["please write to {} soon", "{} has it", "mail {} now", "his address: {}."], "phone": ["call {} today", "phone {}", "ring {} at six", "tel {} please"], "ip": ["host {} is up", "server {} restarts", "ip {} again"], "card": ["card {} was lost", "paid by card {} there"]}
+    for kind, own in frames.items():
+        for _ in range(60):
+            text = made[kind]()
+            yield rng.choice(own).format(text), [(kind, text)]
+    for _ in range(240):
+        yield rng.choice([f"version {rng.randint(1, 9)} . {rng.randint(0, 9)} . {rng.randint(0, 9)} . {rng.randint(0, 9)}", f"{word()} sat at {word()} with {digits(2)} {word()}", f"lot {digits(3)}, {digits(3)} and {digits(4)} of {word()}", f"at {digits(1)} the dot on {word()} moved", f"in {1900 + rng.randint(0, 99)} about {digits(3)} {word()} came"]), []
+
+
+def test_field_on_held_out_lines():
+    found = wanted = right = 0
+    field = pii.trained()
+    for line, spans in held_out_lines(random.Random(12)):
+        got = {(pii.KINDS[k], line[a:b]) for a, k, b in pii.added_spans([line], [pii.base_spans(line)], field)[0]}
+        found, wanted, right = found + len(got), wanted + len(spans), right + len(got & set(spans))
+    assert right / found >= 0.95 and right / wanted >= 0.85, (right / found, right / wanted)
+
+
+def test_pii_query_by_brute_force(spark, docs):
+    """Counts, hash and order of the base spans by plain expressions; added spans are well formed and keep off them."""
+    for r in pii.op3_pii(spark, SF).collect():
+        text = dict(docs)[r.doc_id]
+        base = brute_spans(text)
+        said = [f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == i for _, k, _ in base) for i in range(4))
+        assert r.base_sha256 == hashlib.sha256(",".join(said).encode()).hexdigest()
+        spans = [(int(a), pii.KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)]
+        more = [x for x in spans if x not in base]
+        assert spans == sorted(spans) and set(base) <= set(spans) and len(more) == r.n_added
+        assert all(b <= s or e <= a for a, _, b in more for s, _, e in base) and all(pii._well_formed(text, a, b, k) for a, k, b in more)
 
 
 def test_lm_base_and_model(spark, docs):
@@ -377,6 +427,15 @@ def test_bpe_counts_as_the_library(docs, fuzz):
     assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)] == want
 
 
+def test_token_count_query(spark, docs):
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rows = [*docs, (10**6, None), (10**6 + 1, ""), (10**6 + 2, "<|endoftext|> " * 600), (10**6 + 3, "a " * 1024)]
+    out = {r.doc_id: r for r in bpe.token_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, text in rows:
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert (out[k].n_bytes, out[k].n_tokens, out[k].over_limit) == (len((text or "").encode()), n, n > 1024)
+
+
 def test_word_ids_as_the_library(docs, fuzz):
     library, own = Tokenizer.from_file(P.path("word_bpe_49k.json")), packing.WordIds(P.path("word_bpe_49k.json"))
     texts = [t for _, t in docs] + fuzz + ["x" * 3000]
