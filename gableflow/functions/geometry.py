@@ -184,14 +184,96 @@ def rotated(ring: Column, nx: Column, ny: Column, nz: Column) -> Column:
 
 
 def collapses_2d(ring: Column) -> Column:
-    """Whether the projection has fewer than three corners: all points on one line."""
-    o = F.element_at(ring, 1)
-    far = F.array_max(F.flatten(F.transform(ring, lambda p: F.transform(ring, lambda q: F.abs((p["x"] - o["x"]) * (q["y"] - o["y"]) - (q["x"] - o["x"]) * (p["y"] - o["y"]))))))
-    return far == 0.0
+    """Whether the projection has fewer than three corners: all points on the line from the first to the one farthest from it."""
+
+    def about(o: Column) -> Column:
+        off = lambda p: (p["x"] - o["x"]) * (p["x"] - o["x"]) + (p["y"] - o["y"]) * (p["y"] - o["y"])
+        farthest = F.array_max(F.transform(ring, lambda p: F.struct(off(p).alias("d"), p["x"].alias("x"), p["y"].alias("y"))))
+        return let(farthest, lambda q: F.array_max(F.transform(ring, lambda p: F.abs((p["x"] - o["x"]) * (q["y"] - o["y"]) - (q["x"] - o["x"]) * (p["y"] - o["y"])))) == 0.0)
+
+    return let(F.element_at(ring, 1), about)
+
+
+def corners(ring: Column) -> Column:
+    """A closed ring in the plane without repeated points and without points on the line between their neighbours."""
+
+    def bent(pts: Column) -> Column:
+        n = F.size(pts)
+        at = lambda i: F.element_at(pts, (F.pmod(i, n) + 1).cast("int"))
+        turn = lambda a, p, b: (p["x"] - a["x"]) * (b["y"] - p["y"]) - (b["x"] - p["x"]) * (p["y"] - a["y"])
+        return let(F.filter(pts, lambda p, i: turn(at(i - 1), p, at(i + 1)) != 0.0), lambda kept: F.concat(kept, F.slice(kept, 1, 1)))
+
+    flat = F.transform(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    return let(flat, lambda pts: let(F.filter(pts, lambda p, i: p != F.element_at(pts, (F.pmod(i - 1, F.size(pts)) + 1).cast("int"))), bent))
 
 
 def same_outline(a: Column, b: Column) -> Column:
-    """Equal as planar rings, whatever their start, direction and heights: equal sets of undirected edges."""
-    key = lambda p, q: F.array_sort(F.array(F.struct(p["x"].alias("x"), p["y"].alias("y")), F.struct(q["x"].alias("x"), q["y"].alias("y"))))
-    edges = lambda g: F.array_sort(F.flatten(F.transform(F.flatten(g), lambda ring: _pairs(ring, key))))
+    """Equal as planar rings, whatever their start, direction, heights and points on straight edges: equal sets of undirected edges."""
+    key = lambda p, q: F.array_sort(F.array(p, q))
+    edges = lambda g: F.array_sort(F.flatten(F.filter(F.transform(F.flatten(g), lambda ring: _pairs(corners(ring), key)), lambda e: e.isNotNull())))
     return edges(a) == edges(b)
+
+
+def envelope(multipolygon: Column) -> Column:
+    """The bounding rectangle in the plane as a multipolygon; null without points."""
+
+    def around(b: Column) -> Column:
+        corner = lambda x, y: F.struct(b[x].alias("x"), b[y].alias("y"), F.lit(0.0).alias("z"))
+        ring = F.array(corner("xmin", "ymin"), corner("xmin", "ymax"), corner("xmax", "ymax"), corner("xmax", "ymin"), corner("xmin", "ymin"))
+        return F.when(b["xmin"].isNotNull(), F.array(F.array(ring)))
+
+    return let(bbox(multipolygon), around)
+
+
+#: Share of the products' size below which the sign of a difference of products is not certain.
+DOUBT = 1e-12
+
+
+def certain_checks(polygon: Column) -> Column:
+    """struct(valid, planar) where plain arithmetic is certain, null where only an exact kernel can tell.
+
+    Vertical walls, level faces and faces of three points are planar; walls of two places in the plane have no area and
+    are not valid; a ring that turns strictly one way and once around is valid. Points surely off the plane of the first
+    three make a face not planar; on a grid of sixteenths the arithmetic is exact.
+    """
+    pts = F.flatten(polygon)
+    diff = lambda p, o: F.struct(*((p[c] - o[c]).alias(c) for c in "xyz"))
+
+    def planar(pts: Column, places: Column) -> Column:
+        z = F.transform(pts, lambda p: p["z"])
+        easy = (F.array_max(z) == F.array_min(z)) | (F.size(places) <= 2) | (F.size(F.array_distinct(pts)) <= 3)
+        whole = lambda v: (v * 16 == F.floor(v * 16)) & (F.abs(v) < 4096)
+        exact = lambda vs: F.forall(vs, lambda v: whole(v["x"]) & whole(v["y"]) & whole(v["z"]))
+
+        def off(vs: Column) -> Column:
+            u, w = F.element_at(vs, 2), F.element_at(vs, 3)
+            cross = lambda a, b: (u[a] * w[b] - u[b] * w[a], F.abs(u[a] * w[b]) + F.abs(u[b] * w[a]))
+            (nx, sx), (ny, sy), (nz, sz) = cross("y", "z"), cross("z", "x"), cross("x", "y")
+            sure = lambda n, s: F.abs(n) > s * DOUBT
+            n = F.struct(nx.alias("x"), ny.alias("y"), nz.alias("z"), (sx + sy + sz).alias("s"), (sure(nx, sx) | sure(ny, sy) | sure(nz, sz)).alias("ok"))
+
+            def against(n: Column) -> Column:
+                away = F.transform(vs, lambda v: F.struct(F.abs(n["x"] * v["x"] + n["y"] * v["y"] + n["z"] * v["z"]).alias("d"), (n["s"] * (F.abs(v["x"]) + F.abs(v["y"]) + F.abs(v["z"]))).alias("s")))
+                return let(away, lambda d: F.when(n["ok"] & F.exists(d, lambda x: x["d"] > x["s"] * DOUBT), False).when(n["ok"] & F.forall(d, lambda x: x["d"] == 0.0) & exact(vs), True))
+
+            return let(n, against)
+
+        return F.when(easy, True).when(F.size(pts) >= 4, let(F.transform(pts, lambda p: diff(p, F.element_at(pts, 1))), off))
+
+    def valid(pts: Column, places: Column) -> Column:
+        ring = F.element_at(polygon, 1)
+
+        def turning(edges: Column) -> Column:
+            n = F.size(edges)
+            after = lambda i: F.element_at(edges, (F.pmod(i + 1, n) + 1).cast("int"))
+            low = lambda e: (e["y"] < 0) | ((e["y"] == 0) & (e["x"] < 0))
+            each = F.transform(edges, lambda e, i: let(after(i), lambda f: F.struct((e["x"] * f["y"] - e["y"] * f["x"]).alias("t"), ((F.abs(e["x"] * f["y"]) + F.abs(e["y"] * f["x"])) * DOUBT).alias("s"), (low(e) != low(f)).cast("int").alias("h"))))
+            once = lambda ts: F.aggregate(ts, F.lit(0), lambda acc, x: acc + x["h"]) == 2
+            one_way = lambda ts: F.forall(ts, lambda x: x["t"] > x["s"]) | F.forall(ts, lambda x: x["t"] < -x["s"])
+            return let(each, lambda ts: F.when(one_way(ts) & once(ts), True))
+
+        alone = (F.size(polygon) == 1) & (F.size(ring) >= 4) & (F.element_at(ring, 1) == F.element_at(ring, -1))
+        return F.when(F.size(places) <= 2, False).when(alone, let(_pairs(ring, lambda p, q: F.struct((q["x"] - p["x"]).alias("x"), (q["y"] - p["y"]).alias("y"))), turning))
+
+    places = F.array_distinct(F.transform(pts, lambda p: F.struct(p["x"], p["y"])))
+    return let(places, lambda pl: let(pts, lambda ps: F.struct(valid(ps, pl).alias("valid"), planar(ps, pl).alias("planar"))))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 #: Countries and their ISO codes.
 COUNTRIES = {
-    "austria": "AT", "belgium": "BE", "bulgaria": "BG", "cyprus": "CY", "czech_republic": "CZ", "denmark": "DK", "france": "FR", "germany": "DE", "greece": "GR", "hungary": "HU",
+    "austria": "AT", "belgium": "BE", "bulgaria": "BG", "cyprus": "CY", "czechia": "CZ", "denmark": "DK", "france": "FR", "germany": "DE", "greece": "GR", "hungary": "HU",
     "ireland": "IE", "italy": "IT", "netherlands": "NL", "norway": "NO", "poland": "PL", "serbia": "RS", "slovenia": "SI", "spain": "ES", "sweden": "SE", "united_kingdom": "GB",
 }
+#: Fixed value: what reads as a number.
 NUMERIC = r"^[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?$"
 
 
@@ -74,6 +75,12 @@ def parse_srid(text: str) -> int:
     return int(digits)
 
 
+def srid(text: Column) -> Column:
+    """parse_srid for a column: null for what is no SRID."""
+    digits = F.regexp_extract(F.upper(F.trim(text)), r"^(?:EPSG:)?([0-9]+)$", 1)
+    return F.when(F.expr("true") & (F.try_to_number(F.nullif(digits, F.lit("")), F.lit("9999999999")) > 0), digits.try_cast("int"))
+
+
 def circular_difference(a: Column, b: Column) -> Column:
     """a - b on the circle, in [-180, 180)."""
     return F.pmod(a - b + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)

@@ -1,27 +1,41 @@
-"""Arrow-batched application of a Python kernel to rows: the only way in which the library runs Python on executors."""
+"""Arrow-batched application of a Python kernel to columns: the only way in which the library runs Python on executors."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..shipping import ship
 
 
-def with_kernel(df: DataFrame, name: str, kind: T.DataType, kernel: Callable, *columns: str) -> DataFrame:
-    """df with the column name = kernel(*columns) for every row; the other columns pass through untouched."""
+def arrow_type(kind: T.DataType) -> pa.DataType:
+    return to_arrow_schema(T.StructType([T.StructField("x", kind)])).field(0).type
+
+
+def batched(df: DataFrame, kind: T.DataType, run: Callable, *columns: str | Column) -> Column:
+    """run(arrays) -> array as a column: only these columns travel to Python, the rest of the row stays where it is.
+
+    It is marked as not deterministic, so that no filter on the result moves below and has it computed twice.
+    """
     ship(df.sparkSession)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
-    own = to_arrow_schema(T.StructType([T.StructField(name, kind)])).field(0).type
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            inputs = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
-            out = pa.array([kernel(*row) for row in zip(*inputs, strict=True)], own)
-            yield pa.record_batch([*batch.columns, out], names=[*batch.schema.names, name])
+    def own(*arrays: pa.Array) -> pa.Array:
+        return run(*arrays)
+
+    own.__annotations__ = {"arrays": pa.Array, "return": pa.Array}
+    return F.arrow_udf(own, kind).asNondeterministic()(*columns)
+
+
+def with_kernel(df: DataFrame, name: str, kind: T.DataType, kernel: Callable, *columns: str) -> DataFrame:
+    """df with the column name = kernel(*columns) for every row."""
+    own = arrow_type(kind)
+
+    def run(*arrays: pa.Array) -> pa.Array:
+        return pa.array([kernel(*row) for row in zip(*(a.to_pylist() for a in arrays), strict=True)], own)
 
-    return df.mapInArrow(run, schema)
+    return df.withColumn(name, batched(df, kind, run, *columns))

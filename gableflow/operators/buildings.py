@@ -14,6 +14,8 @@ from .batched import with_kernel
 from .faces import GROUND, ROOF, WALL
 
 ROOM_HEIGHT = 2.5
+#: Units of the measures.
+UNITS = {"min_height": "m", "max_height": "m", "room_height": "m", "min_volume": "cbm", "max_volume": "cbm", "area_total_roof": "sqm", "area_total_wall": "sqm", "area_total_floor": "sqm"}
 
 
 def footprint_union(df: DataFrame, ground: str = "ground", name: str = "footprint") -> DataFrame:
@@ -56,11 +58,11 @@ def aggregate_buildings(faces: DataFrame, country: str | None = None, room_heigh
     storeys = F.when(F.col("min_height") > 0, half_even(F.col("min_height") / room_height)).otherwise(1)
     return own.withColumn("fp", some).select(
         "building_feature_id", "object_id", F.lit(country).cast("string").alias("country_code"), F.lit(None).cast("int").alias("tabula_variant_code_id"), F.lit(None).cast("string").alias("tabula_variant_code"),
-        F.lit(0).alias("construction_year"), "footprint_area", G.complexity(G.points(F.col("fp"))).alias("footprint_complexity"), roof_complexity(F.col("surface_count_roof")).alias("roof_complexity"),
-        F.lit(False).alias("has_attached_neighbour"), F.array().cast("array<int>").alias("attached_neighbour_id"), F.lit(0).alias("attached_neighbour_class"),
+        F.lit(0).alias("construction_year"), F.lit(None).cast("string").alias("comment"), "footprint_area", G.complexity(G.points(F.col("fp"))).alias("footprint_complexity"), roof_complexity(F.col("surface_count_roof")).alias("roof_complexity"),
+        F.lit(False).alias("has_attached_neighbour"), F.array().cast("array<bigint>").alias("attached_neighbour_id"), F.lit(0).alias("total_attached_neighbour"), F.lit(0).alias("attached_neighbour_class"),
         "area_total_roof", "area_total_wall", "area_total_floor", "surface_count_roof", "surface_count_wall", F.lit(0).alias("surface_count_floor"),
         "min_height", r2(F.col("min_height") + F.coalesce("roof_height", F.lit(0.0))).alias("max_height"), F.lit(None).cast("double").alias("min_volume"), F.lit(None).cast("double").alias("max_volume"),
-        F.lit(room_height).alias("room_height"), storeys.alias("number_of_storeys"), G.centroid_2d(F.col("fp")).alias("building_centroid"), F.col("fp").alias("building_footprint_geom"),
+        F.lit(room_height).alias("room_height"), storeys.alias("number_of_storeys"), *(F.lit(unit).alias(f"{c}_unit") for c, unit in UNITS.items()), G.centroid_2d(F.col("fp")).alias("building_centroid"), F.col("fp").alias("building_footprint_geom"),
     )
 
 

@@ -40,7 +40,10 @@ def child_features(feature: DataFrame, pairs: DataFrame, geometry: DataFrame, ob
 def explode_faces(child: DataFrame) -> DataFrame:
     """One row per polygon of a surface's multipolygon: face_idx from 0, coord_dim, has_z, geom."""
     out = child.where(F.col("geom").isNotNull()).select(*(c for c in child.columns if c != "geom"), F.posexplode("geom").alias("face_idx", "geom"))
-    return out.withColumns({"coord_dim": F.lit(3), "has_z": G.height(F.col("geom")) > 0})
+    dims = child.schema["geom"].dataType
+    while isinstance(dims, T.ArrayType):
+        dims = dims.elementType
+    return out.where(F.size("geom") > 0).withColumns({"coord_dim": F.lit(len(dims.fields)), "has_z": G.height(F.col("geom")) > 0})
 
 
 def vertices(faces: DataFrame, *keys: str) -> DataFrame:
@@ -77,6 +80,13 @@ def interior_points(faces: DataFrame) -> DataFrame:
     return ground.select("building_feature_id", G.interior_point(F.col("ground")).alias("interior"))
 
 
+def with_interior(faces: DataFrame) -> DataFrame:
+    """faces with interior, the point of interior_points: one shuffle by building, and no second reading of the faces."""
+    ground = F.collect_list(F.when(F.col("classname") == GROUND, F.col("geom"))).over(Window.partitionBy("building_feature_id"))
+    own = faces.withColumn("__ground", ground)
+    return own.withColumn("interior", F.when(F.size("__ground") > 0, G.interior_point(F.col("__ground")))).drop("__ground")
+
+
 def oriented(classname: Column, normal: Column, centroid: Column, interior: Column, missing_ground_flip: float = -1.0) -> Column:
     """Roofs point up, walls away from the interior; without ground a wall is turned by missing_ground_flip."""
     outward = (centroid["x"] - interior["x"]) * normal["x"] + (centroid["y"] - interior["y"]) * normal["y"]
@@ -90,32 +100,34 @@ def face_attributes(faces: DataFrame, *, missing_ground_flip: float = -1.0, conv
 
     planar_eps: test planarity natively, by the largest distance from the face's plane, instead of exactly.
     """
-    own = normals(faces).withColumn("centroid", G.centroid_2d(F.array("geom")))
-    own = own.join(interior_points(faces), "building_feature_id", "left")
+    own = normals(with_interior(faces)).withColumn("centroid", G.centroid_2d(F.array("geom")))
     own = own.withColumn("n", oriented(F.col("classname"), F.col("normal"), F.col("centroid"), F.col("interior"), missing_ground_flip))
     area = F.when(F.col("objectclass_id").isin(*area_classes), r2(G.surface_area(F.col("geom"), F.col("n"))))
     out = own.select(
         F.sha2(F.concat_ws(":", "id", "face_idx"), 256).alias("id"), "building_feature_id", "surface_feature_id", F.col("building_objectid").alias("building_object_id"), F.col("surface_objectid").alias("surface_object_id"),
         "objectclass_id", "classname", "face_idx", area.alias("surface_area"), F.lit("sqm").alias("surface_area_unit"), r2(G.tilt(F.col("n"))).alias("tilt"), F.lit("degrees").alias("tilt_unit"),
-        G.azimuth(F.col("n"), convergence).alias("azimuth"), F.lit("degrees").alias("azimuth_unit"), r2(G.height(F.col("geom"))).alias("height"), F.lit("m").alias("height_unit"), F.col("n").alias("normal"), "geom",
+        G.azimuth(F.col("n"), convergence).alias("azimuth"), F.lit("degrees").alias("azimuth_unit"), r2(G.height(F.col("geom"))).alias("height"), F.lit("m").alias("height_unit"), F.col("n").alias("normal"), F.col("id").alias("child_row_id"), "geom",
     )
     if validate:
         out = with_checks(out, planar_eps)
     else:
         out = out.withColumns({"is_valid": F.lit(None).cast("boolean"), "is_planar": F.lit(None).cast("boolean")})
-    return out.withColumn("is_party_wall", F.lit(None).cast("boolean"))
+    return out.withColumns({"is_party_wall": F.lit(None).cast("boolean"), "neighbour_building_id": F.lit(None).cast("bigint"), "attribute_calc_status": F.lit(None).cast("string")})
 
 
 def with_checks(faces: DataFrame, planar_eps: float | None = None) -> DataFrame:
-    """is_valid and is_planar of geom, by kernels in one Arrow pass."""
+    """is_valid and is_planar of geom: natively where that is certain, and by exact kernels for the faces that are left."""
     kind = T.StructType([T.StructField("valid", T.BooleanType()), T.StructField("planar", T.BooleanType())])
-    out = with_kernel(faces, "__checks", kind, _checks, "geom")
-    planar = F.col("__checks.planar")
+    out = faces.withColumn("__sure", G.certain_checks(F.col("geom")))
+    open_ = F.col("__sure.valid").isNull() if planar_eps is not None else F.col("__sure.valid").isNull() | F.col("__sure.planar").isNull()
+    out = with_kernel(out.withColumn("__ask", F.when(open_, F.col("geom"))), "__checks", kind, _checks, "__ask")
+    planar = F.coalesce("__sure.planar", "__checks.planar")
     if planar_eps is not None:
         o = F.element_at(F.element_at("geom", 1), 1)
         off = F.transform(F.flatten("geom"), lambda p: F.abs(sum(((p[c] - o[c]) * F.col("normal")[c] for c in "xyz"), F.lit(0.0))))
         planar = F.array_max(off) <= planar_eps
-    return out.withColumns({"is_valid": F.col("__checks.valid"), "is_planar": planar}).drop("__checks")
+    valid = F.coalesce("__sure.valid", "__checks.valid")
+    return out.withColumns({"is_valid": valid, "is_planar": planar}).drop("__checks", "__sure", "__ask")
 
 
 def _checks(geom):

@@ -99,5 +99,5 @@ def row_changed(columns: list[str], old: str, new: str) -> Column:
 def resolved_surfaces(faces: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Surfaces that are no party walls, one face for each surface: the first building's first face."""
     own = faces.where(~F.coalesce("is_party_wall", F.lit(False)) & F.col("surface_object_id").isNotNull() & F.col("building_object_id").isNotNull())
-    own = own.select("surface_object_id", "building_object_id", "building_feature_id", "surface_feature_id", F.col("classname").alias("surface_type"), "surface_area", "tilt", "azimuth", "height", "face_idx", "geom")
+    own = own.select("surface_object_id", "building_object_id", "building_feature_id", "surface_feature_id", F.col("classname").alias("surface_type"), "surface_area", "tilt", "azimuth", "height", "is_valid", "is_planar", "is_party_wall", "neighbour_building_id", "face_idx", "geom")
     return insert_ignore(own, existing, [("surface_object_id",)], [F.col("building_feature_id"), F.col("face_idx")]).drop("face_idx")

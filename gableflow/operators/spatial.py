@@ -14,21 +14,46 @@ from pyspark.sql import types as T
 from ..functions import geometry as G
 from ..functions import kernels
 from .batched import with_kernel
-from .rows import first_by
+from .rows import BUILDING_CLASSES, first_by, limit_by_id
 
 CELL = 50.0
 
 
+#: A box spreads over at most SPREAD + 1 cells in each direction: a larger one is put on a grid with cells four times as wide, and so on.
+SPREAD, STEP = 4, 4
+
+
+def _levels(box, cell: float, pad: float):
+    """The coarsening at which a box spreads over few cells: 0 for all but large ones."""
+    wide = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"]) + 2 * pad
+    return F.greatest(F.ceil(F.log(wide / (cell * SPREAD)) / F.log(F.lit(float(STEP)))), F.lit(0)).cast("int")
+
+
 def box_pairs(left: DataFrame, right: DataFrame, cell: float = CELL, pad: float = 0.0, *, space: bool = False, order: str | None = None) -> DataFrame:
     """left (l, l_geom), right (r, r_geom), both multipolygons -> (l, r) whose boxes are within pad of each other.
 
-    space: boxes must meet in height too. order: '<' keeps l < r, '!=' drops l = r.
+    Boxes spread over the cells of their own level and, as every box is small there, of all coarser levels that exist: two
+    boxes meet on the coarser one's level, where at least one of them is at home. space: boxes must meet in height too.
+    order: '<' keeps l < r, '!=' drops l = r.
     """
-    spread = lambda df, k, grow: df.where(F.size(f"{k}_geom") > 0).select(k, G.bbox(F.col(f"{k}_geom")).alias(f"{k}_box")).withColumn("cell", F.explode(G.cells(F.col(f"{k}_box"), cell, grow)))
-    a, b = spread(left, "l", pad), spread(right, "r", 0.0)
+
+    def boxes(df: DataFrame, k: str, grow: float) -> DataFrame:
+        own = df.where(F.size(f"{k}_geom") > 0).select(k, G.bbox(F.col(f"{k}_geom")).alias(f"{k}_box"))
+        return own.where(F.col(f"{k}_box.xmin").isNotNull()).withColumn(f"{k}_level", F.when(F.col(f"{k}_box.xmax") > F.col(f"{k}_box.xmin") - 1, _levels(F.col(f"{k}_box"), cell, grow)).otherwise(0))
+
+    a, b = boxes(left, "l", pad), boxes(right, "r", 0.0)
+    most = max((df.agg(F.max(f"{k}_level")).first()[0] or 0) for df, k in ((a, "l"), (b, "r")))
+    sizes = F.array(*(F.lit(cell * STEP**i) for i in range(most + 1)))
+    size = F.element_at(sizes, F.col("level") + 1)
+
+    def spread(df: DataFrame, k: str, grow: float) -> DataFrame:
+        at = df.withColumn("level", F.explode(F.sequence(F.col(f"{k}_level"), F.lit(most)))) if most else df.withColumn("level", F.lit(0))
+        return at.withColumn("cell", F.explode(G.cells(F.col(f"{k}_box"), size, grow)))
+
     near = lambda c: (F.col(f"l_box.{c}min") - pad <= F.col(f"r_box.{c}max")) & (F.col(f"r_box.{c}min") <= F.col(f"l_box.{c}max") + pad)
-    first = lambda c: F.greatest(F.floor((F.col(f"l_box.{c}min") - pad) / cell), F.floor(F.col(f"r_box.{c}min") / cell)) == F.col(f"cell.c{c}")
-    out = a.join(b, "cell").where(near("x") & near("y") & first("x") & first("y"))
+    first = lambda c: F.greatest(F.floor((F.col(f"l_box.{c}min") - pad) / size), F.floor(F.col(f"r_box.{c}min") / size)) == F.col(f"cell.c{c}")
+    out = spread(a, "l", pad).join(spread(b, "r", 0.0), ["level", "cell"])
+    out = out.where((F.greatest("l_level", "r_level") == F.col("level")) & near("x") & near("y") & first("x") & first("y"))
     if space:
         out = out.where(near("z"))
     if order:
@@ -36,10 +61,17 @@ def box_pairs(left: DataFrame, right: DataFrame, cell: float = CELL, pad: float
     return out.select("l", "r")
 
 
-def spatial_join(left: DataFrame, right: DataFrame, kernel, name: str, kind: T.DataType, **how) -> DataFrame:
-    """(l, r, name): kernel(l_geom, r_geom) on the pairs of box_pairs."""
+def spatial_join(left: DataFrame, right: DataFrame, kernel, name: str, kind: T.DataType, *, if_touching=None, **how) -> DataFrame:
+    """(l, r, name): kernel(l_geom, r_geom) on the pairs of box_pairs. if_touching: the kernel's value for geometries with a common corner, which are not sent to it."""
     pairs = box_pairs(left, right, **how).join(left, "l").join(right, "r")
-    return with_kernel(pairs, name, kind, lambda a, b: kernel(kernels.plain(a), kernels.plain(b)), "l_geom", "r_geom").select("l", "r", name)
+    own = lambda a, b: None if a is None else kernel(kernels.plain(a), kernels.plain(b))
+    if if_touching is None:
+        return with_kernel(pairs, name, kind, own, "l_geom", "r_geom").select("l", "r", name)
+    corners = lambda g: F.flatten(F.flatten(g))
+    pairs = pairs.withColumn("__common", F.arrays_overlap(corners("l_geom"), corners("r_geom")))
+    asked = pairs.withColumns({f"__{k}": F.when(~F.col("__common"), F.col(f"{k}_geom")) for k in "lr"})
+    found = with_kernel(asked, "__found", kind, own, "__l", "__r")
+    return found.select("l", "r", F.when(F.col("__common"), F.lit(if_touching)).otherwise(F.col("__found")).alias(name))
 
 
 def assign_surfaces(surfaces: DataFrame, solids: DataFrame, cell: float = CELL) -> DataFrame:
@@ -47,38 +79,53 @@ def assign_surfaces(surfaces: DataFrame, solids: DataFrame, cell: float = CELL)
 
     A surface that touches two solids belongs to both; a feature is never its own surface.
     """
-    own = spatial_join(surfaces.select(F.col("feature_id").alias("l"), F.col("geometry").alias("l_geom")), solids.select(F.col("feature_id").alias("r"), F.col("geometry").alias("r_geom")), kernels.intersects_3d, "meets", T.BooleanType(), cell=cell, space=True, order="!=")
+    left, right = surfaces.select(F.col("feature_id").alias("l"), F.col("geometry").alias("l_geom")), solids.select(F.col("feature_id").alias("r"), F.col("geometry").alias("r_geom"))
+    own = spatial_join(left, right, kernels.intersects_3d, "meets", T.BooleanType(), if_touching=True, cell=cell, space=True, order="!=")
     return own.where("meets").select(F.col("r").alias("building_feature_id"), F.col("l").alias("surface_feature_id"))
 
 
 def solids_of(feature: DataFrame, geometry: DataFrame, prop: DataFrame, lod: int = 2) -> DataFrame:
     """(feature_id, geometry) of building features that have a solid of the level of detail."""
-    marked = prop.where(F.col("name") == f"lod{lod}Solid").select("feature_id")
-    building = feature.where(F.col("objectclass_id").between(900, 999)).select(F.col("id").alias("feature_id"))
+    marked = prop.where(F.col("name") == f"lod{lod}Solid").select("feature_id").distinct()
+    building = feature.where(F.col("objectclass_id").between(*BUILDING_CLASSES)).select(F.col("id").alias("feature_id"))
     return building.join(marked, "feature_id").join(geometry, "feature_id").select("feature_id", "geometry")
 
 
+def surfaces_of(feature: DataFrame, geometry: DataFrame) -> DataFrame:
+    """(feature_id, geometry) of features that are no buildings: another building's solid is never a surface."""
+    own = feature.where(~F.col("objectclass_id").between(*BUILDING_CLASSES)).select(F.col("id").alias("feature_id"))
+    return geometry.join(own, "feature_id", "left_semi").select("feature_id", "geometry")
+
+
 def neighbour_pairs(buildings: DataFrame, tolerance: float = 0.5, cell: float = CELL) -> DataFrame:
     """(building_id_a, building_id_b), a < b, whose footprints are within tolerance in the plane."""
     own = buildings.where(F.size("building_footprint_geom") > 0)
     side = lambda k: own.select(F.col("building_feature_id").alias(k), F.col("building_footprint_geom").alias(f"{k}_geom"))
-    found = spatial_join(side("l"), side("r"), kernels.distance_2d, "distance", T.DoubleType(), cell=cell, pad=tolerance, order="<")
+    found = spatial_join(side("l"), side("r"), kernels.distance_2d, "distance", T.DoubleType(), if_touching=0.0, cell=cell, pad=tolerance, order="<")
     return found.where(F.col("distance") <= tolerance).select(F.col("l").alias("building_id_a"), F.col("r").alias("building_id_b"))
 
 
+def flag_neighbours(buildings: DataFrame, tolerance: float = 0.5, cell: float = CELL, pairs: DataFrame | None = None) -> DataFrame:
+    """buildings with their four neighbour columns anew, whatever they held. pairs: those of neighbour_pairs, where known."""
+    found = neighbour_flags(buildings, neighbour_pairs(buildings, tolerance, cell) if pairs is None else pairs).withColumnRenamed("n_neighbours", "total_attached_neighbour")
+    columns = [c for c in found.columns if c != "building_feature_id"]
+    return buildings.drop(*columns).join(found, "building_feature_id").select(*buildings.columns)
+
+
 def neighbour_flags(buildings: DataFrame, pairs: DataFrame) -> DataFrame:
     """(building_feature_id, has_attached_neighbour, attached_neighbour_id, n_neighbours, attached_neighbour_class): both sides of every pair count."""
     both = pairs.select(F.col("building_id_a").alias("building_feature_id"), F.col("building_id_b").alias("other"))
     both = both.unionByName(pairs.select(F.col("building_id_b").alias("building_feature_id"), F.col("building_id_a").alias("other")))
-    counts = both.groupBy("building_feature_id").agg(F.count("*").cast("int").alias("n"), F.sort_array(F.collect_list(F.col("other").cast("int"))).alias("attached_neighbour_id"))
+    counts = both.groupBy("building_feature_id").agg(F.count("*").cast("int").alias("n"), F.sort_array(F.collect_list("other")).alias("attached_neighbour_id"))
     n = F.coalesce("n", F.lit(0))
     out = buildings.select("building_feature_id").join(counts, "building_feature_id", "left")
     return out.select("building_feature_id", (n > 0).alias("has_attached_neighbour"), "attached_neighbour_id", n.alias("n_neighbours"), F.least(n, F.lit(2)).alias("attached_neighbour_class"))
 
 
-def grid_cells(buildings: DataFrame, size: float) -> DataFrame:
-    """(cx, cy, building_ids): sorted ids of the buildings whose footprint meets a cell; a touch counts."""
+def grid_cells(buildings: DataFrame, size: float, limit: int = 0) -> DataFrame:
+    """(cx, cy, building_ids): sorted ids of the buildings whose footprint meets a cell; a touch counts. limit: buildings at most, by id."""
     own = buildings.where((F.size("building_footprint_geom") > 0) & F.col("object_id").isNotNull()).select("building_feature_id", F.col("building_footprint_geom").alias("geom"))
+    own = limit_by_id(own, "building_feature_id", limit)
     spread = own.withColumn("box", G.bbox(F.col("geom")))
     # a box that ends on a line touches the cell before as well
     low = lambda c: F.ceil(F.col(f"box.{c}min") / size).cast("int") - 1

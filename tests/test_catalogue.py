@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from gableflow.plans import catalogue
+from gableflow.plans import queries as catalogue
 
 from .conftest import DATA
 

@@ -28,7 +28,7 @@ def one(spark, *columns):
 
 
 def test_scalars(spark):
-    r = one(spark, scalars.r2(F.lit(2.675)).alias("a"), scalars.half_even(F.lit(2.5)).alias("b"), scalars.half_even(F.lit(3.5)).alias("c"), scalars.circular_difference(F.lit(350.0), F.lit(10.0)).alias("d"), scalars.country_code(F.lit(" Czech Republic ")).alias("e"), scalars.country_code(F.lit("Finland")).alias("f"))
+    r = one(spark, scalars.r2(F.lit(2.675)).alias("a"), scalars.half_even(F.lit(2.5)).alias("b"), scalars.half_even(F.lit(3.5)).alias("c"), scalars.circular_difference(F.lit(350.0), F.lit(10.0)).alias("d"), scalars.country_code(F.lit(" Czechia ")).alias("e"), scalars.country_code(F.lit("Czech Republic")).alias("f"))
     assert (r.a, r.b, r.c, r.d, r.e, r.f) == (2.68, 2, 4, -20.0, "CZ", None)
     assert scalars.parse_srid("EPSG:25832") == 25832 == scalars.parse_srid("25832")
     for bad in ("", "EPSG:", "-1", "0", "abc"):
@@ -124,13 +124,32 @@ def test_batches(spark):
     assert [r.batch for r in R.id_batches(df, "id", 4).orderBy("id").collect()] == [0, 0, 0, 0, 1, 1, 1, 1, 2, 2]
 
 
+def checked(spark, walls=(1.0, 500.0), bias=3.0, planar=False, attached=False):
+    """Long tables of surfaces and buildings that fire the rules, or not."""
+    kind = "surface_feature_id long, classname string, is_valid boolean, is_planar boolean, attribute_name string, calculated_value double, thematic_value double, difference double, percent_error double"
+    rows = [(1, "WallSurface", True, True, "surface_area", 1.0, 1.0, walls[0], 1.0), (2, "WallSurface", False, None, "surface_area", 1.0, 1.0, walls[1], 1.0), (3, "RoofSurface", True, planar, "surface_area", 1.0, 1.0, 0.5, 1.0), (3, "RoofSurface", True, planar, "tilt", 1.0, 1.0, 9.0, None)]
+    surfaces = spark.createDataFrame(rows, kind)
+    buildings = spark.createDataFrame([(1, "max_height", bias, None, attached), (1, "min_height", -bias, 20.0, False)], "building_feature_id long, attribute_name string, difference double, percent_error double, has_attached_neighbour boolean")
+    return surfaces, buildings
+
+
 def test_validation_rules(spark):
-    rows = spark.createDataFrame([("min_height", 3.0, None, True), ("min_height", 4.0, 20.0, False), ("area_total_wall", 500.0, 50.0, True), ("area_total_roof", 1.0, 1.0, True)], "attribute_name string, difference double, percent_error double, has_attached_neighbour boolean")
-    summary = V.error_summary(rows)
-    quality = spark.createDataFrame([("WallSurface", 10, 9, 90.0, 9, 90.0)], "classname string, total long, invalid long, invalid_percent double, non_planar long, non_planar_percent double")
-    said = V.takeaways(summary, quality, V.height_by_attachment(rows), failed=2)
-    assert len(said) == 4 and "500 times" in said[0] and "+3.50 m" in said[1]
-    assert "| min_height |" in V.report(summary, quality, V.height_by_attachment(rows), summary)
+    surfaces, buildings = checked(spark)
+    rules = {r.rule: (r.value, r.fires) for r in V.takeaway_rules(surfaces, buildings, failed=2).collect()}
+    assert rules == {"A": (500.0, True), "B": (3.0, True), "C": (1.0, True), "D": (2.0, True), "E": (0.0, True)}
+    calm = {r.rule: r.fires for r in V.takeaway_rules(*checked(spark, (1.0, 99.0), 0.9, True, True)).collect()}
+    assert calm == dict.fromkeys("ABCDE", False)
+    low = {r.rule: r.fires for r in V.takeaway_rules(*checked(spark, bias=-3.0)).collect()}
+    assert low["B"] is False  # only heights that are too large count, and only the maximal ones
+    said = V.takeaways(surfaces, buildings, failed=2)
+    assert len(said) == 7 and "500.0 times" in said[1] and any("3.00 m" in t for t in said)
+    summary = V.error_summary(buildings)
+    text = V.report({"Errors": summary}, said)
+    assert "| min_height |" in text and "## Errors" in text and text.startswith("# Validation report")
+    tex = V.report({"Errors": summary}, said, "latex")
+    assert r"min\_height" in tex and tex.count(r"\begin{tabular}") == tex.count(r"\end{tabular}") == 1
+    lines = spark.createDataFrame([("batch 1 start",), ("Batch 1 failed",), ("retrying",), ("batch 2 complete",)], "value string")
+    assert tuple(V.batch_lines(lines).first()) == (1, 1, 1, 1)
     assert V.latest_run(["validation_1", "x", "validation_3"]) == "validation_3"
     with pytest.raises(FileNotFoundError):
         V.latest_run([])
@@ -144,29 +163,89 @@ def test_archetype_sheet(spark, tmp_path):
     assert (r.footprint_area, r.footprint_complexity, r.attached_neighbour_class, r.roof_complexity, r.area_total_roof, r.area_total_wall, r.area_total_floor, r.building_size_class, r.number_of_storeys, r.max_volume) == (50.0, 1, 0, 0, 60.0, 80.0, 145.0, 0, 3, 500.0)
 
 
+def city(solids, lod="2.2", semantics=True):
+    """CityJSON of solids {name: [(class, polygon)]}: vertices in millimetres."""
+    index, objects = {}, {}
+    for name, solid in solids.items():
+        faces = [[[index.setdefault(tuple(p.values()), len(index)) for p in ring[:-1]] for ring in polygon] for _, polygon in solid]
+        meaning = {"semantics": {"surfaces": [{"type": n} for n, _ in solid], "values": [list(range(len(solid)))]}} if semantics else {}
+        objects[name] = {"type": "Building", "attributes": {"measuredHeight": 10.5}, "geometry": [{"type": "Solid", "lod": lod, "boundaries": [faces], **meaning}]}
+    return {"type": "CityJSON", "version": "1.1", "transform": {"scale": [0.001] * 3, "translate": [0.0] * 3}, "vertices": [[v * 1000 for v in p] for p in index], "CityObjects": objects}
+
+
+def moved(solid, dx):
+    return [(n, [[p | {"x": p["x"] + dx} for p in ring] for ring in polygon]) for n, polygon in solid]
+
+
 def cityjson(tmp_path):
-    solid = gable(10, 8, 5, 5)
-    points, index, faces = [], {}, []
-    for _, polygon in solid:
-        faces.append([[index.setdefault(tuple(p.values()), len(index)) for p in ring[:-1]] for ring in polygon])
-    points = [[v * 1000 for v in p] for p in index]
-    doc = {
-        "type": "CityJSON", "version": "1.1", "transform": {"scale": [0.001] * 3, "translate": [0.0] * 3}, "vertices": points,
-        "CityObjects": {"house": {"type": "Building", "attributes": {"measuredHeight": 10.5}, "geometry": [{"type": "Solid", "lod": "2.2", "boundaries": [faces], "semantics": {"surfaces": [{"type": n} for n, _ in solid], "values": [list(range(len(solid)))]}}]}},
-    }
-    (tmp_path / "a.json").write_text(json.dumps(doc))
+    (tmp_path / "a.json").write_text(json.dumps(city({"house": gable(10, 8, 5, 5)})))
     return str(tmp_path / "a.json")
 
 
-def citygml(tmp_path):
-    def surface(name, polygon):
-        return f"<bldg:boundedBy><bldg:{name}><gml:Polygon><gml:exterior><gml:LinearRing><gml:posList>{' '.join(f'{p['x']} {p['y']} {p['z']}' for p in polygon[0])}</gml:posList></gml:LinearRing></gml:exterior></gml:Polygon></bldg:{name}></bldg:boundedBy>"
+def gml_polygon(polygon, name=""):
+    return f"<gml:Polygon{name}><gml:exterior><gml:LinearRing><gml:posList>{' '.join(f'{p['x']} {p['y']} {p['z']}' for p in polygon[0])}</gml:posList></gml:LinearRing></gml:exterior></gml:Polygon>"
+
 
-    body = "".join(surface(n, p) for n, p in gable(10, 8, 5, 5))
+def citygml(tmp_path):
+    body = "".join(f"<bldg:boundedBy><bldg:{n}>{gml_polygon(p)}</bldg:{n}></bldg:boundedBy>" for n, p in gable(10, 8, 5, 5))
     (tmp_path / "a.gml").write_text(f'<CityModel><cityObjectMember><bldg:Building gml:id="house"><bldg:measuredHeight uom="m">10.5</bldg:measuredHeight>{body}</bldg:Building></cityObjectMember></CityModel>')
     return str(tmp_path / "a.gml")
 
 
+def test_two_houses_keep_their_own_surfaces(spark, tmp_path):
+    """Adjoining houses share what touches, and a neighbour's solid is nobody's surface."""
+    (tmp_path / "two.json").write_text(json.dumps(city({"a": gable(10, 8, 5, 5), "b": moved(gable(10, 8, 5, 5), 40)})))
+    model = readers.cityjson(spark, str(tmp_path / "two.json")) | {"objectclass": readers.objectclass(spark)}
+    far = extract_features(model, spark.createDataFrame([], schema.TABULA_VARIANT), Config())
+    assert {r.object_id: (r.surface_count_wall, r.footprint_area) for r in far.building.collect()} == {"a": (4, 80.0), "b": (4, 80.0)}
+    (tmp_path / "near.json").write_text(json.dumps(city({"a": gable(10, 8, 5, 5), "b": moved(gable(10, 8, 5, 5), 10)})))
+    model = readers.cityjson(spark, str(tmp_path / "near.json")) | {"objectclass": readers.objectclass(spark)}
+    near = extract_features(model, spark.createDataFrame([], schema.TABULA_VARIANT), Config())
+    assert {r.classname for r in near.surface_raw.select("classname").collect()} == {"WallSurface", "RoofSurface", "GroundSurface"}
+    assert {r.surface_type for r in near.surface.collect()} == {"WallSurface", "RoofSurface", "GroundSurface"} and near.surface.count() == 14
+
+
+def test_levels_parts_and_solids_without_semantics(spark, tmp_path):
+    box = gable(10, 8, 5, 5)
+    doc = city({"house": box, "bare": moved(box, 50)}, semantics=False)
+    doc["CityObjects"]["house"]["geometry"].append(city({"house": box}, "3.0")["CityObjects"]["house"]["geometry"][0])
+    (tmp_path / "levels.json").write_text(json.dumps(doc))
+    two, three = (readers.cityjson(spark, str(tmp_path / "levels.json"), lod=lod) for lod in (2, 3))
+    assert {r.objectid for r in two["feature"].collect()} == {"house", "bare"} and two["property"].where("name = 'lod2Solid'").count() == 2
+    assert three["feature"].count() == 2 + len(box) and three["property"].where("name = 'lod3Solid'").count() == 1
+    walls = "".join(f"<bldg:boundedBy><bldg:{n}><bldg:lod2MultiSurface>{gml_polygon(p)}</bldg:lod2MultiSurface><bldg:lod3MultiSurface>{gml_polygon(p)}{gml_polygon(p)}</bldg:lod3MultiSurface></bldg:{n}></bldg:boundedBy>" for n, p in box)
+    solid = "<bldg:lod2Solid><gml:Solid>" + "".join(gml_polygon(p) for _, p in box) + "</gml:Solid></bldg:lod2Solid>"
+    part = f'<bldg:consistsOfBuildingPart><bldg:BuildingPart gml:id="part">{solid}</bldg:BuildingPart></bldg:consistsOfBuildingPart>'
+    (tmp_path / "levels.gml").write_text(f'<CityModel><cityObjectMember><bldg:Building gml:id="whole">{walls}{part}</bldg:Building></cityObjectMember></CityModel>')
+    model = readers.citygml(spark, str(tmp_path / "levels.gml"))
+    faces = {r.objectid: r.n for r in model["feature"].join(model["geometry_data"], F.col("id") == F.col("feature_id")).select("objectid", F.size("geometry").alias("n")).collect()}
+    assert faces["whole"] == faces["part"] == len(box) and all(faces[f"whole_{i}"] == 1 for i in range(1, len(box) + 1))
+    assert {r.objectclass_id for r in model["feature"].where("objectid in ('whole', 'part')").collect()} == {901, 902}
+
+
+def test_folder_with_both_formats_and_none(spark, tmp_path):
+    cityjson(tmp_path)
+    text = (tmp_path / "a.json").read_text()
+    citygml(tmp_path)
+    (tmp_path / "a.gml").write_text((tmp_path / "a.gml").read_text().replace('"house"', '"other"'))
+    line = json.loads(text)
+    head = {"type": "CityJSON", "transform": line["transform"], "vertices": [], "CityObjects": {}}
+    feature = {"type": "CityJSONFeature", "vertices": line["vertices"], "CityObjects": {"third": line["CityObjects"]["house"]}}
+    (tmp_path / "b.jsonl").write_text(json.dumps(head) + "\n" + json.dumps(feature) + "\n")
+    model = readers.city_model(spark, str(tmp_path))
+    solids = model["property"].where("name = 'lod2Solid'").select("feature_id").join(model["feature"], F.col("id") == F.col("feature_id")).join(model["geometry_data"], "feature_id")
+    assert {(r.objectid, r.a) for r in solids.select("objectid", F.round(G.height(F.flatten("geometry")), 6).alias("a")).collect()} == {("house", 10.0), ("other", 10.0), ("third", 10.0)}
+    assert readers.city_model(spark, str(tmp_path / "nowhere")) is None and readers.city_model(spark, str(tmp_path / "a.json"))["feature"].count() == 8
+
+
+def test_ids_do_not_collide(spark):
+    many = spark.range(300_000).select(F.concat(F.lit("DEBW_001"), F.col("id")).alias("objectid")).withColumn("id", readers.number_of(F.col("objectid")))
+    assert many.select("id").distinct().count() == 300_000 and many.where("id < 0").count() == 0
+    readers.verify_ids(many)
+    with pytest.raises(ValueError, match="share the id"):
+        readers.verify_ids(spark.createDataFrame([(1, "a"), (1, "b")], "id long, objectid string"))
+
+
 @pytest.mark.parametrize("kind", ["json", "gml"])
 def test_from_file_to_features(spark, tmp_path, kind):
     model = readers.cityjson(spark, cityjson(tmp_path)) if kind == "json" else readers.citygml(spark, citygml(tmp_path))
@@ -191,6 +270,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     assert own.read("building").first().tabula_variant_code == "TEST.VARIANT.001"
     assert "city_lod_test" in own.schemas()
     assert run("--extract-features") == 0 and own.read("building").count() == 1 and own.read("surface").count() == 7
+    assert own.read("pipeline_status").count() == 1 and own.read("surface").where("is_valid is not null and created_at is not null").count() == 7
     footprint = own.read("building").first().building_footprint_geom
     layer = spark.createDataFrame([("r1", footprint)], schema.OSM_LAYER)
     layer = S.reproject(layer, "geom", 25832, 3035)
@@ -200,9 +280,22 @@ def test_command_line(spark, tmp_path, monkeypatch):
         assert run("--link", str(tmp_path / "res"), str(tmp_path / "oth")) == 0
     links = own.read("building_link").collect()
     assert [(r.osm_id, r.match_type) for r in links] == [("r1", 1)] and links[0].match_confidence > 0.999
-    assert run("--reset-db", "derived") == 0 and own.read("building").count() == 0 and own.read("feature").count() > 0
-    with pytest.raises(ValueError):
-        Config.from_env({"COUNTRY": "atlantis"})
+    # another level of detail of the same building stands beside it, and is not taken as done
+    (tmp_path / "three.json").write_text(json.dumps(city({"house": gable(10, 8, 5, 5), "next": moved(gable(10, 8, 5, 5), 10)}, "3.0")))
+    assert run("--lod", "3", "--import-model", str(tmp_path / "three.json"), "--extract-features", "--flag-neighbours") == 0
+    assert own.read("building", 3).count() == 2 and own.read("building").count() == 1
+    assert {(r.has_attached_neighbour, r.total_attached_neighbour) for r in own.read("building", 3).collect()} == {(True, 1)} and own.read("building_neighbours", 3).count() == 1
+    config = {"attributes": {"parent": {"h": {"computed_columns": ["max_height"], "source_label": "measuredHeight"}}, "child": {"roof": {"a": {"computed_column": "surface_area", "source_label": "area"}}}}}
+    (tmp_path / "map.json").write_text(json.dumps(config))
+    assert run("--validate", str(tmp_path / "map.json"), "--output", f"file://{tmp_path}/out") == 0
+    assert "max_height" in "".join(r.value for r in spark.read.text(f"{tmp_path}/out/validation_lod2/report_markdown").collect())
+    assert spark.read.csv(f"{tmp_path}/out/validation_lod2/detail_buildings.csv", header=True).first().difference == "4.5"
+    # scoped resets go on with what else is asked for
+    assert run("--reset-db", "derived", "--extract-features") == 0 and own.read("building").count() == 1 and own.read("building_link").count() == 0
+    assert run("--reset-db", "source", "--reset-db", "derived", "--import-model", cityjson(tmp_path)) == 0 and own.read("building").count() == 0 and own.read("feature").count() == 8
+    assert run("--import-model", str(tmp_path / "missing")) == 0
+    with pytest.raises(ValueError, match="COUNTRY.*"):
+        Config.from_env({"COUNTRY": "atlantis", "ROOM_HEIGHT": "-1"})
 
 
 def test_correction_stream(spark, tmp_path):
