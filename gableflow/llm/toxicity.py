@@ -15,7 +15,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,29 +59,37 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Counts a text's terms; remembers the terms of words that it met."""
+    """Counts a text's terms; remembers the terms of words that it met, as one number: the word's and its beginning's, from 1."""
 
     def __init__(self, at: dict[str, int]):
         self.at = at
-        self.met: dict[str, tuple[int, ...]] = {}
+        self.met: dict[str, int] = {}
+
+    def _code(self, word: str) -> int:
+        get = self.at.get
+        return get(word, -1) + 1 | (get(f"{word[:PREFIX]}*", -1) + 1 << 32 if len(word) > PREFIX else 0)
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The text's terms, ascending, and how often each stands in it."""
+        """The text's terms, each once, and how often each stands in it."""
         words = Counter(words_of(text or ""))
-        own = list(map(self.met.get, words))
-        if None in own:
-            if len(self.met) > CACHE:
-                self.met.clear()
-            at = self.at
+        met = self.met
+        try:
+            codes = np.fromiter(map(met.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            if len(met) > CACHE:
+                met.clear()
+            codes = np.empty(len(words), np.int64)
             for i, word in enumerate(words):
-                if own[i] is None:
-                    own[i] = tuple(at[t] for t in terms_of(word) if t in at)
+                if (code := met.get(word)) is None:
+                    code = self._code(word)
                     if len(word) <= CACHED_CHARS:
-                        self.met[word] = own[i]
-        size = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
-        terms, place = np.unique(flat, return_inverse=True)
-        return terms, np.bincount(place, np.repeat(np.fromiter(words.values(), np.float64, len(own)), size), len(terms))
+                        met[word] = code
+                codes[i] = code
+        times = np.fromiter(words.values(), np.float64, len(words))
+        own, shared = codes & 0xFFFFFFFF, codes >> 32
+        has, begins = own > 0, shared > 0
+        terms, place = np.unique(shared[begins], return_inverse=True)
+        return np.r_[own[has], terms] - 1, np.r_[times[has], np.bincount(place, times[begins], len(terms))]
 
 
 def evidence(docs: np.ndarray, toxic: np.ndarray, n: int, n_toxic: int) -> np.ndarray:
@@ -135,6 +142,7 @@ class BlockMaxIndex:
         self.block_size = np.minimum(np.repeat(held, blocks) - start, BLOCK)
         self.block_most = self.weight[self.block_start].astype(np.float64)
         self.cost = np.minimum(held, BLOCK).astype(np.float64)
+        self.order = 1 - 1e-9 * (start // BLOCK)
         by = np.argsort(place[doc], kind="stable")
         full = [i for i in range(n) if size[order[i]]]  # a text without words is never near
         self.text_term, self.text_weight, self.text_at = term[by].astype(np.int64), weight[by].astype(np.float32), np.r_[0, np.cumsum(size[order])]
@@ -164,7 +172,8 @@ class BlockMaxIndex:
         most = weight * self.block_most[blocks]
         after = np.r_[most[1:], 0.0]
         after[np.cumsum(n) - 1] = 0.0
-        order = np.argsort(-most / np.repeat(self.cost[terms], n), kind="stable")  # a term's own blocks stay in their order
+        gain = most / np.repeat(self.cost[terms], n)
+        order = np.argsort(gain * self.order[blocks])[::-1]  # a term's own blocks stay in their order
         left = most[np.cumsum(n) - n].sum() - np.cumsum((most - after)[order])
         read = order[: int(np.searchsorted(-left, -SLACK)) + 1]
         slack = max(float(left[len(read) - 1]), 0.0) + 1e-5
