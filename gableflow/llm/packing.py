@@ -30,7 +30,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers, the longest of them (others are tokenized each time), bytes of text at a time.
 CACHE, CACHED_BYTES, SLICE = 800_000, 96, 4 << 20
 #: One run of Latin letters, of which the tokenizer makes one pre-token, and the marks that may follow it as the next.
-LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-/:-@\[-`{-~]*"
+LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ÿ]+", bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 class WordIds:
@@ -43,41 +43,45 @@ class WordIds:
     def __init__(self, path: str, cache: int = CACHE):
         self.cache = cache
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # words of lower-case letters are their own pre-tokens: the rules that find these in any text are left out for them
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.plain = re.compile(f"({LETTERS})({MARKS})")
+        self.latin = re.compile(LETTERS)
         self.known: dict[bytes, bytes] = {}
         self.long: list[bytes] = []
 
     def _learn(self, fresh: list[bytes]) -> None:
-        known, cores, rest, joined = self.known, set(), [], []
+        known, cores, rest, joined, latin = self.known, set(), [], [], self.latin.fullmatch
         for word in fresh:
-            text = word.decode()
-            if m := self.plain.fullmatch(text):
-                core, marks = m[1].encode(), m[2].encode()
+            core = word.rstrip(MARKS)
+            if core.isalpha() or (not core.isascii() and latin(core.decode())):  # bytes: only A-Z and a-z are alpha
                 if core not in known:
-                    cores.add(m[1])
-                if marks:
+                    cores.add(core)
+                if len(core) < len(word):
+                    marks = word[len(core) :]
                     joined.append((word, core, marks))
                     if marks not in known:
-                        rest.append(m[2])
+                        rest.append(marks)
             else:
-                rest.append(text)
+                rest.append(word)
         rest = list(dict.fromkeys(rest))
-        for text, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[text.encode()] = np.array(got.ids, "<u2").tobytes()
+        for word, got in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
+            known[word] = np.array(got.ids, "<u2").tobytes()
         cores = list(cores)
         for at in range(0, len(cores), 4096):
             some = cores[at : at + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids)
+            ids = np.array(self.letters.encode_batch_fast([b" ".join(some).decode().lower()], add_special_tokens=False)[0].ids)
             stop = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             packed, start = ids.astype("<u2").tobytes(), 0
             for core, end in zip(some, stop, strict=True):
-                known[core.encode()] = packed[start:end]
+                known[core] = packed[start:end]
                 start = end
         for word, core, marks in joined:
             known[word] = known[core] + known[marks]
