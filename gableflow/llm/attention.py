@@ -19,7 +19,7 @@ OUTPUTS = HEAD + CLASSES
 WIDTH, WINDOW, OVERLAP = 16, 32, 16
 STRIDE = WINDOW - OVERLAP
 #: Windows of a step, windows among which a trainer shuffles, steps at least, step sizes of matrices and of embeddings.
-BATCH, POOL, LEAST_STEPS, RATE, RATE_IN = 256, 8192, 60, 0.01, 0.05
+BATCH, POOL, LEAST_STEPS, RATE, RATE_IN = 128, 8192, 60, 0.01, 0.05
 #: What unseen subwords of a class count, and how many times a class's own shares count beside those after a kind.
 SMOOTH, BACK = 0.1, 8.0
 #: Buckets of the id before, by which subwords are first told apart.
@@ -99,50 +99,54 @@ class Outputs:
         self.within = np.log10(share).astype(np.float32)
 
 
+def _exp(x: np.ndarray) -> np.ndarray:
+    """exp in place, up to a factor for each row: rows are shifted by their largest only if any would overflow."""
+    if x.max(initial=0.0) > 80:
+        x -= x.max(axis=-1, keepdims=True)
+    return np.exp(x, out=x)
+
+
 def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """Mean negative log likelihood of outputs y >= 0 after inputs x, both (batch, WINDOW), the gradients of the matrices, and the
     rows of embeddings that x uses with theirs."""
-    d, one = WIDTH, p["q"].dtype.type(1)
-    n_rows = x.size
+    d, kind = WIDTH, p["q"].dtype.type
     e = p["e"][x]
     flat_e = e.reshape(-1, d)
-    qkv = flat_e @ np.concatenate([p["q"] * (one / d**0.5), p["k"], p["v"]], axis=1)
+    wide = np.concatenate([p["q"] * kind(d**-0.5), p["k"], p["v"]], axis=1)
+    qkv = flat_e @ wide
     q, k, v = (qkv[:, i * d : (i + 1) * d].reshape(*x.shape, d) for i in range(3))
     gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
-    far = np.where(gap >= 0, p["far"][np.abs(gap)], p["q"].dtype.type(-1e9))
     a = q @ k.transpose(0, 2, 1)
-    a += far
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    z = a @ v
-    both = np.concatenate([z.reshape(-1, d), flat_e], axis=1)
-    out = both @ p["out"]
-    out += p["bias"]
-    out -= out.max(axis=1, keepdims=True)
-    np.exp(out, out=out)
-    total = out.sum(axis=1)
+    a += np.where(gap >= 0, p["far"][np.abs(gap)], kind(-1e9))
+    _exp(a)
+    a /= (a @ np.ones(WINDOW, a.dtype))[:, :, None]
+    z = (a @ v).reshape(-1, d)
+    both = np.concatenate([z, flat_e, np.ones((x.size, 1), z.dtype)], axis=1)
+    outward = np.concatenate([p["out"], p["bias"][None]])
+    out = _exp(both @ outward)
+    total = out @ np.ones(OUTPUTS, out.dtype)
     target = y.ravel()
     real = np.flatnonzero(target >= 0)
     n = max(1, len(real))
     loss = -np.log(out[real, target[real]] / total[real] + 1e-30).sum() / n
-    scale = np.zeros(n_rows, out.dtype)
-    scale[real] = one / n
-    out *= (scale / total)[:, None]
-    out[real, target[real]] -= one / n
-    g = {"out": both.T @ out, "bias": out.sum(axis=0)}
+    scale = np.zeros(x.size, out.dtype)
+    scale[real] = 1 / (total[real] * kind(n))
+    out *= scale[:, None]
+    out[real, target[real]] -= kind(1 / n)
+    grads = both.T @ out
+    g = {"out": grads[: 2 * d], "bias": grads[2 * d]}
     d_both = out @ p["out"].T
     d_z = d_both[:, :d].reshape(*x.shape, d)
     d_a = d_z @ v.transpose(0, 2, 1)
     d_v = a.transpose(0, 2, 1) @ d_z
-    d_a -= (d_a * a).sum(axis=2, keepdims=True)
+    d_a -= (d_both[:, :d] * z).sum(axis=1).reshape(*x.shape, 1)
     d_a *= a
     sums = d_a.sum(axis=0)
     g["far"] = np.bincount(np.abs(gap)[gap >= 0], sums[gap >= 0], WINDOW).astype(out.dtype)
     d_qkv = np.concatenate([(d_a @ k).reshape(-1, d), (d_a.transpose(0, 2, 1) @ q).reshape(-1, d), d_v.reshape(-1, d)], axis=1)
     grads = flat_e.T @ d_qkv
-    g["q"], g["k"], g["v"] = grads[:, :d] * (one / d**0.5), grads[:, d : 2 * d], grads[:, 2 * d :]
-    d_e = d_qkv @ np.concatenate([p["q"] * (one / d**0.5), p["k"], p["v"]], axis=1).T
+    g["q"], g["k"], g["v"] = grads[:, :d] * kind(d**-0.5), grads[:, d : 2 * d], grads[:, 2 * d :]
+    d_e = d_qkv @ wide.T
     d_e += d_both[:, d:]
     order = np.argsort(x.ravel(), kind="stable")
     ids = x.ravel()[order]
@@ -227,14 +231,27 @@ class Scorer:
     """Log10 probabilities of whole sequences of subwords."""
 
     def __init__(self, flat: np.ndarray, outputs: Outputs):
-        p = unflat(flat.astype(np.float32), len(outputs.of))
-        self.outputs, self.out, self.bias = outputs, p["out"], p["bias"]
-        self.e = p["e"]
+        self.flat, self.outputs = flat.astype(np.float32), outputs
+        self._prepare()
+
+    def __getstate__(self) -> dict:
+        return {"flat": self.flat, "outputs": self.outputs}  # tables are made anew where they are used
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._prepare()
+
+    def _prepare(self) -> None:
+        """What each subword asks, offers and gives, and what it says of the next one by itself."""
+        p = unflat(self.flat, len(self.outputs.of))
+        self.out = p["out"][:WIDTH]
+        self.direct = p["e"] @ p["out"][WIDTH:] + p["bias"]
         self.q, self.k, self.v = p["e"] @ p["q"] / np.float32(WIDTH**0.5), p["e"] @ p["k"], p["e"] @ p["v"]
         gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
         self.far = np.where(gap >= 0, p["far"][np.abs(gap)], np.float32(-1e9)).astype(np.float32)
+        self.ones = np.ones(OUTPUTS, np.float32)
 
-    def score(self, ids: np.ndarray, size: np.ndarray, batch: int = 256) -> np.ndarray:
+    def score(self, ids: np.ndarray, size: np.ndarray, batch: int = 128) -> np.ndarray:
         """ids: sequences one after the other, each of size >= 1 with its end. Every subword is scored once.
 
         A sequence's first window scores all its places. Each later one starts STRIDE tokens on and repeats OVERLAP tokens
@@ -263,17 +280,13 @@ class Scorer:
             asks = x[:, repeated:]
             a = self.q[asks] @ self.k[x].transpose(0, 2, 1)
             a += far
-            a -= a.max(axis=2, keepdims=True)
-            np.exp(a, out=a)
+            _exp(a)
             z = a @ self.v[x]
-            z /= a.sum(axis=2, keepdims=True)
-            out = z.reshape(-1, WIDTH) @ self.out[:WIDTH]
-            out += self.e[asks.ravel()] @ self.out[WIDTH:]
-            out += self.bias
-            out -= out.max(axis=1, keepdims=True)
-            said = out[np.arange(len(out)), outputs[at[:, repeated:]].ravel()]
-            np.exp(out, out=out)
-            said = (said - np.log(out.sum(axis=1))).reshape(asks.shape)
+            z /= (a @ self.ones[:WINDOW])[:, :, None]
+            out = z.reshape(-1, WIDTH) @ self.out
+            out += self.direct[asks.ravel()]
+            _exp(out)
+            said = np.log(out[np.arange(len(out)), outputs[at[:, repeated:]].ravel()] / (out @ self.ones)).reshape(asks.shape)
             got[b : b + batch] = np.where(place[repeated:] < left[b : b + batch, None], said, 0).sum(axis=1, dtype=np.float64)
         return got
 
