@@ -1,10 +1,10 @@
 """Operator 10: SimHash near-dedup with bit-sliced comparison.
 
 Fingerprints are computed in numpy batches. Distinct fingerprints that agree in two of radius + 2 blocks of bits meet in a
-bucket; a pair within the radius must. Buckets are cut into tiles of bounded size, and a tile's fingerprints are compared
-with bit planes stored vertically: one XOR of a plane advances 64 distances, carry-save counters add them up, and a block
-is abandoned once all its distances exceed the radius. A tile returns a star of links for each of its components, never
-all pairs. Components are then joined up over all tiles.
+bucket; a pair within the radius must. Buckets are cut into tiles of bounded size, of which those that cannot connect
+anything new are left out. A tile's fingerprints are compared with bit planes stored vertically: one XOR of a plane
+advances 64 distances, carry-save counters add them up, and a block is abandoned once all its distances exceed the radius.
+A tile returns a star of links for each of its components, never all pairs. Components are then joined up over all tiles.
 """
 
 from __future__ import annotations
@@ -336,14 +336,17 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     wide = max(b - a for a, b in zip(cuts, cuts[1:], strict=False))
     keys = [F.lit(t << 2 * wide).bitwiseOR(F.shiftleft(value(i), wide)).bitwiseOR(value(j)) for t, (i, j) in enumerate(combinations(range(blocks), 2))]
     placed = fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
-    return in_batches(_cut(placed, tile), _tiles(radius), "u bigint, v bigint")
+    return _linked_buckets(placed, tile, _tiles(radius))
 
 
-def _cut(placed: DataFrame, tile: int, details: DataFrame | None = None) -> DataFrame:
-    """placed (key, fp, maybe num and size) -> sorted rows of the tiles of buckets with several rows; details (num, shingles) are added to those rows only.
+def _linked_buckets(placed: DataFrame, tile: int, run, details: DataFrame | None = None) -> DataFrame:
+    """placed (key, fp, maybe num and size) -> links (u, v) that connect all pairs of a bucket that run links; details (num, shingles) go with rows of buckets with several rows only.
 
-    Of buckets that hold the same rows, as pairs that agree in several places make them, one is compared. Where rows have
-    a size, a side of a tile is bounded by TILE_SHINGLES in sum as well.
+    Of buckets that hold the same rows, as pairs that agree in several places make them, one is compared. A bucket's rows
+    are dealt to parts of tile rows; where rows have a size, a part is bounded by TILE_SHINGLES in sum as well. First every
+    part is compared with part 0. In a bucket of near copies this connects almost all rows, and rows that are connected
+    need no comparison: after it only the rows outside the bucket's largest component are compared with all others. So a
+    bucket's work grows with its rows, times those that are not near copies of the others.
     """
     own = [c for c in placed.columns if c not in ("key", "size")]
     name = own[-1]
@@ -353,13 +356,32 @@ def _cut(placed: DataFrame, tile: int, details: DataFrame | None = None) -> Data
     sizes = written(sizes.groupBy("n", "held", "x", "y", "z").agg(F.min("key").alias("key")).select("key", "n", "held"), "bucket-sizes")
     parts = F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("held") / TILE_SHINGLES)).cast("int")
     cut = placed.join(sizes, "key").select("key", *own, parts.alias("parts"), F.pmod(F.xxhash64(*own), parts).cast("int").alias("part"))
-    if details is not None:
-        cut = cut.join(details, "num")
-    more = [*own, *(["shingles"] if details is not None else [])]
-    tiles = cut.select("key", "part", *more, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    tiles = tiles.select("key", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", *more)
-    n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tiles.repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b")
+
+    def compared(rows: DataFrame, others) -> DataFrame:
+        """Links over the tiles that each row's part makes with the parts in others."""
+        if details is not None:
+            rows = rows.join(details, "num")
+        tiles = rows.withColumn("other", F.explode(others))
+        tiles = tiles.select("key", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", *own, *(["shingles"] if details is not None else []))
+        n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return in_batches(tiles.repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b"), run, "u bigint, v bigint")
+
+    first = compared(cut, F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0))))
+    if not sizes.where(parts > 1).limit(1).count():
+        return first
+    first = written(first, "first-links")
+    hot = cut.where("parts > 1").join(connected(first), F.col(name) == F.col("node"), "left").withColumn("root", F.coalesce("root", name)).drop("node")
+    hot = written(hot, "hot-rows")
+    counts = hot.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
+    rest = F.col("all") - F.col("top.n")
+    largest = written(largest.where(rest > 0).select("key", F.col("top.root").alias("main"), rest.alias("rest"), "all"), "largest-components")
+    marked = hot.join(largest, "key").withColumn("apart", F.greatest(F.ceil(F.col("rest") * F.col("parts") / F.col("all")), F.lit(1)).cast("int"))
+    off = F.col("root") != F.col("main")
+    # parts of the rows outside come first, those of the largest component behind them
+    marked = marked.withColumn("part", F.when(off, F.pmod(F.xxhash64(*own), F.col("apart"))).otherwise(F.col("apart") + F.col("part")).cast("int"))
+    beside = F.when(off, F.sequence(F.lit(0), F.col("apart") + F.col("parts") - 1)).otherwise(F.sequence(F.lit(0), F.col("apart") - 1))
+    return first.unionByName(compared(marked.select("key", *own, "part", "apart", "parts", "root", "main"), beside))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -445,8 +467,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(in_batches(numbered, run, f"num bigint, id {kind}, fp bigint, bands array<bigint>, size bigint, shingles binary, digest binary"), "near-features")
     firsts = written(rows.groupBy("digest").agg(F.min("num").alias("first")), "distinct-sets")  # equal sets are compared once
     placed = rows.join(firsts.select(F.col("first").alias("num")), "num", "left_semi").select(F.explode("bands").alias("key"), "fp", "num", "size")
-    tiles = _cut(placed, tile, rows.select("num", "shingles"))
-    stars = connected(in_batches(tiles, _tiles(radius, similarity), "u bigint, v bigint"))
+    stars = connected(_linked_buckets(placed, tile, _tiles(radius, similarity), rows.select("num", "shingles")))
     named = written(firsts.join(stars, firsts["first"] == stars["node"], "left").select("digest", F.coalesce("root", "first").alias("root")), "named-sets")
     rooted = written(rows.select("id", "digest").join(named, "digest").select("id", "root"), "rooted")
     least = written(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "component-ids")

@@ -580,6 +580,27 @@ def test_near_copies_with_repeated_passages(spark):
     assert out == root
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_hot_buckets(spark, seed):
+    """Hundreds of near copies of a few texts in buckets of many tiles, with texts at the edge that only some are linked to."""
+    rng, rows = random.Random(seed), []
+    bases = [[f"w{rng.randrange(100_000)}" for _ in range(120)] for _ in range(2)]
+    bases.append([*bases[0][:112], *(f"v{rng.randrange(100_000)}" for _ in range(8))])
+    for i in range(360):
+        words = list(bases[i % 3])
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    root = near_roots(rows)
+    for tile in (16, 64):
+        out = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), tile=tile).collect()}
+        assert sum(out[k] == root[k] for k in root) >= 0.99 * len(root)
+    fps = [brute_fingerprint(t) for _, t in rows]
+    least = brute_components(fps)
+    got = {r.doc_id: r.component_id for r in simhash.simhash_components(spark.createDataFrame(rows, "doc_id long, text string"), tile=4).collect()}
+    assert got == {k: least[k] for k, _ in rows}
+
+
 def test_tiles_are_bounded_by_shingles(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE_SHINGLES", 500)
     rows = near_table()
