@@ -350,3 +350,18 @@ def csv_round_trip(s, d):
     path = f"{shared_dir(s)}/export-{uuid.uuid4().hex}.csv"
     V.csv_sink(_raw(s, d).select("surface_feature_id", "classname", "surface_area"), path)
     return s.read.csv(path, header=True, schema="surface_feature_id bigint, classname string, surface_area double")
+
+
+@query("sql_functions", with_chain("plots", """SELECT id, w * d - w * d / 4 AS overlap, 0.0::DOUBLE AS distance, true AS meets, true AS valid, CAST(round_even(h / 2.5, 0) AS INTEGER) AS storeys, 'AT' AS code, 1 AS complexity, CASE WHEN id % 2 = 0 THEN 3.5 END::DOUBLE AS number, -20.0::DOUBLE AS turn FROM plots"""))
+def sql_functions(s, d):
+    """The registered functions in a statement: a plot against itself shifted by a quarter of its width."""
+    from ..functions import sql as names
+
+    names.register(s)
+    own = X.footprints(s, d).join(X.plots(s, d), F.col("building_feature_id") == F.col("id"))
+    shifted = F.transform("building_footprint_geom", lambda p: F.transform(p, lambda r: F.transform(r, lambda q: F.struct((q["x"] + F.col("w") / 4).alias("x"), q["y"].alias("y"), q["z"].alias("z")))))
+    own = own.select("id", "h", F.col("building_footprint_geom").alias("a"), shifted.alias("b"))
+    return s.sql(
+        "SELECT id, overlap_area(a, b) AS overlap, distance_2d(a, b) AS distance, intersects_2d(a, b) AS meets, face_is_valid(a[0]) AS valid, half_even(h / 2.5D) AS storeys, country_code(' Austria') AS code, "
+        "outline_complexity(size(a[0][0])) AS complexity, numeric_value(null, null, if(id % 2 = 0, '3.5', 'x')) AS number, circular_difference(350D, 10D) AS turn FROM {own}", own=own,
+    )
