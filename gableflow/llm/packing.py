@@ -46,10 +46,10 @@ class WordIds:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # words of lower-case letters are their own pre-tokens: the rules that find these in any text are left out for them
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # words of the letters a to z are their own pre-tokens: the rules that find these in any text are left out for them
+        self.ascii = Tokenizer.from_file(path)
+        self.ascii.normalizer = normalizers.Sequence([])
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -58,12 +58,15 @@ class WordIds:
         self.long: list[bytes] = []
 
     def _learn(self, fresh: list[bytes]) -> None:
-        known, cores, rest, joined, latin = self.known, set(), [], [], self.latin.fullmatch
+        known, cores, others, rest, joined, latin = self.known, set(), set(), [], [], self.latin.fullmatch
         for word in fresh:
+            if word.isalpha():  # bytes: only A-Z and a-z are alpha
+                cores.add(word)
+                continue
             core = word.rstrip(MARKS)
-            if core.isalpha() or (not core.isascii() and latin(core.decode())):  # bytes: only A-Z and a-z are alpha
+            if core.isalpha() or (not core.isascii() and latin(core.decode())):
                 if core not in known:
-                    cores.add(core)
+                    (cores if core.isascii() else others).add(core)
                 if len(core) < len(word):
                     marks = word[len(core) :]
                     joined.append((word, core, marks))
@@ -74,21 +77,40 @@ class WordIds:
         rest = list(dict.fromkeys(rest))
         for word, got in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
             known[word] = np.array(got.ids, "<u2").tobytes()
-        cores = list(cores)
-        for at in range(0, len(cores), 4096):
-            some = cores[at : at + 4096]
-            ids = np.array(self.letters.encode_batch_fast([b" ".join(some).decode().lower()], add_special_tokens=False)[0].ids)
-            stop = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            packed, start = ids.astype("<u2").tobytes(), 0
-            for core, end in zip(some, stop, strict=True):
-                known[core] = packed[start:end]
-                start = end
+        for letters, own in ((self.ascii, list(cores)), (self.tokenizer, list(others))):
+            for at in range(0, len(own), 4096):
+                some = own[at : at + 4096]
+                ids = np.array(letters.encode_batch_fast([b" ".join(some).decode().lower()], add_special_tokens=False)[0].ids)
+                stop = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+                packed, start = ids.astype("<u2").tobytes(), 0
+                for core, end in zip(some, stop, strict=True):
+                    known[core] = packed[start:end]
+                    start = end
         for word, core, marks in joined:
             known[word] = known[core] + known[marks]
 
-    def packed(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 16-bit numbers."""
-        return [b"".join(map(self.known.__getitem__, words)) for words in self.split(texts)]
+    def packed(self, texts: list[str | bytes | None]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 16-bit numbers. Texts may come as UTF-8."""
+        raw = [t if isinstance(t, bytes) else (t or "").encode() for t in texts]
+        split = [(t if b"<|" in t else t.lower()).split() for t in raw]  # special tokens keep their case
+        ids = [list(map(self.known.get, words)) for words in split]
+        fresh: set[bytes] = set()
+        holes = []
+        for words, own in zip(split, ids, strict=True):
+            if None in own:
+                at = [i for i, x in enumerate(own) if x is None]
+                fresh.update(map(words.__getitem__, at))
+                holes.append((words, own, at))
+        if len(self.known) + len(fresh) > self.cache:
+            self.known = {w: x for words, own in zip(split, ids, strict=True) for w, x in zip(words, own, strict=True) if x is not None}
+        self._learn(list(fresh))
+        for words, own, at in holes:
+            for i in at:
+                own[i] = self.known[words[i]]
+        for word in fresh:
+            if len(word) > CACHED_BYTES:
+                del self.known[word]
+        return list(map(b"".join, ids))
 
     def split(self, texts: list[str | None], counts: Counter | None = None, counted: list[bool] | None = None) -> list[list[bytes]]:
         """Each text's words; until the next call all of them are known. counts: gets the lower-case words of the texts marked in counted."""
@@ -127,7 +149,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: in
         words, part, at = word_ids(path, cache), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u2").tobytes()
         for batch in slices(batches, "text", SLICE):
-            ids = [x + end for x in words.packed(batch.column(1).to_pylist())]
+            ids = [x + end for x in words.packed(batch.column(1).cast(pa.binary()).to_pylist())]
             n = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
             first = at + np.cumsum(n) - n
             at += int(n.sum())
