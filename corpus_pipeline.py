@@ -16,7 +16,7 @@ from gableflow.llm.common import discard, struct_of_row, table, unused, whole_te
 
 #: Parameters of the stages beyond the operators' own defaults: the score from which documents go, words that a worker of
 #: the last stage remembers (its executors have grown through four stages).
-REJECT, CACHE = toxicity.THRESHOLD, 400_000
+REJECT, CACHE = toxicity.THRESHOLD, 200_000
 
 
 def _stay(docs: DataFrame, judged: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,18 +33,27 @@ def held(key, make):
     return _held[key]
 
 
-def keep_only(key) -> None:
-    """Give back what stages before this one held: a worker serves all of them, one after the other."""
+def keep_only(key, stage) -> None:
+    """Give back what stages before this one held, and the memory that the process keeps for itself: a worker serves all stages, one after the other."""
+    if _held.get("stage") == stage:
+        return
     for k in [k for k in _held if k != key]:
         del _held[k]
+    _held["stage"] = stage
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every system's C library can
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def in_batches(df: DataFrame, run, schema, holds=None) -> DataFrame:
     """mapInArrow over functions of this package, which is sent to the executors first. holds: the key that run keeps."""
     ship(df.sparkSession)
 
+    stage = uuid.uuid4().hex
+
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_only(holds)
+        keep_only(holds, stage)
         return run(batches)
 
     return df.mapInArrow(own, schema)
