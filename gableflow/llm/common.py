@@ -46,9 +46,18 @@ def keep_only(key, stage) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: Rows of documents in one Arrow batch at most: executors hold batches twice, in Spark and in Python.
+BATCH_ROWS, _ROWS = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def in_batches(df: DataFrame, run, schema, holds=None) -> DataFrame:
-    """mapInArrow over functions of this package, which is sent to the executors first. holds: the key that run keeps."""
+    """mapInArrow over functions of this package, which is sent to the executors first. holds: the key that run keeps.
+
+    The session's Arrow batches are limited to BATCH_ROWS rows from here on, unless it has a lower limit already.
+    """
     ship(df.sparkSession)
+    if not 0 < int(df.sparkSession.conf.get(_ROWS)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(_ROWS, str(BATCH_ROWS))
 
     stage = uuid.uuid4().hex
 
