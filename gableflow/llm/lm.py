@@ -28,7 +28,7 @@ from .packing import TOKENIZER, word_ids
 #: Smoothing of the base; words whose counts are broadcast.
 ADD, COMMON = 0.1, 400_000
 #: Subwords that one trainer goes through, where each round ends as a share of the documents, rows that are averaged at a time.
-PER_TRAINER, ROUNDS, FAN = 1 << 23, (0.125, 0.5, 1.0), 8
+PER_TRAINER, ROUNDS, FAN = 1 << 23, (0.125, 0.5, 1.0), 4
 #: Words counted in memory before they are passed on, words whose ids a worker remembers, bytes of text at a time.
 FLUSH, REMEMBERED, SLICE = 400_000, 750_000, 4 << 20
 #: The end of a text: the word that no text holds, and the tokenizer's own end token.
@@ -111,18 +111,25 @@ def _counts_after(texts: DataFrame, vocabulary: int, kind: np.ndarray) -> np.nda
     return out
 
 
+def _mean(rows: list[dict]) -> tuple[int, np.ndarray]:
+    """Windows of all rows, and the mean of their weights by windows, added up in the order of their places."""
+    rows = sorted(rows, key=lambda r: r["place"])
+    windows = sum(r["windows"] for r in rows)
+    total = sum(np.frombuffer(r["weights"], np.float32) * np.float64(r["windows"]) for r in rows)
+    return windows, (total / windows).astype(np.float32)
+
+
 def _averaged(got: DataFrame) -> np.ndarray | None:
-    """got (place, windows, weights) -> the average of the weights by windows, in the order of places.
+    """got (place, windows, weights) -> the mean of the weights by windows, in the order of places.
 
     Rows are added up FAN at a time until FAN are left for the driver: it sees a fixed number of bytes whatever their number.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["place"])
+        rows = [r for b in batches for r in b.to_pylist()]
         for place in sorted({r["place"] // FAN for r in rows}):
-            own = [r for r in rows if r["place"] // FAN == place]
-            total = sum(np.frombuffer(r["weights"]) for r in own)
-            yield pa.record_batch([pa.array([place]), pa.array([sum(r["windows"] for r in own)]), pa.array([total.tobytes()], pa.binary())], names=["place", "windows", "weights"])
+            windows, mean = _mean([r for r in rows if r["place"] // FAN == place])
+            yield pa.record_batch([pa.array([place]), pa.array([windows]), pa.array([mean.tobytes()], pa.binary())], names=["place", "windows", "weights"])
 
     n = got.agg(F.max("place")).first()[0]
     while n is not None and n >= FAN:
@@ -130,9 +137,9 @@ def _averaged(got: DataFrame) -> np.ndarray | None:
         fewer = written(in_batches(got.repartition(n + 1, F.floor(F.col("place") / FAN)), work, "place bigint, windows bigint, weights binary"), "averages")
         discard(got)
         got = fewer
-    rows = sorted(got.collect(), key=lambda r: r["place"])
+    rows = [r.asDict() for r in got.collect()]
     discard(got)
-    return sum(np.frombuffer(r["weights"]) for r in rows) / sum(r["windows"] for r in rows) if rows else None
+    return _mean(rows)[1] if rows else None
 
 
 def _train(texts: DataFrame, outputs: Outputs, subwords: int, per_trainer: int) -> np.ndarray:
@@ -152,8 +159,7 @@ def _train(texts: DataFrame, outputs: Outputs, subwords: int, per_trainer: int)
             trainer, now = None, None
 
             def done() -> pa.RecordBatch:
-                got = trainer.finish().astype(np.float64) * trainer.windows
-                return pa.record_batch([pa.array([now]), pa.array([trainer.windows]), pa.array([got.tobytes()], pa.binary())], names=["place", "windows", "weights"])
+                return pa.record_batch([pa.array([now]), pa.array([trainer.windows]), pa.array([trainer.finish().tobytes()], pa.binary())], names=["place", "windows", "weights"])
 
             for batch in slices(batches, "ids"):
                 place, packed = batch.column("trainer").to_numpy(), batch.column("ids")
@@ -172,7 +178,7 @@ def _train(texts: DataFrame, outputs: Outputs, subwords: int, per_trainer: int)
         dealt = own.repartition(trainers, "trainer").sortWithinPartitions("trainer", "number").select("trainer", "ids")
         got = _averaged(written(in_batches(dealt, work, "place bigint, windows bigint, weights binary"), "trained"))
         if got is not None:
-            flat = got.astype(np.float32)
+            flat = got
         begin = stop
     return flat
 
