@@ -142,6 +142,18 @@ def _averaged(got: DataFrame) -> np.ndarray | None:
     return _mean(rows)[1] if rows else None
 
 
+def _places(spark: SparkSession, n: int):
+    """A column that repartition(n) sends to the partition of its trainer's number, so that no task gets two while others get none.
+
+    For many trainers the hash alone evens out what tasks get.
+    """
+    if n > 4096:
+        return F.col("trainer")
+    found = spark.range(64 * n).select(F.pmod(F.hash("id"), F.lit(n)).alias("place"), "id").groupBy("place").agg(F.min("id").alias("id")).collect()
+    by = {r["place"]: r["id"] for r in found}
+    return F.element_at(F.array(*(F.lit(by.get(t, t)).cast("bigint") for t in range(n))), F.col("trainer").cast("int") + 1)
+
+
 def _train(texts: DataFrame, outputs: Outputs, subwords: int, per_trainer: int) -> np.ndarray:
     """Weights from all training documents, dealt by a hash of their id and text."""
     vocabulary = len(outputs.of)
@@ -175,7 +187,7 @@ def _train(texts: DataFrame, outputs: Outputs, subwords: int, per_trainer: int)
                 yield done()
 
         own = texts.where((share >= begin) & (share < stop)).select("ids", F.pmod(F.xxhash64("id", "ids"), F.lit(trainers)).alias("trainer"), F.xxhash64("id", "ids", F.lit("order")).alias("number"))
-        dealt = own.repartition(trainers, "trainer").sortWithinPartitions("trainer", "number").select("trainer", "ids")
+        dealt = own.repartition(trainers, _places(texts.sparkSession, trainers)).sortWithinPartitions("trainer", "number").select("trainer", "ids")
         got = _averaged(written(in_batches(dealt, work, "place bigint, windows bigint, weights binary"), "trained"))
         if got is not None:
             flat = got
