@@ -18,7 +18,7 @@ from ..operators import validation as V
 from ..operators.batched import with_kernel
 from ..operators.faces import row_id
 from ..sources import readers
-from ..staging import shared_dir
+from ..staging import shared_dir, written
 from . import cli, templates
 from . import fixtures as X
 from .catalogue import _CHECKED_B, _CHECKED_S, _KEYED, _PAIRS, _SURFACE, FACE_KEYS, _buildings, _checked_buildings, _checked_surfaces, _faces, _raw, _table, query
@@ -51,7 +51,7 @@ def _imported(s: SparkSession, d: str) -> dict[str, DataFrame]:
     part = next(f.getPath() for f in fs.listStatus(place) if f.getPath().getName().startswith("part"))
     fs.rename(part, s._jvm.org.apache.hadoop.fs.Path(f"{folder}/city.jsonl"))
     fs.delete(place, True)
-    return readers.city_model(s, folder) | {"objectclass": readers.objectclass(s)}
+    return {name: written(df, name) for name, df in readers.city_model(s, folder).items()} | {"objectclass": readers.objectclass(s)}  # as an import does
 
 
 @query("cityjson_import", with_chain("plots", """SELECT 'B' || id AS objectid, 901 AS objectclass_id, NULL::DOUBLE AS area, NULL::DOUBLE AS height FROM boxes
@@ -112,8 +112,6 @@ def workspace_tables(s, d):
     own.append("building_neighbours", S.neighbour_pairs(X.footprints(s, d), 0.5, cell=48.0))
     own.replace("building_neighbours", own.read("building_neighbours"))
     out = own.read("building_neighbours")
-    from ..staging import written
-
     out = written(out, "neighbours")
     s.sql(f"DROP DATABASE `{own.database}` CASCADE")
     return out
