@@ -36,7 +36,7 @@ def thematic_values(entities: DataFrame, prop: DataFrame, labels: DataFrame, ent
     """(entity, attribute_name, thematic_value): numeric properties of the entities, under every attribute their label stands for."""
     value = numeric(F.col("val_double"), F.col("val_int"), F.col("val_string"))
     own = prop.select(F.col("feature_id").alias(entity), F.col("name").alias("source_label"), value.alias("thematic_value")).where("thematic_value is not null")
-    return own.join(entities.select(entity).distinct(), entity, "left_semi").join(F.broadcast(labels.select("source_label", "attribute_name")), "source_label").select(entity, "attribute_name", "thematic_value")
+    return own.join(entities.select(entity).hint("merge"), entity, "left_semi").join(F.broadcast(labels.select("source_label", "attribute_name")), "source_label").select(entity, "attribute_name", "thematic_value")
 
 
 def sampled_eligible(values: DataFrame, entity: str, n: int, seed: int = 0) -> DataFrame:
@@ -56,14 +56,14 @@ def _errors(df: DataFrame, difference: Column, circular: Column) -> DataFrame:
 
 def validate_buildings(buildings: DataFrame, thematic: DataFrame, attributes: list[str], keep: tuple[str, ...] = ("has_attached_neighbour",)) -> DataFrame:
     """Long table of building attributes with their errors; the percent error is null at 0."""
-    own = long_table(buildings, "building_feature_id", attributes, list(keep)).join(thematic, ["building_feature_id", "attribute_name"])
+    own = long_table(buildings, "building_feature_id", attributes, list(keep)).join(thematic.hint("merge"), ["building_feature_id", "attribute_name"])
     return _errors(own, F.col("calculated_value") - F.col("thematic_value"), F.lit(False))
 
 
 def validate_surfaces(faces: DataFrame, thematic: DataFrame, attributes: list[str], classes: tuple[str, ...] = (ROOF, WALL, GROUND)) -> DataFrame:
     """Long table of surface attributes: one face per surface, azimuths of -1 dropped and compared on the circle."""
     own = first_by(faces.where(F.col("classname").isin(*classes)), ["surface_feature_id"], [F.col("building_feature_id"), F.col("face_idx")])
-    rows = long_table(own, "surface_feature_id", attributes, ["building_feature_id", "classname", "is_valid", "is_planar"]).join(thematic, ["surface_feature_id", "attribute_name"])
+    rows = long_table(own, "surface_feature_id", attributes, ["building_feature_id", "classname", "is_valid", "is_planar"]).join(thematic.hint("merge"), ["surface_feature_id", "attribute_name"])
     circular = F.col("attribute_name") == AZIMUTH
     rows = rows.where(~circular | ((F.col("calculated_value") != -1) & (F.col("thematic_value") != -1)))
     difference = F.when(circular, circular_difference(F.col("calculated_value"), F.col("thematic_value"))).otherwise(F.col("calculated_value") - F.col("thematic_value"))

@@ -110,6 +110,13 @@ def test_nearest_rows_are_those_of_trying_all():
         assert (at == d.argmin(axis=1)).all() and (least == d.min(axis=1)).all()
 
 
+def test_thematic_values_broadcast_no_entities(spark, data):
+    labels = spark.createDataFrame([("height", "tilt")], "source_label string, attribute_name string")
+    own = V.thematic_values(fixtures.child_features(spark, data), fixtures.properties(spark, data), labels, "building_feature_id")
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftSemi, BuildRight" not in plan
+
+
 def test_a_sequence_is_parsed_once_and_stays_spread(spark, tmp_path):
     head = {"type": "CityJSON", "transform": {"scale": [0.5] * 3, "translate": [1.0, 0.0, 0.0]}}
     solid = {"type": "Solid", "lod": "2.0", "boundaries": [[[[0, 1, 2], [3, 4, 5]], [[0, 2, 1]]]], "semantics": {"surfaces": [{"type": "RoofSurface"}], "values": [[0, None]]}}
