@@ -20,6 +20,8 @@ WIDTH, WINDOW, OVERLAP = 16, 32, 16
 STRIDE = WINDOW - OVERLAP
 #: Windows of a step, windows among which a trainer shuffles, steps at least, step sizes of matrices and of embeddings.
 BATCH, POOL, LEAST_STEPS, RATE, RATE_IN = 128, 8192, 60, 0.01, 0.05
+#: Windows, and blocks of STRIDE tokens when scoring, that go through at a time.
+CHUNK, BLOCKS = 32, 64
 #: What unseen subwords of a class count, and how many times a class's own shares count beside those after a kind.
 SMOOTH, BACK = 0.1, 8.0
 #: Buckets of the id before, by which subwords are first told apart.
@@ -106,52 +108,91 @@ def _exp(x: np.ndarray) -> np.ndarray:
     return np.exp(x, out=x)
 
 
-def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
+def _thirds(wide: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Views of three matrices that lie side by side."""
+    return tuple(wide[..., i * WIDTH : (i + 1) * WIDTH] for i in range(3))
+
+
+class Room:
+    """Arrays that the steps of a trainer use again and again: for CHUNK windows they stay in a core's cache, and no step asks for memory.
+
+    Products are taken window by window, as many small ones: for so narrow matrices they are faster than a long one.
+    """
+
+    def __init__(self, kind: np.dtype):
+        d = WIDTH
+        of = lambda n: np.empty((CHUNK, WINDOW, n), kind)
+        self.qkv, self.d_qkv, self.both, self.scaled, self.out, self.d_both = of(3 * d), of(3 * d), of(2 * d + 1), of(2 * d + 1), of(OUTPUTS), of(2 * d)
+        self.a, self.d_a, self.d_z, self.dots = of(WINDOW), of(WINDOW), of(d), of(d)
+        self.both[:, :, -1] = 1
+        self.place = (np.arange(CHUNK * WINDOW) * OUTPUTS).reshape(CHUNK, WINDOW)
+        self.ones = np.ones(max(WINDOW, OUTPUTS, CHUNK), kind)
+
+
+def _sums_by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, and the sums of their rows of values."""
+    order = np.argsort(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids, kind="stable")  # 16-bit numbers are sorted by their digits
+    ids = ids[order]
+    new = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return ids[new], np.add.reduceat(values[order], new, axis=0)
+
+
+def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, room: Room | None = None) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """Mean negative log likelihood of outputs y >= 0 after inputs x, both (batch, WINDOW), the gradients of the matrices, and the
-    rows of embeddings that x uses with theirs."""
+    rows of embeddings that x uses with theirs.
+
+    Windows go through in chunks whose gradients are added up. Exponentials stay as they are: the narrow factors beside them
+    are divided by the sums instead.
+    """
     d, kind = WIDTH, p["q"].dtype.type
-    e = p["e"][x]
-    flat_e = e.reshape(-1, d)
+    room, x = room or Room(p["q"].dtype), x.astype(np.intp)
     wide = np.concatenate([p["q"] * kind(d**-0.5), p["k"], p["v"]], axis=1)
-    qkv = flat_e @ wide
-    q, k, v = (qkv[:, i * d : (i + 1) * d].reshape(*x.shape, d) for i in range(3))
     gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
-    a = q @ k.transpose(0, 2, 1)
-    a += np.where(gap >= 0, p["far"][np.abs(gap)], kind(-1e9))
-    _exp(a)
-    a /= (a @ np.ones(WINDOW, a.dtype))[:, :, None]
-    z = (a @ v).reshape(-1, d)
-    both = np.concatenate([z, flat_e, np.ones((x.size, 1), z.dtype)], axis=1)
-    outward = np.concatenate([p["out"], p["bias"][None]])
-    out = _exp(both @ outward)
-    total = out @ np.ones(OUTPUTS, out.dtype)
-    target = y.ravel()
-    real = np.flatnonzero(target >= 0)
-    n = max(1, len(real))
-    loss = -np.log(out[real, target[real]] / total[real] + 1e-30).sum() / n
-    scale = np.zeros(x.size, out.dtype)
-    scale[real] = 1 / (total[real] * kind(n))
-    out *= scale[:, None]
-    out[real, target[real]] -= kind(1 / n)
-    grads = both.T @ out
-    g = {"out": grads[: 2 * d], "bias": grads[2 * d]}
-    d_both = out @ p["out"].T
-    d_z = d_both[:, :d].reshape(*x.shape, d)
-    d_a = d_z @ v.transpose(0, 2, 1)
-    d_v = a.transpose(0, 2, 1) @ d_z
-    d_a -= (d_both[:, :d] * z).sum(axis=1).reshape(*x.shape, 1)
-    d_a *= a
-    sums = d_a.sum(axis=0)
-    g["far"] = np.bincount(np.abs(gap)[gap >= 0], sums[gap >= 0], WINDOW).astype(out.dtype)
-    d_qkv = np.concatenate([(d_a @ k).reshape(-1, d), (d_a.transpose(0, 2, 1) @ q).reshape(-1, d), d_v.reshape(-1, d)], axis=1)
-    grads = flat_e.T @ d_qkv
-    g["q"], g["k"], g["v"] = grads[:, :d] * kind(d**-0.5), grads[:, d : 2 * d], grads[:, 2 * d :]
-    d_e = d_qkv @ wide.T
-    d_e += d_both[:, d:]
-    order = np.argsort(x.ravel(), kind="stable")
-    ids = x.ravel()[order]
-    new = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-    return float(loss), g, ids[new], np.add.reduceat(d_e[order], new, axis=0)
+    far = np.where(gap >= 0, p["far"][np.abs(gap)], kind(-1e9))
+    outward, inward, wide_in = np.concatenate([p["out"], p["bias"][None]]), np.ascontiguousarray(p["out"].T), np.ascontiguousarray(wide.T)
+    n = max(1, int((y >= 0).sum()))
+    loss, g_out, g_wide, g_far = 0.0, kind(0), kind(0), kind(0)
+    d_e = np.empty((*x.shape, d), kind)
+    for at in range(0, len(x), CHUNK):
+        target = y[at : at + CHUNK]
+        w = len(target)
+        qkv, d_qkv, both, scaled, out, d_both, a, d_a, d_z, dots = (r[:w] for r in (room.qkv, room.d_qkv, room.both, room.scaled, room.out, room.d_both, room.a, room.d_a, room.d_z, room.dots))
+        z, e = both[:, :, :d], both[:, :, d : 2 * d]
+        e[:] = p["e"][x[at : at + CHUNK]]
+        q, k, v = _thirds(np.matmul(e, wide, out=qkv))
+        np.matmul(q, k.transpose(0, 2, 1), out=a)
+        a += far
+        _exp(a)
+        per = 1 / (a @ room.ones[:WINDOW])[:, :, None]
+        np.multiply(a @ v, per, out=z)
+        _exp(np.matmul(both, outward, out=out))
+        total = out @ room.ones[:OUTPUTS]
+        real = target >= 0
+        place = room.place[:w] + np.maximum(target, 0)
+        said = out.reshape(-1)[place]
+        loss -= np.log(said[real] / total[real] + 1e-30).sum() / n
+        out.reshape(-1)[place] = said - total
+        scale = (real / (total * kind(n)))[:, :, None]
+        np.multiply(both, scale, out=scaled)
+        g_out = g_out + (scaled.transpose(0, 2, 1) @ out).sum(axis=0)
+        np.matmul(out, inward, out=d_both)
+        d_both *= scale
+        np.multiply(d_both[:, :, :d], per, out=d_z)
+        np.matmul(d_z, v.transpose(0, 2, 1), out=d_a)
+        d_a -= (np.multiply(d_z, z, out=dots) @ room.ones[:d])[:, :, None]
+        d_a *= a
+        g_far = g_far + room.ones[:w] @ d_a.reshape(w, -1)
+        d_q, d_k, d_v = _thirds(d_qkv)
+        np.matmul(d_a, k, out=d_q)
+        np.matmul(d_a.transpose(0, 2, 1), q, out=d_k)
+        np.matmul(a.transpose(0, 2, 1), d_z, out=d_v)
+        g_wide = g_wide + (e.transpose(0, 2, 1) @ d_qkv).sum(axis=0)
+        own = d_e[at : at + CHUNK]
+        np.matmul(d_qkv, wide_in, out=own)
+        own += d_both[:, :, d:]
+    g = {"out": g_out[: 2 * d], "bias": g_out[2 * d], "q": g_wide[:, :d] * kind(d**-0.5), "k": g_wide[:, d : 2 * d], "v": g_wide[:, 2 * d :]}
+    g["far"] = np.bincount(np.abs(gap)[gap >= 0], g_far.reshape(WINDOW, WINDOW)[gap >= 0], WINDOW).astype(kind)
+    return float(loss), g, *_sums_by_id(x.ravel(), d_e.reshape(-1, d))
 
 
 class Trainer:
@@ -167,6 +208,7 @@ class Trainer:
         self.seen = np.full(len(self.p["e"]), 1e-6, np.float32)
         self.rng = np.random.default_rng(seed)
         self.expected, self.t, self.windows = max(LEAST_STEPS, expected), 0, 0
+        self.room = Room(self.flat.dtype)
         self.pool: list[np.ndarray] = []
         self.pooled = 0
 
@@ -196,7 +238,7 @@ class Trainer:
         return self.flat
 
     def _step(self, x: np.ndarray, y: np.ndarray) -> None:
-        _, g, rows, more = step(self.p, x, y)
+        _, g, rows, more = step(self.p, x, y, self.room)
         self.t += 1
         rate = max(0.1, 1 - 0.9 * self.t / (self.expected + 1))
         for k, v in g.items():
@@ -242,53 +284,58 @@ class Scorer:
         self._prepare()
 
     def _prepare(self) -> None:
-        """What each subword asks, offers and gives, and what it says of the next one by itself."""
         p = unflat(self.flat, len(self.outputs.of))
-        self.out = p["out"][:WIDTH]
-        self.direct = p["e"] @ p["out"][WIDTH:] + p["bias"]
-        self.q, self.k, self.v = p["e"] @ p["q"] / np.float32(WIDTH**0.5), p["e"] @ p["k"], p["e"] @ p["v"]
-        gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
+        self.e = p["e"]
+        self.wide = np.concatenate([p["q"] / np.float32(WIDTH**0.5), p["k"], p["v"]], axis=1)
+        self.outward = np.concatenate([p["out"], p["bias"][None]])
+        gap = np.arange(OVERLAP, WINDOW)[:, None] - np.arange(WINDOW)
         self.far = np.where(gap >= 0, p["far"][np.abs(gap)], np.float32(-1e9)).astype(np.float32)
-        self.ones = np.ones(OUTPUTS, np.float32)
+        self.ones = np.ones(max(WINDOW, OUTPUTS), np.float32)
 
-    def score(self, ids: np.ndarray, size: np.ndarray, batch: int = 128) -> np.ndarray:
+    def score(self, ids: np.ndarray, size: np.ndarray, blocks: int = BLOCKS) -> np.ndarray:
         """ids: sequences one after the other, each of size >= 1 with its end. Every subword is scored once.
 
         A sequence's first window scores all its places. Each later one starts STRIDE tokens on and repeats OVERLAP tokens
-        as context, for which it has keys and values but asks nothing.
+        as context. As these are equally long, sequences are laid out in blocks of STRIDE tokens, and every block looks at
+        itself and at the block before it, if that is of its sequence.
         """
         if not len(size):
             return np.zeros(0)
         ids, first = ids.astype(np.int64), np.cumsum(size) - size
         x = _padded(ids, first, size, len(self.outputs.of))
         total = np.add.reduceat(self.outputs.within[ids, self.outputs.kind[x]], first, dtype=np.float64)
-        x, y = np.r_[x, np.zeros(WINDOW, np.int64)], np.r_[self.outputs.of[ids], np.zeros(WINDOW, np.int64)]
-        later = -(-np.maximum(size - WINDOW, 0) // STRIDE)
-        own = np.repeat(np.arange(len(size)), later)
-        nth = np.arange(len(own)) - np.repeat(np.cumsum(later) - later, later) + 1
-        gain = self._gain(x, y, first, size, 0, batch)
-        gain += np.bincount(own, self._gain(x, y, first[own] + nth * STRIDE, size[own] - nth * STRIDE, OVERLAP, batch), len(size))
-        return total + gain / np.log(10)
-
-    def _gain(self, inputs: np.ndarray, outputs: np.ndarray, start: np.ndarray, left: np.ndarray, repeated: int, batch: int) -> np.ndarray:
-        """Log probability of the outputs of each window's places from repeated on; left: tokens from its start to the end."""
-        place, far = np.arange(WINDOW), self.far[repeated:]
-        got = np.zeros(len(start))
-        for b in range(0, len(start), batch):
-            at = start[b : b + batch, None] + place
-            x = inputs[at]
-            asks = x[:, repeated:]
-            a = self.q[asks] @ self.k[x].transpose(0, 2, 1)
-            a += far
-            _exp(a)
-            z = a @ self.v[x]
-            z /= (a @ self.ones[:WINDOW])[:, :, None]
-            out = z.reshape(-1, WIDTH) @ self.out
-            out += self.direct[asks.ravel()]
-            _exp(out)
-            said = np.log(out[np.arange(len(out)), outputs[at[:, repeated:]].ravel()] / (out @ self.ones)).reshape(asks.shape)
-            got[b : b + batch] = np.where(place[repeated:] < left[b : b + batch, None], said, 0).sum(axis=1, dtype=np.float64)
-        return got
+        n = -(-size // STRIDE)
+        start = np.cumsum(n) - n
+        at = np.arange(len(ids)) + np.repeat((start + 1) * STRIDE - first, size)  # one block stands before all
+        inputs, said = np.zeros((n.sum() + 1) * STRIDE, np.int64), np.zeros(n.sum() * STRIDE, np.float32)
+        targets = np.zeros(len(said), np.int64)
+        inputs[at], targets[at - STRIDE] = x, self.outputs.of[ids]
+        begins = np.zeros(n.sum(), bool)
+        begins[start] = True
+        for b in range(0, len(begins), blocks):
+            stop = min(b + blocks, len(begins))
+            said[b * STRIDE : stop * STRIDE] = self._said(inputs[b * STRIDE : (stop + 1) * STRIDE], targets[b * STRIDE : stop * STRIDE], begins[b:stop])
+        real = np.zeros(len(said), bool)
+        real[at - STRIDE] = True
+        said[~real] = 0
+        return total + np.add.reduceat(said, start * STRIDE, dtype=np.float64) / np.log(10)
+
+    def _said(self, inputs: np.ndarray, targets: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Log probability of each target of the blocks. inputs: theirs, after those of the block before the first."""
+        e = self.e[inputs]
+        q, k, v = (m.reshape(-1, WIDTH) for m in _thirds(e.reshape(-1, STRIDE, WIDTH) @ self.wide))
+        step, row = k.strides
+        k, v = (np.lib.stride_tricks.as_strided(m, (len(begins), WINDOW, WIDTH), (STRIDE * step, step, row), writeable=False) for m in (k, v))
+        a = q[STRIDE:].reshape(-1, STRIDE, WIDTH) @ k.transpose(0, 2, 1)
+        a += self.far
+        a[begins, :, :OVERLAP] = -1e9
+        _exp(a)
+        z = a @ v
+        z /= (a @ self.ones[:WINDOW])[:, :, None]
+        both = np.empty((*z.shape[:2], 2 * WIDTH + 1), np.float32)
+        both[:, :, :WIDTH], both[:, :, WIDTH:-1], both[:, :, -1] = z, e[STRIDE:].reshape(z.shape), 1
+        out = _exp(both @ self.outward).reshape(-1, OUTPUTS)
+        return np.log(out[np.arange(len(out)), targets] / (out @ self.ones[:OUTPUTS]))
 
 
 def texts_of(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -18,19 +18,20 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .attention import BATCH, BUCKETS, KINDS, WINDOW, Outputs, Scorer, Trainer, portions, start_weights, texts_of, training_windows
 from .common import discard, in_batches, slices, table, whole_text, written
-from .packing import TOKENIZER, word_ids
+from .packing import TOKENIZER, texts_in, word_ids
 
 #: Smoothing of the base; words whose counts are broadcast.
 ADD, COMMON = 0.1, 400_000
 #: Subwords that one trainer goes through, where each round ends as a share of the documents, rows that are averaged at a time.
 PER_TRAINER, ROUNDS, FAN = 1 << 23, (0.125, 0.5, 1.0), 4
 #: Words counted in memory before they are passed on, words whose ids a worker remembers, bytes of text at a time.
-FLUSH, REMEMBERED, SLICE = 400_000, 750_000, 4 << 20
+FLUSH, REMEMBERED, SLICE = 400_000, 750_000, 12 << 20
 #: The end of a text: the word that no text holds, and the tokenizer's own end token.
 END, END_TOKEN = "", "<|endoftext|>"
 
@@ -40,14 +41,24 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 10 == 0, F.lit(False))
 
 
-class Known(dict):
-    """Scores of common words; others count as nothing and are noted."""
+def gathered(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together, or cut, so that the texts of each stay near max_bytes: a word then counts once for many rows."""
+    some, n = [], 0
+    for batch in slices(batches, text, max_bytes):
+        size = batch.column(text).nbytes
+        if some and n + size > max_bytes:
+            yield pa.concat_batches(some)
+            some, n = [], 0
+        some.append(batch)
+        n += size
+    if some:
+        yield pa.concat_batches(some)
 
-    missing: list[bytes]
 
-    def __missing__(self, word: bytes) -> float:
-        self.missing.append(word)
-        return 0.0
+def _sums(words: list[pa.Array], counts: list[pa.Array]) -> tuple[pa.Array, pa.Array]:
+    """Distinct words with the sums of their counts."""
+    sums = pa.table({"word": pa.chunked_array(words, pa.string()), "n": pa.chunked_array(counts, pa.int64())}).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return tuple(pa.concat_arrays(sums.column(c).chunks) for c in ("word", "n_sum"))
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str, held, path: str, end_id: int) -> DataFrame:
@@ -56,30 +67,44 @@ def _read(docs: DataFrame, id_col: str, text_col: str, held, path: str, end_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = word_ids(path, REMEMBERED), np.array([end_id], "<u2").tobytes()
-        counts: Counter[bytes] = Counter()
-        id_type = None
-
-        def passed_on() -> pa.RecordBatch:
-            n = len(counts)
-            own = pa.array(list(counts), pa.binary()).cast(pa.string())
-            out = [pa.nulls(n, pa.int64()), pa.nulls(n, id_type), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary()), own, pa.array(list(counts.values()), pa.int64())]
-            counts.clear()
-            return pa.record_batch(out, names=names)
-
+        own: tuple[list[pa.Array], list[pa.Array]] = [], []
         names = ["row", "id", "held_out", "text", "ids", "word", "n"]
-        for batch in slices(batches, "text", SLICE):
-            id_type = batch.schema.field("id").type
-            texts, learned = batch.column("text"), [not h for h in batch.column("held_out").to_pylist()]
-            split = words.split(texts.to_pylist(), counts, learned)
-            ids = [b"".join(map(words.known.__getitem__, own)) + end for own in split]
-            if any(learned):
-                counts[b""] += sum(learned)
-            n = batch.num_rows
-            yield pa.record_batch([batch.column("row"), batch.column("id"), batch.column("held_out"), texts, pa.array(ids, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names=names)
-            if len(counts) > FLUSH:
-                yield passed_on()
-        if counts:
-            yield passed_on()
+
+        def count(some: pa.Array, counts: np.ndarray) -> None:
+            own[0].append(some.cast(pa.string()))
+            own[1].append(pa.array(counts, pa.int64()))
+
+        def passed_on(most: int) -> Iterator[pa.RecordBatch]:
+            """The counts, if they are of more than so many words."""
+            some, counts = _sums(*own)
+            own[0][:], own[1][:] = [some], [counts]
+            if len(some) > most:
+                n = len(some)
+                own[0].clear()
+                own[1].clear()
+                yield pa.record_batch([pa.nulls(n, pa.int64()), pa.nulls(n, id_type), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary()), some, counts], names=names)
+
+        for batch in gathered(batches, "text", SLICE):
+            id_type, n = batch.schema.field("id").type, batch.num_rows
+            texts, learned = batch.column("text"), ~np.array(batch.column("held_out").to_pylist(), bool)
+            places, begin, met, ids = words.coded(texts)
+            packed = ids.take(pa.array(places))
+            at, data = np.frombuffer(packed.buffers()[1], np.int32)[begin].tolist(), packed.buffers()[2]
+            data = data.to_pybytes() if data is not None else b""
+            yield pa.record_batch([batch.column("row"), batch.column("id"), batch.column("held_out"), texts, pa.array([data[a:b] + end for a, b in zip(at, at[1:])], pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names=names)
+            special = pa.compute.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+            counts = np.bincount(places[np.repeat(learned & ~special, np.diff(begin))], minlength=len(met))
+            counts[pa.compute.binary_length(met).to_numpy() == 0] = 0
+            count(met.filter(pa.array(counts > 0)), counts[counts > 0])
+            for text in texts.filter(pa.array(learned & special)).cast(pa.binary()).to_pylist():
+                seen = Counter(text.lower().split())
+                count(pa.array(list(seen), pa.binary()), np.array(list(seen.values()), np.int64))
+            if learned.any():
+                count(pa.array([END]), learned.sum()[None])
+            if sum(map(len, own[0])) > 2 * FLUSH:
+                yield from passed_on(FLUSH)
+        if own[0]:
+            yield from passed_on(0)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), held.alias("held_out"), whole_text(text_col).alias("text"))
     return written(in_batches(rows, run, f"row bigint, id {kind}, held_out boolean, text string, ids binary, word string, n bigint", ("words", path, REMEMBERED)), "texts-and-words")
@@ -207,39 +232,37 @@ def _least_common(counts: DataFrame, common: int) -> int:
     return least
 
 
-def _score(texts: DataFrame, common: dict[bytes, int], total: int, distinct: int, model: Scorer) -> DataFrame:
-    """Documents' rows with the model's score and the base score of common words, and a row for each rarer word of each."""
+def _score(texts: DataFrame, common: pa.Array, gains: np.ndarray, total: int, distinct: int, model: Scorer) -> DataFrame:
+    """Documents' rows with the model's score and the base score of common words, and a row for each rarer word of each. gains: of the common words."""
     spark = texts.sparkSession
     kind = texts.schema["id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast((Known(common), model))
+    shared = spark.sparkContext.broadcast((common, gains, model))
     bottom = math.log10(total + ADD * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, model = shared.value
+        common, gains, model = shared.value
         names = ["row", "id", "held_out", "n_tokens", "known", "base", "score", "word", "n"]
-        for batch in slices(batches, "text", SLICE):
-            ids = batch.column("ids").to_pylist()
-            size = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
+        for batch in gathered(batches, "text", SLICE):
+            n, ids = batch.num_rows, texts_in(batch.column("ids"))
+            size = np.fromiter((len(x) // 2 for x in ids), np.int64, n)
             score = model.score(np.frombuffer(b"".join(ids), "<u2"), size)
-            rows, tokens, known, base, rare = batch.column("row").to_pylist(), [], [], [], ([], [], [])
-            for row, text in zip(rows, batch.column("text").to_pylist(), strict=True):
-                words = text.encode().lower().split()
-                words.append(b"")
-                table.missing = missing = []
-                base.append(sum(map(table.__getitem__, words)) - bottom * len(words))
-                tokens.append(len(words))
-                known.append(len(words) - len(missing))
-                if missing:
-                    counts = Counter(missing)
-                    rare[0].extend([row] * len(counts))
-                    rare[1].extend(counts)
-                    rare[2].extend(counts.values())
-            n = batch.num_rows
+            split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(batch.column("text")))
+            words, own = split.flatten(), np.repeat(np.arange(n), np.diff(split.offsets.to_numpy()))
+            real = pa.compute.binary_length(words).to_numpy() > 0  # white space around a text leaves empty words
+            words = pa.concat_arrays([words if real.all() else words.filter(pa.array(real)), pa.array([END] * n, words.type)])
+            own = np.r_[own[real], np.arange(n)]
+            place = pa.compute.fill_null(pa.compute.index_in(words, common), -1).to_numpy()
+            tokens, is_known = np.bincount(own, minlength=n), place >= 0
+            known = np.bincount(own[is_known], minlength=n)
+            base = np.bincount(own[is_known], gains[place[is_known]], n) - bottom * tokens
             yield pa.record_batch([batch.column("row"), batch.column("id"), batch.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base), pa.array(score), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names=names)
-            n = len(rare[0])
-            if n:
-                empty = [pa.nulls(n, x) for x in (batch.schema.field("id").type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                yield pa.record_batch([pa.array(rare[0], pa.int64()), *empty, pa.array(rare[1], pa.binary()).cast(pa.string()), pa.array(rare[2], pa.int64())], names=names)
+            rare = words.filter(pa.array(~is_known)).dictionary_encode()
+            if len(rare):
+                pairs, counts = np.unique(own[~is_known] * len(rare.dictionary) + rare.indices.to_numpy(), return_counts=True)
+                of, word = np.divmod(pairs, len(rare.dictionary))
+                m = len(pairs)
+                empty = [pa.nulls(m, x) for x in (batch.schema.field("id").type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                yield pa.record_batch([batch.column("row").take(pa.array(of)), *empty, rare.dictionary.take(pa.array(word)), pa.array(counts, pa.int64())], names=names)
 
     schema = f"row bigint, id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, score double, word string, n bigint"
     return in_batches(texts.select("row", "id", "held_out", "text", "ids"), run, schema)
@@ -263,14 +286,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total, distinct = whole["total"] or 0, whole["distinct"]
     least = _least_common(counts, common)
     top = counts.where(F.col("c") >= least).toArrow()
-    known = dict(zip(top.column("word").cast(pa.binary()).to_pylist(), np.log10(top.column("c").to_numpy() + ADD).tolist(), strict=True))
+    known = pa.array([], pa.string()) if not len(top) else pa.concat_arrays(top.column("word").chunks)
 
     learned = texts.where(~F.col("held_out"))
     before = _counts_after(learned, vocabulary, np.r_[np.arange(vocabulary) % BUCKETS, 0])
     outputs = Outputs(before)
     outputs.add_shares(_counts_after(learned, vocabulary, outputs.kind))
     model = Scorer(_train(learned.select("id", "ids"), outputs, int(before.sum()), per_trainer), outputs)
-    scored = written(_score(texts, known, total, distinct, model), "scored")
+    scored = written(_score(texts, known, np.log10(top.column("c").to_numpy() + ADD), total, distinct, model), "scored")
     rest = counts.where(F.col("c") < least)
     rare = scored.where(F.col("word").isNotNull()).select("row", "word", "n").join(rest, "word", "left")
     gain = F.col("n") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(ADD))

@@ -11,13 +11,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +31,9 @@ CACHE, CACHED_BYTES, SLICE = 800_000, 96, 4 << 20
 #: One run of Latin letters, of which the tokenizer makes one pre-token, and the marks that may follow it as the next.
 LETTERS, MARKS = r"[A-Za-zÀ-ÖØ-öø-ÿ]+", bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
+#: The characters by which the tokenizer shows bytes that are not printed as themselves.
+SHOWN = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173]) if b >= 127}
+
 
 class WordIds:
     """Ids of texts under a tokenizer that never joins what stands on both sides of ASCII white space, and folds case.
@@ -46,10 +48,10 @@ class WordIds:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # words of the letters a to z are their own pre-tokens: the rules that find these in any text are left out for them
-        self.ascii = Tokenizer.from_file(path)
-        self.ascii.normalizer = normalizers.Sequence([])
-        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # words of LETTERS in lower case are their own pre-tokens: the rules that find these in any text are left out for them
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -77,10 +79,13 @@ class WordIds:
         rest = list(dict.fromkeys(rest))
         for word, got in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
             known[word] = np.array(got.ids, "<u2").tobytes()
-        for letters, own in ((self.ascii, list(cores)), (self.tokenizer, list(others))):
+        for own in (list(cores), list(others)):
             for at in range(0, len(own), 4096):
                 some = own[at : at + 4096]
-                ids = np.array(letters.encode_batch_fast([b" ".join(some).decode().lower()], add_special_tokens=False)[0].ids)
+                text = b" ".join(some).decode().lower()
+                if not text.isascii():
+                    text = text.encode().decode("latin-1").translate(SHOWN)
+                ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids)
                 stop = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
                 packed, start = ids.astype("<u2").tobytes(), 0
                 for core, end in zip(some, stop, strict=True):
@@ -112,28 +117,37 @@ class WordIds:
                 del self.known[word]
         return list(map(b"".join, ids))
 
-    def split(self, texts: list[str | None], counts: Counter | None = None, counted: list[bool] | None = None) -> list[list[bytes]]:
-        """Each text's words; until the next call all of them are known. counts: gets the lower-case words of the texts marked in counted."""
-        raw = [(t or "").encode() for t in texts]
-        split = [(t if b"<|" in t else t.lower()).split() for t in raw]  # special tokens keep their case
-        if counts is None:
-            met = set(chain.from_iterable(split))
-        else:
-            plain = [c and b"<|" not in t for c, t in zip(counted, raw, strict=True)]
-            own = Counter(chain.from_iterable(w for w, p in zip(split, plain, strict=True) if p))
-            met = set(own).union(*(w for w, p in zip(split, plain, strict=True) if not p))
-            counts.update(own)
-            for t, c, p in zip(raw, counted, plain, strict=True):
-                if c and not p:
-                    counts.update(t.lower().split())
+    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
+        """The words of all texts in order, as places in a list of distinct words; where each text's begin and the last one's end; that list, and the ids of each.
+
+        A text with white space around it has empty words there, which have no ids. Words are lower-case, but for the
+        texts with special tokens, which keep their case.
+        """
+        special = pa.compute.match_substring(texts, "<|")
+        low = pa.compute.ascii_lower(texts)
+        split = pa.compute.ascii_split_whitespace(pa.compute.if_else(special, texts, low) if pa.compute.any(special).as_py() else low)
+        begin = split.offsets.to_numpy()
+        found = split.flatten().dictionary_encode()
+        met = texts_in(found.dictionary)
         for word in self.long:
             self.known.pop(word, None)
         self.long = [w for w in met if len(w) > CACHED_BYTES]
-        fresh = met.difference(self.known)
+        fresh = [w for w in met if w not in self.known]
         if len(self.known) + len(fresh) > self.cache:
             self.known = {w: ids for w in met if (ids := self.known.get(w)) is not None}
-        self._learn(list(fresh))
-        return split
+        self._learn(fresh)
+        return found.indices.to_numpy(), begin - begin[0], found.dictionary, pa.array(list(map(self.known.__getitem__, met)), pa.binary())
+
+
+def texts_in(column: pa.Array) -> list[bytes]:
+    """The bytes of all values of a column of strings or binaries without nulls: as to_pylist, and faster for many short ones."""
+    data = column.cast(pa.binary())
+    _, offsets, values = data.buffers()
+    if values is None or not len(data):
+        return [b""] * len(data)
+    at = np.frombuffer(offsets, np.int32)[data.offset : data.offset + len(data) + 1].tolist()
+    raw = values.to_pybytes()
+    return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
 def word_ids(path: str, cache: int = CACHE) -> WordIds:
