@@ -101,11 +101,15 @@ class Outputs:
         self.within = np.log10(share).astype(np.float32)
 
 
-def _exp(x: np.ndarray) -> np.ndarray:
-    """exp in place, up to a factor for each row: rows are shifted by their largest only if any would overflow."""
-    if x.max(initial=0.0) > 80:
+#: Logits are made in base 2, by a factor in the narrow matrices before them: numpy's exp2 is faster than its exp.
+LOG2E, LN2 = float(np.log2(np.e)), float(np.log(2))
+
+
+def _exp2(x: np.ndarray) -> np.ndarray:
+    """exp2 in place, up to a factor for each row: rows are shifted by their largest only if any would overflow."""
+    if x.max(initial=0.0) > 115:
         x -= x.max(axis=-1, keepdims=True)
-    return np.exp(x, out=x)
+    return np.exp2(x, out=x)
 
 
 def _thirds(wide: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -134,7 +138,7 @@ def _sums_by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
     order = np.argsort(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids, kind="stable")  # 16-bit numbers are sorted by their digits
     ids = ids[order]
     new = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-    return ids[new], np.add.reduceat(values[order], new, axis=0)
+    return ids[new], np.add.reduceat(values.take(order, axis=0), new, axis=0)
 
 
 def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, room: Room | None = None) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
@@ -146,10 +150,11 @@ def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, room: Room | No
     """
     d, kind = WIDTH, p["q"].dtype.type
     room, x = room or Room(p["q"].dtype), x.astype(np.intp)
-    wide = np.concatenate([p["q"] * kind(d**-0.5), p["k"], p["v"]], axis=1)
+    wide = np.concatenate([p["q"] * kind(LOG2E * d**-0.5), p["k"], p["v"]], axis=1)
     gap = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
-    far = np.where(gap >= 0, p["far"][np.abs(gap)], kind(-1e9))
-    outward, inward, wide_in = np.concatenate([p["out"], p["bias"][None]]), np.ascontiguousarray(p["out"].T), np.ascontiguousarray(wide.T)
+    far = np.where(gap >= 0, p["far"][np.abs(gap)] * kind(LOG2E), kind(-1e9))
+    outward, inward = np.concatenate([p["out"], p["bias"][None]]) * kind(LOG2E), np.ascontiguousarray(p["out"].T)
+    wide_in = np.concatenate([p["q"] * kind(d**-0.5), p["k"] * kind(LN2), p["v"]], axis=1).T.copy()  # keys meet queries in base 2
     n = max(1, int((y >= 0).sum()))
     loss, g_out, g_wide, g_far = 0.0, kind(0), kind(0), kind(0)
     d_e = np.empty((*x.shape, d), kind)
@@ -158,14 +163,14 @@ def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, room: Room | No
         w = len(target)
         qkv, d_qkv, both, scaled, out, d_both, a, d_a, d_z, dots = (r[:w] for r in (room.qkv, room.d_qkv, room.both, room.scaled, room.out, room.d_both, room.a, room.d_a, room.d_z, room.dots))
         z, e = both[:, :, :d], both[:, :, d : 2 * d]
-        e[:] = p["e"][x[at : at + CHUNK]]
+        e[:] = p["e"].take(x[at : at + CHUNK], axis=0)
         q, k, v = _thirds(np.matmul(e, wide, out=qkv))
         np.matmul(q, k.transpose(0, 2, 1), out=a)
         a += far
-        _exp(a)
+        _exp2(a)
         per = 1 / (a @ room.ones[:WINDOW])[:, :, None]
         np.multiply(a @ v, per, out=z)
-        _exp(np.matmul(both, outward, out=out))
+        _exp2(np.matmul(both, outward, out=out))
         total = out @ room.ones[:OUTPUTS]
         real = target >= 0
         place = room.place[:w] + np.maximum(target, 0)
@@ -190,7 +195,7 @@ def step(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, room: Room | No
         own = d_e[at : at + CHUNK]
         np.matmul(d_qkv, wide_in, out=own)
         own += d_both[:, :, d:]
-    g = {"out": g_out[: 2 * d], "bias": g_out[2 * d], "q": g_wide[:, :d] * kind(d**-0.5), "k": g_wide[:, d : 2 * d], "v": g_wide[:, 2 * d :]}
+    g = {"out": g_out[: 2 * d], "bias": g_out[2 * d], "q": g_wide[:, :d] * kind(d**-0.5), "k": g_wide[:, d : 2 * d] * kind(LN2), "v": g_wide[:, 2 * d :]}
     g["far"] = np.bincount(np.abs(gap)[gap >= 0], g_far.reshape(WINDOW, WINDOW)[gap >= 0], WINDOW).astype(kind)
     return float(loss), g, *_sums_by_id(x.ravel(), d_e.reshape(-1, d))
 
@@ -286,13 +291,14 @@ class Scorer:
     def _prepare(self) -> None:
         p = unflat(self.flat, len(self.outputs.of))
         self.e = p["e"]
-        self.wide = np.concatenate([p["q"] / np.float32(WIDTH**0.5), p["k"], p["v"]], axis=1)
-        self.outward = np.concatenate([p["out"], p["bias"][None]])
+        self.wide = np.concatenate([p["q"] * np.float32(LOG2E * WIDTH**-0.5), p["k"], p["v"]], axis=1)
+        self.outward = np.concatenate([p["out"], p["bias"][None]]) * np.float32(LOG2E)
         gap = np.arange(OVERLAP, WINDOW)[:, None] - np.arange(WINDOW)
-        self.far = np.where(gap >= 0, p["far"][np.abs(gap)], np.float32(-1e9)).astype(np.float32)
+        self.far = np.where(gap >= 0, p["far"][np.abs(gap)] * np.float32(LOG2E), np.float32(-1e9)).astype(np.float32)
         self.ones = np.ones(max(WINDOW, OUTPUTS), np.float32)
+        self.both, self.out = np.ones((BLOCKS, STRIDE, 2 * WIDTH + 1), np.float32), np.empty((BLOCKS, STRIDE, OUTPUTS), np.float32)
 
-    def score(self, ids: np.ndarray, size: np.ndarray, blocks: int = BLOCKS) -> np.ndarray:
+    def score(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """ids: sequences one after the other, each of size >= 1 with its end. Every subword is scored once.
 
         A sequence's first window scores all its places. Each later one starts STRIDE tokens on and repeats OVERLAP tokens
@@ -312,8 +318,8 @@ class Scorer:
         inputs[at], targets[at - STRIDE] = x, self.outputs.of[ids]
         begins = np.zeros(n.sum(), bool)
         begins[start] = True
-        for b in range(0, len(begins), blocks):
-            stop = min(b + blocks, len(begins))
+        for b in range(0, len(begins), BLOCKS):
+            stop = min(b + BLOCKS, len(begins))
             said[b * STRIDE : stop * STRIDE] = self._said(inputs[b * STRIDE : (stop + 1) * STRIDE], targets[b * STRIDE : stop * STRIDE], begins[b:stop])
         real = np.zeros(len(said), bool)
         real[at - STRIDE] = True
@@ -322,19 +328,18 @@ class Scorer:
 
     def _said(self, inputs: np.ndarray, targets: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Log probability of each target of the blocks. inputs: theirs, after those of the block before the first."""
-        e = self.e[inputs]
+        e = self.e.take(inputs, axis=0)
         q, k, v = (m.reshape(-1, WIDTH) for m in _thirds(e.reshape(-1, STRIDE, WIDTH) @ self.wide))
         step, row = k.strides
         k, v = (np.lib.stride_tricks.as_strided(m, (len(begins), WINDOW, WIDTH), (STRIDE * step, step, row), writeable=False) for m in (k, v))
         a = q[STRIDE:].reshape(-1, STRIDE, WIDTH) @ k.transpose(0, 2, 1)
         a += self.far
         a[begins, :, :OVERLAP] = -1e9
-        _exp(a)
-        z = a @ v
-        z /= (a @ self.ones[:WINDOW])[:, :, None]
-        both = np.empty((*z.shape[:2], 2 * WIDTH + 1), np.float32)
-        both[:, :, :WIDTH], both[:, :, WIDTH:-1], both[:, :, -1] = z, e[STRIDE:].reshape(z.shape), 1
-        out = _exp(both @ self.outward).reshape(-1, OUTPUTS)
+        _exp2(a)
+        both = self.both[: len(begins)]
+        np.divide(a @ v, (a @ self.ones[:WINDOW])[:, :, None], out=both[:, :, :WIDTH])
+        both[:, :, WIDTH:-1] = e[STRIDE:].reshape(len(begins), STRIDE, WIDTH)
+        out = _exp2(np.matmul(both, self.outward, out=self.out[: len(begins)])).reshape(-1, OUTPUTS)
         return np.log(out[np.arange(len(out)), targets] / (out @ self.ones[:OUTPUTS]))
 
 

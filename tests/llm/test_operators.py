@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -270,6 +271,46 @@ def test_training_windows_hold_every_subword():
     assert (windows[:, 0][real] == before).all()
 
 
+def test_scorer_lets_every_block_through_once(monkeypatch):
+    """A later window's context costs nothing again: as many places as there are blocks of STRIDE, whatever the sequences' length."""
+    outputs, places = small_outputs(np.random.default_rng(4)), []
+    plain = attention.Scorer._said
+    monkeypatch.setattr(attention.Scorer, "_said", lambda self, inputs, *a: (places.append(len(inputs) - attention.STRIDE), plain(self, inputs, *a))[1])
+    size = np.array([1, 16, 17, 32, 33, 5000])
+    attention.Scorer(attention.start_weights(200), outputs).score(np.zeros(size.sum(), np.int64), size)
+    assert sum(places) == sum(-(-n // attention.STRIDE) * attention.STRIDE for n in size.tolist())
+
+
+def test_step_in_chunks_is_the_step():
+    """Chunks, and arrays that are used again, change no gradient; a last chunk may be short."""
+    rng = np.random.default_rng(5)
+    p = attention.unflat(attention.start_weights(50).astype(np.float64), 50)
+    n = 2 * attention.CHUNK + 3
+    x, y = rng.integers(0, 51, (n, attention.WINDOW)), rng.integers(-1, attention.OUTPUTS, (n, attention.WINDOW))
+    room = attention.Room(np.dtype(np.float64))
+    attention.step(p, x[::-1], y, room)
+    loss, g, rows, more = attention.step(p, x, y, room)
+    parts, real, sums = [], (y >= 0).sum(axis=1), np.zeros((51, attention.WIDTH))
+    for i in range(n):
+        parts.append(attention.step(p, x[i : i + 1], y[i : i + 1]))
+        sums[parts[-1][2]] += parts[-1][3] * real[i] / real.sum()
+    assert loss == pytest.approx(sum(part[0] * k for part, k in zip(parts, real, strict=True)) / real.sum())
+    assert all(g[name] == pytest.approx(sum(part[1][name] * k for part, k in zip(parts, real, strict=True)) / real.sum(), abs=1e-12) for name in g)
+    assert sums[rows] == pytest.approx(more, abs=1e-12)
+
+
+def test_coded_words_are_the_library_s():
+    """Ids of whole texts from words told apart by Arrow, with other letters, marks, special tokens and white space around."""
+    words = packing.WordIds(P.path("word_bpe_49k.json"), cache=40)
+    texts = ["", "   ", "\tTHE the\x0b Éß ÿÀÖ ñ's don't!! ", "a\x1cB İ Áb e\u0301 ÀÉ,", "<|endoftext|> ABC <|x", "y" * 300 + " y 12 a-b", "x\x85y\xa0z"] * 3
+    for some in (pa.array(texts), pa.array(texts).slice(2), pa.array(texts[::-1]).slice(1, 4)):
+        places, begin, met, ids = words.coded(some)
+        assert len(met) == len(ids) and begin[0] == 0 and len(begin) == len(some) + 1
+        for text, a, b in zip(some.to_pylist(), begin, begin[1:], strict=False):
+            got = b"".join(ids[int(i)].as_py() for i in places[a:b])
+            assert np.frombuffer(got, "<u2").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def brute_toxicity(rows, labels):
     """Scores of rows (id, text) by dense vectors over every word and beginning of the labelled texts, and all cosines."""
     known = [(t or "", labels[k]) for k, t in rows if k in labels and zlib.crc32(str(k).encode()) % 4 != 2]
